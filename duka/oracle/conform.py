@@ -194,8 +194,8 @@ SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product
        CAST(CAST(round(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(0.5 AS DECIMAL(2,1)), 2)
                  AS DECIMAL(18,2)) * price_factor AS DECIMAL(18,2)) AS product_cost_local,
        CAST(l_discount AS DECIMAL(4,2)) AS discount_rate,
-       l_suppkey, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate,
-       l_quantity
+       l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax, l_returnflag,
+       l_linestatus, l_shipdate, l_quantity
 FROM order_lines""")
 
 _cte("sales_local", ["sales_base"], """

@@ -317,10 +317,10 @@ JOIN dim_status s ON fs.status_key = s.status_key
 GROUP BY d.year, d.quarter"""})
 
 SQL["rolling_12m_ltv"] = with_ctes(f"""
-SELECT year, month_number, trailing AS trailing_12m_revenue_usd, active_customers,
-       {ratio_sql('trailing', 'active_customers')} AS rolling_12m_ltv_usd
+SELECT year, month_number, trail AS trailing_12m_revenue_usd, active_customers,
+       {ratio_sql('trail', 'active_customers')} AS rolling_12m_ltv_usd
 FROM (SELECT *, CAST(sum(rev) OVER (ORDER BY mi RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)
-                     AS DECIMAL(38,2)) AS trailing FROM m)""", "sales_lines", "dim_date", extra={"m": """
+                     AS DECIMAL(38,2)) AS trail FROM m)""", "sales_lines", "dim_date", extra={"m": """
 SELECT d.year, d.month_number, sum(fs.net_revenue_usd) AS rev,
        count(DISTINCT fs.customer_key) AS active_customers, d.year * 12 + d.month_number - 1 AS mi
 FROM sales_lines fs JOIN dim_date d ON fs.date_key = d.date_key
