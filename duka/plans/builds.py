@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from duka.functions import fixed
 from duka.functions.money import money
-from duka.operators import numbering, scd2
-from duka.sources.warehouse import Warehouse
+from duka.operators import scd2
+from duka.sources.warehouse import LINE_ORDER, Warehouse  # noqa: F401
 
 
 def dim_date(w: Warehouse) -> DataFrame:
@@ -48,22 +48,14 @@ FACT_SALES_COLUMNS = [
     "product_cost_local", "gross_revenue_usd", "net_revenue_usd", "tax_usd", "profit_usd",
 ]
 
-# a total order over every input column of a line: rows equal on all of
-# them are identical lines, so any numbering among them gives equal output
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+def fact_sales_full(w: Warehouse) -> DataFrame:
+    """Every sales-line column plus the two keys (what the store writes)."""
+    return w.fact_sales_keyed
 
 
 def fact_sales(w: Warehouse) -> DataFrame:
-    """The fact table with its keys: sales_fact_key is dense 1..n over
-    (order, line columns) and order_line_number numbers lines inside an
-    order, both by the distributed numbering operator."""
-    base = w.sales_lines
-    order = [F.col("order_id")] + [F.col(c) for c in LINE_ORDER]
-    keyed = numbering.dense_index(base, order, name="sales_fact_key")
-    numbered = numbering.number_from_index(keyed, ["order_id"], "sales_fact_key",
-                                           "order_line_number")
-    return numbered.select(*FACT_SALES_COLUMNS)
+    """The fact table with its surrogate and order-line keys."""
+    return w.fact_sales_keyed.select(*FACT_SALES_COLUMNS)
 
 
 def fact_inventory(w: Warehouse) -> DataFrame:

@@ -87,8 +87,18 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 
-def run(name: str, spark: SparkSession, sf_dir: str, **params) -> DataFrame:
-    return PLANS[name](Warehouse(spark, sf_dir, **params))
+def warehouse(spark: SparkSession, sf_dir: str, store_dir: str | None = None,
+              **params) -> Warehouse:
+    """The star derived from the raw tables, or read from a built store."""
+    if store_dir:
+        from duka.sources.store import StoredWarehouse
+        return StoredWarehouse(spark, store_dir, sf_dir, **params)
+    return Warehouse(spark, sf_dir, **params)
+
+
+def run(name: str, spark: SparkSession, sf_dir: str, store_dir: str | None = None,
+        **params) -> DataFrame:
+    return PLANS[name](warehouse(spark, sf_dir, store_dir, **params))
 
 
 def as_callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -19,11 +19,17 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from duka.functions import calendar as cal
 from duka.functions import fixed
 from duka.functions.money import MONEY, RATE, money, round_money
+from duka.sources.literals import literal_table
+
+
+# A total order over every input column of an order line: lines equal on all
+# of them are identical, so any numbering among them gives equal output.
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 class Warehouse:
@@ -41,28 +47,22 @@ class Warehouse:
     # ----------------------------------------------------------- fixed dims
     @cached_property
     def dim_status(self) -> DataFrame:
-        schema = "status_key int, status_name string"
-        return self.spark.createDataFrame(fixed.STATUSES, schema)
+        return literal_table(self.spark, fixed.STATUSES,
+                             [("status_key", "int"), ("status_name", "string")])
 
     @cached_property
     def market_policy(self) -> DataFrame:
         """Currency, price factor, VAT and FX rate per country (region)."""
-        schema = T.StructType([
-            T.StructField("country", T.StringType(), False),
-            T.StructField("local_currency", T.StringType(), False),
-            T.StructField("price_factor", T.DecimalType(8, 2), False),
-            T.StructField("vat_rate", T.DecimalType(4, 2), False),
-            T.StructField("fx_rate", T.DecimalType(18, 5), False),
-        ])
-        return self.spark.createDataFrame(fixed.market_rows(), schema)
+        return literal_table(self.spark, fixed.market_rows(), [
+            ("country", "string"), ("local_currency", "string"),
+            ("price_factor", "decimal(8,2)"), ("vat_rate", "decimal(4,2)"),
+            ("fx_rate", "decimal(18,5)")])
 
     @cached_property
     def dim_campaign(self) -> DataFrame:
-        schema = ("campaign_key int, campaign_name string, channel string, "
-                  "campaign_cost decimal(18,2), start_date string, end_date string")
-        df = self.spark.createDataFrame(fixed.campaign_rows(), schema)
-        return df.withColumns({"start_date": F.to_date("start_date"),
-                               "end_date": F.to_date("end_date")})
+        return literal_table(self.spark, fixed.campaign_rows(), [
+            ("campaign_key", "int"), ("campaign_name", "string"), ("channel", "string"),
+            ("campaign_cost", "decimal(18,2)"), ("start_date", "date"), ("end_date", "date")])
 
     # ------------------------------------------------------------ calendar
     @cached_property
@@ -261,6 +261,18 @@ class Warehouse:
             "cost_usd": round_money(F.col("line_cost_local") * fx),
         })
 
+    @cached_property
+    def fact_sales_keyed(self) -> DataFrame:
+        """Sales lines with their keys: sales_fact_key is dense 1..n over
+        (order, line columns) and order_line_number numbers the lines of an
+        order; both come from the distributed numbering operator (no global
+        or per-order window), so a huge order still spreads over tasks."""
+        from duka.operators import numbering
+        order = [F.col("order_id")] + [F.col(c) for c in LINE_ORDER]
+        keyed = numbering.dense_index(self.sales_lines, order, name="sales_fact_key")
+        return numbering.number_from_index(keyed, ["order_id"], "sales_fact_key",
+                                           "order_line_number")
+
     def sales_from(self, start_date: str) -> DataFrame:
         """Sales lines on or after a date; the bound reaches the orders scan."""
         ts = F.lit(start_date).cast("timestamp_ntz")
