@@ -9,8 +9,9 @@ meaning without that broadcast:
 * left key NULL             -> row dropped (unless the subquery is empty);
 * otherwise                 -> rows whose key is not in the subquery.
 
-The two facts about the subquery (row count, NULL count) are a one-row
-global aggregate; the key match is an ordinary shuffled `left_anti` join.
+The two facts about the subquery (row count, NULL count) are scalar
+subqueries (global aggregates); the key match is an ordinary shuffled
+`left_anti` join.
 """
 
 from __future__ import annotations
@@ -22,20 +23,16 @@ from pyspark.sql import functions as F
 def not_in(left: DataFrame, left_key: str, sub: DataFrame, sub_key: str) -> DataFrame:
     """Rows of `left` where `left_key NOT IN (SELECT sub_key FROM sub)`."""
     keys = sub.select(F.col(sub_key).alias("_k"))
-    facts = keys.agg(F.count(F.lit(1)).alias("_sub_rows"),
-                     F.count_if(F.col("_k").isNull()).alias("_sub_nulls"))
-    # constant equi-key: a broadcast hash join against a single row
-    facts = facts.withColumn("_one", F.lit(1))
+    # two scalar subqueries: each is one global aggregate whose single value
+    # is planted into the filter (no join, nothing broadcast but a number)
+    sub_rows = keys.agg(F.count(F.lit(1))).scalar()
+    sub_nulls = keys.agg(F.count_if(F.col("_k").isNull())).scalar()
     non_null = keys.where(F.col("_k").isNotNull()).distinct()
+    # rows whose key matched are dropped by the anti join; a NULL key never
+    # matches, so it survives here and is dropped below unless S is empty
     unmatched = left.join(non_null, left[left_key] == non_null["_k"], "left_anti")
-    # rows with a NULL key never match in the anti join, keep them for the
-    # empty-subquery rule and drop them below otherwise
-    flagged = unmatched.withColumn("_one", F.lit(1)).join(F.broadcast(facts), "_one")
-    keep = (F.col("_sub_rows") == 0) | (
-        (F.col("_sub_nulls") == 0) & F.col(left_key).isNotNull())
-    # a left row whose key matched is dropped by left_anti; when the subquery
-    # is empty nothing matched, so every left row is still present
-    return flagged.where(keep).drop("_one", "_sub_rows", "_sub_nulls")
+    keep = (sub_rows == 0) | ((sub_nulls == 0) & F.col(left_key).isNotNull())
+    return unmatched.where(keep)
 
 
 def anti_join(left: DataFrame, left_key: str, sub: DataFrame, sub_key: str) -> DataFrame:

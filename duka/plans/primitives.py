@@ -78,14 +78,12 @@ def join_cross_dense(w: Warehouse) -> DataFrame:
     units, summarised per month. The grid is generated per product with
     explode(sequence), not with a cross join."""
     products = w.dim_product.select("product_key")
-    # the calendar bounds are one row (a global aggregate): attach them with a
-    # broadcast hash join on a constant key
-    bounds = w.date_bounds.withColumn("_one", F.lit(1))
-    grid = (products.withColumn("_one", F.lit(1))
-            .join(F.broadcast(bounds), "_one")
-            .select("product_key", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY")))
-                    .alias("full_date"))
-            .select("product_key", cal.date_key("full_date").alias("date_key")))
+    # the calendar bounds are scalar subqueries (one global aggregate each)
+    lo = w.date_bounds.select("lo").scalar()
+    hi = w.date_bounds.select("hi").scalar()
+    grid = products.select("product_key",
+                           F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("full_date")) \
+        .select("product_key", cal.date_key("full_date").alias("date_key"))
     sold = w.sales_lines.groupBy("date_key", "product_key").agg(F.sum("quantity").alias("sold"))
     dense = grid.join(sold, ["date_key", "product_key"], "left") \
         .withColumn("units", F.coalesce("sold", F.lit(0)))

@@ -24,6 +24,7 @@ from duka.functions import calendar as cal
 from duka.functions import fixed
 from duka.functions.money import MONEY, RATE, money, round_money
 from duka.sources.literals import literal_table
+from duka.functions.localize import line_measures
 
 
 # A total order over every input column of an order line: lines equal on all
@@ -242,24 +243,7 @@ class Warehouse:
             "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
         )
-        q = F.col("quantity")
-        line_local = money(q * F.col("unit_price_local"))
-        discount = round_money(line_local * F.col("discount_rate"))
-        with_local = base.withColumns({
-            "line_amount_local": line_local,
-            "discount_amount_local": discount,
-            "tax_amount_local": round_money(F.col("unit_price_local") * F.col("vat_rate")),
-            "line_cost_local": money(q * F.col("product_cost_local")),
-        })
-        fx = F.col("exchange_rate_to_usd")
-        net_local = money(F.col("line_amount_local") - F.col("discount_amount_local"))
-        return with_local.withColumns({
-            "gross_revenue_usd": round_money(F.col("line_amount_local") * fx),
-            "net_revenue_usd": round_money(net_local * fx),
-            "tax_usd": round_money(F.col("tax_amount_local") * fx),
-            "profit_usd": round_money(money(net_local - F.col("line_cost_local")) * fx),
-            "cost_usd": round_money(F.col("line_cost_local") * fx),
-        })
+        return line_measures(base)
 
     @cached_property
     def fact_sales_keyed(self) -> DataFrame:
