@@ -355,6 +355,7 @@ FROM sales_lines""", "sales_lines")
 SQL["fact_inventory"] = with_ctes("SELECT * FROM fact_inventory", "fact_inventory")
 SQL["campaign_cost_daily"] = with_ctes("SELECT * FROM campaign_days", "campaign_days")
 SQL["fact_marketing"] = with_ctes("SELECT * FROM fact_marketing", "fact_marketing")
+SQL["fact_marketing_incremental"] = SQL["fact_marketing"]
 SQL["customer_attributes"] = with_ctes(
     "SELECT customer_key, customer_id, gender, age_group, customer_segment FROM customer_keys",
     "customer_keys")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from duka.plans import analytics, builds, measures, primitives, procedures, quality, views
 from duka.sources.warehouse import Warehouse
+from duka.streaming.marketing import fact_marketing_incremental
 
 PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     # reporting views
@@ -49,6 +50,7 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fact_inventory": builds.fact_inventory,
     "campaign_cost_daily": builds.campaign_cost_daily,
     "fact_marketing": builds.fact_marketing,
+    "fact_marketing_incremental": fact_marketing_incremental,
     "customer_attributes": builds.customer_attributes,
     "assign_campaign": builds.assign_campaign,
     "scd2_build": builds.scd2_build,

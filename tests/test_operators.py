@@ -60,3 +60,14 @@ def test_duplicate_keys_counts(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (3,), (3,), (3,)], "k int")
     r = quality.duplicate_keys("t(k)", df, ["k"]).collect()[0]
     assert (r.total_rows, r.distinct_keys, r.duplicated_keys, r.rows_in_duplicates) == (6, 3, 2, 5)
+
+
+def test_catalog_views_run_through_sql(spark):
+    from duka.sources.catalog import register_all
+    from tests.conftest import SF_SMALL
+    names = register_all(spark, SF_SMALL)
+    assert "revenue_kpis" in names and "sales_lines" in names
+    n = spark.sql("SELECT count(*) AS n FROM revenue_kpis WHERE year = 2000").collect()[0].n
+    assert n == 12
+    total = spark.sql("SELECT sum(line_count) AS s FROM src_status_values").collect()[0].s
+    assert total == spark.sql("SELECT count(*) AS c FROM sales_lines").collect()[0].c
