@@ -6,10 +6,11 @@ partition is sorted and numbered locally, and a tiny table of per-partition
 counts (one row per partition, so its size is bounded by the partition
 count) gives each partition its starting offset through a broadcast join.
 
-The range-partitioned, locally numbered rows are checkpointed to the
-cluster's checkpoint folder before the counts are taken: range bounds come
-from sampling, and the checkpoint makes the counts and the local numbers
-read the very same partitions even if an executor is lost and tasks rerun.
+The range-partitioned, locally numbered rows are written as a Parquet table
+in the cluster's checkpoint folder (`spark.checkpoint.dir`) before the
+counts are taken: range bounds come from sampling, and the written table
+makes the counts and the local numbers read the very same rows even if an
+executor is lost and tasks rerun (a rerun task rewrites identical rows).
 
 The order keys must form a total order (append a unique key) for the result
 to be deterministic; rows equal on every key get an arbitrary but dense
@@ -18,6 +19,8 @@ numbering among themselves.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,15 +35,29 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _write_table(df: DataFrame) -> DataFrame:
+    """Cut the lineage by writing `df` as Parquet under the checkpoint
+    folder and reading it back. `_mid` is a stored column from here on, so
+    the counts and the numbers below depend on the data only, not on how the
+    files are split when read."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/duka-index-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def dense_index(df: DataFrame, order_cols: list, name: str = "row_index",
                 num_partitions: int | None = None, with_total: bool = False) -> DataFrame:
     """Append `name` = 1..n in the order of `order_cols` (ascending unless
     the Column says otherwise). With `with_total`, also `_total` = n."""
     ensure_checkpoint_dir(df.sparkSession)
     n = _partitions(df, num_partitions)
+    # range partitioning samples its input in a separate job first; that job
+    # reuses the shuffle output of upstream stages, so only the last stage
+    # before the exchange runs twice (cheaper than caching wide rows)
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     mid = F.monotonically_increasing_id()
-    tagged = ranged.withColumn("_mid", mid).checkpoint(eager=True)
+    tagged = _write_table(ranged.withColumn("_mid", mid))
     tagged = tagged.withColumns({
         "_pid": F.shiftright("_mid", _LOCAL_BITS),
         "_local": F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)),
