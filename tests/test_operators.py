@@ -71,3 +71,57 @@ def test_catalog_views_run_through_sql(spark):
     assert n == 12
     total = spark.sql("SELECT sum(line_count) AS s FROM src_status_values").collect()[0].s
     assert total == spark.sql("SELECT count(*) AS c FROM sales_lines").collect()[0].c
+
+
+def _hot_basket_lines(spark, n=6000):
+    # order 0 holds a third of all lines, each with a distinct product, so it
+    # stays hot after the (order, product) pre-aggregation
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("o"),
+        F.col("id").alias("p"), F.col("id").alias("u"))
+
+
+def _with_low_skew_thresholds(spark, fn):
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        return fn()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_hot_basket_is_split_by_aqe(spark):
+    lines = _hot_basket_lines(spark)
+
+    def run():
+        df = pairs.pair_counts(lines, "o", "p").agg(F.sum("times").alias("t"))
+        total = df.collect()[0][0]
+        return total, df._jdf.queryExecution().executedPlan().toString()
+
+    total, plan = _with_low_skew_thresholds(spark, run)
+    assert "SortMergeJoin(skew=true)" in plan
+    a, b = lines.alias("a"), lines.alias("b")
+    naive = a.join(b, (F.col("a.o") == F.col("b.o")) & (F.col("a.p") < F.col("b.p"))).count()
+    assert total == naive
+
+
+def test_hot_order_line_numbers_split(spark):
+    lines = _hot_basket_lines(spark)
+
+    def run():
+        got = numbering.number_within_groups(lines, ["o"], [F.col("p"), F.col("u")], "rn")
+        rows = got.select("u", "rn").collect()
+        return rows, got._jdf.queryExecution().executedPlan().toString()
+
+    rows, plan = _with_low_skew_thresholds(spark, run)
+    ref = lines.withColumn("ref", F.row_number().over(Window.partitionBy("o").orderBy("p", "u")))
+    expected = {r.u: r.ref for r in ref.select("u", "ref").collect()}
+    assert {r.u: r.rn for r in rows} == expected
+    # the join back of group starts is split on the hot order
+    assert "SortMergeJoin(skew=true)" in plan
