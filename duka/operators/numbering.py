@@ -47,9 +47,11 @@ def _write_table(df: DataFrame) -> DataFrame:
 
 
 def dense_index(df: DataFrame, order_cols: list, name: str = "row_index",
-                num_partitions: int | None = None, with_total: bool = False) -> DataFrame:
+                num_partitions: int | None = None, with_total: bool = False,
+                keep_partition: bool = False) -> DataFrame:
     """Append `name` = 1..n in the order of `order_cols` (ascending unless
-    the Column says otherwise). With `with_total`, also `_total` = n."""
+    the Column says otherwise). With `with_total`, also `_total` = n; with
+    `keep_partition`, also `_pid`, the range partition of the row."""
     ensure_checkpoint_dir(df.sparkSession)
     n = _partitions(df, num_partitions)
     # range partitioning samples its input in a separate job first; that job
@@ -70,7 +72,8 @@ def dense_index(df: DataFrame, order_cols: list, name: str = "row_index",
         F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
     out = (tagged.join(F.broadcast(offsets), "_pid")
            .withColumn(name, F.col("_offset") + F.col("_local") + 1))
-    drop = ["_mid", "_pid", "_local", "_offset"] + ([] if with_total else ["_total"])
+    drop = ["_mid", "_local", "_offset"] + ([] if with_total else ["_total"]) \
+        + ([] if keep_partition else ["_pid"])
     return out.drop(*drop)
 
 
@@ -95,21 +98,37 @@ def number_within_groups(df: DataFrame, group_cols: list[str], order_cols: list,
 
     A hot group is never sent to one task: rows are numbered globally by
     (group, order) with `dense_index`, so a large group spreads over several
-    range partitions; each group's first global number is a partial-then-
-    final aggregate and the join back is a plain equi-join (AQE splits a
-    skewed side).
+    range partitions, and `number_from_index` joins on (range partition,
+    group), a key no group can dominate.
     """
     keys = [F.col(c) for c in group_cols] + list(order_cols)
-    idx = dense_index(df, keys, name="_gi", num_partitions=num_partitions)
-    return number_from_index(idx, group_cols, "_gi", name).drop("_gi")
+    idx = dense_index(df, keys, name="_gi", num_partitions=num_partitions, keep_partition=True)
+    return number_from_index(idx, group_cols, "_gi", name, partition_col="_pid") \
+        .drop("_gi", "_pid")
 
 
 def number_from_index(idx: DataFrame, group_cols: list[str], index_col: str,
-                      name: str) -> DataFrame:
+                      name: str, partition_col: str | None = None) -> DataFrame:
     """Per-group numbers from a global index whose order starts with the
-    group columns: index minus the group's first index, plus one."""
-    starts = idx.groupBy(*group_cols).agg(F.min(index_col).alias("_gs"))
-    return (idx.join(starts, group_cols)
+    group columns: index minus the group's first index, plus one.
+
+    With `partition_col` (the range partition of each row, see
+    `dense_index(keep_partition=True)`), the group starts are found per
+    (partition, group) block first: partial aggregation collapses each block
+    to one row inside its task, the blocks of one group (at most one per
+    partition it spans) agree on the group start, and the rows are joined
+    back on (partition, group). A group holding a third of all rows spans
+    many partitions, so no join key and no task carries it whole.
+    """
+    if partition_col is None:
+        starts = idx.groupBy(*group_cols).agg(F.min(index_col).alias("_gs"))
+        return (idx.join(starts, group_cols)
+                .withColumn(name, (F.col(index_col) - F.col("_gs") + 1).cast("int"))
+                .drop("_gs"))
+    blocks = idx.groupBy(partition_col, *group_cols).agg(F.min(index_col).alias("_bs"))
+    starts = blocks.groupBy(*group_cols).agg(F.min("_bs").alias("_gs"))
+    block_starts = blocks.join(starts, group_cols).select(partition_col, *group_cols, "_gs")
+    return (idx.join(block_starts, [partition_col, *group_cols])
             .withColumn(name, (F.col(index_col) - F.col("_gs") + 1).cast("int"))
             .drop("_gs"))
 

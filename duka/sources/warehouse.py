@@ -253,9 +253,11 @@ class Warehouse:
         or per-order window), so a huge order still spreads over tasks."""
         from duka.operators import numbering
         order = [F.col("order_id")] + [F.col(c) for c in LINE_ORDER]
-        keyed = numbering.dense_index(self.sales_lines, order, name="sales_fact_key")
+        keyed = numbering.dense_index(self.sales_lines, order, name="sales_fact_key",
+                                      keep_partition=True)
         return numbering.number_from_index(keyed, ["order_id"], "sales_fact_key",
-                                           "order_line_number")
+                                           "order_line_number", partition_col="_pid") \
+            .drop("_pid")
 
     def sales_from(self, start_date: str) -> DataFrame:
         """Sales lines on or after a date; the bound reaches the orders scan."""
