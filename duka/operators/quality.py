@@ -18,12 +18,16 @@ def orphan_count(check: str, child: DataFrame, child_key: str,
                  parent: DataFrame, parent_key: str) -> DataFrame:
     """One row: check name, child rows, child rows whose key has no parent."""
     keys = parent.select(F.col(parent_key).alias("_pk")).distinct()
-    flagged = child.select(F.col(child_key).alias("_ck")).join(
-        keys, F.col("_ck") == F.col("_pk"), "left")
+    # count child rows per key first: a key held by a third of the child
+    # rows becomes one row per task before the shuffle, and the join is then
+    # between two per-key tables
+    per_key = child.groupBy(F.col(child_key).alias("_ck")).agg(F.count(F.lit(1)).alias("_n"))
+    flagged = per_key.join(keys, F.col("_ck") == F.col("_pk"), "left")
     return flagged.agg(
         F.lit(check).alias("check_name"),
-        F.count(F.lit(1)).alias("child_rows"),
-        F.count_if(F.col("_pk").isNull()).alias("orphan_rows"))
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("child_rows"),
+        F.coalesce(F.sum(F.when(F.col("_pk").isNull(), F.col("_n"))), F.lit(0))
+        .alias("orphan_rows"))
 
 
 def duplicate_keys(check: str, df: DataFrame, key_cols: list[str]) -> DataFrame:

@@ -53,8 +53,8 @@ def get_session() -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's `spark.checkpoint.dir`; only make our own when unset.
 
-    A cluster names a shared folder there. A scratch folder is made only when
-    nothing is configured, which is the local/test case.
+    A cluster names a shared folder there. A scratch folder is made only in
+    local mode (tests); on a cluster an unset value is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot read a driver-local folder
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf_dir = tempfile.mkdtemp(prefix="duka-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
