@@ -2,7 +2,7 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma list, default: the headline set below), BENCH_REPEAT
-(default 1), BENCH_MODE (`stored`: build the warehouse once, timed as
+(default 2, best of), BENCH_MODE (`stored`: build the warehouse once, timed as
 `build_warehouse`, then run every report on it; `raw`: every report derives
 the star from the driver tables itself). Each query runs to completion with the `noop` sink (every row
 is produced, nothing is collected to the driver); a warm-up query runs first
@@ -36,7 +36,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "1")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from duka.plans import registry

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,9 +87,19 @@ def rfm_segments(w: Warehouse, as_of: str | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("order_frequency"),
         total("n").alias("total_monetary_value_usd"))
     key = F.col("customer_key")
-    r = numbering.ntile(raw, 4, [F.desc("recency_days"), key], "r_score")
-    f = numbering.ntile(r, 4, [F.asc("order_frequency"), key], "f_score")
-    m = numbering.ntile(f, 4, [F.asc("total_monetary_value_usd"), key], "m_score")
+    specs = [("recency_days", F.desc("recency_days"), "r_score"),
+             ("order_frequency", F.asc("order_frequency"), "f_score"),
+             ("total_monetary_value_usd", F.asc("total_monetary_value_usd"), "m_score")]
+
+    def quartile(spec):
+        metric, order, name = spec
+        narrow = raw.select("customer_key", metric)
+        return numbering.ntile(narrow, 4, [order, key], name).select("customer_key", name)
+
+    # the three numberings are independent jobs: submit them together
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        r, f, m = pool.map(quartile, specs)
+    m = raw.join(r, "customer_key").join(f, "customer_key").join(m, "customer_key")
     R, Fs, M = F.col("r_score"), F.col("f_score"), F.col("m_score")
     label = (F.when((R >= 3) & (Fs >= 3) & (M >= 3), fixed.RFM_CHAMPIONS)
              .when((R <= 2) & (Fs >= 3), fixed.RFM_AT_RISK)
