@@ -33,10 +33,11 @@ def mom_growth(w: Warehouse) -> DataFrame:
     prev = F.lag("current_month_revenue_usd", 1).over(Window.orderBy("year", "month_number"))
     cur = F.col("current_month_revenue_usd")
     return m.select(
-        "year", "month_name", "current_month_revenue_usd",
+        "year", "month_number", "month_name", "current_month_revenue_usd",
         F.coalesce(prev, F.lit(0)).cast(TOTAL).alias("previous_month_revenue_usd"),
         F.round(cur - prev, 2).cast(TOTAL).alias("revenue_variance_usd"),
-        pct(cur - prev, prev).alias("mom_growth_rate_pct"))
+        pct(cur - prev, prev).alias("mom_growth_rate_pct")) \
+        .orderBy("year", "month_number").drop("month_number")
 
 
 def qoq_growth(w: Warehouse) -> DataFrame:
@@ -46,10 +47,12 @@ def qoq_growth(w: Warehouse) -> DataFrame:
     prev = F.lag("current_quarter_revenue_usd", 1).over(Window.orderBy("year", "quarter"))
     cur = F.col("current_quarter_revenue_usd")
     return q.select(
-        "year", F.concat(F.lit("Q"), F.col("quarter").cast("string")).alias("financial_quarter"),
+        "year", "quarter",
+        F.concat(F.lit("Q"), F.col("quarter").cast("string")).alias("financial_quarter"),
         "current_quarter_revenue_usd",
         F.coalesce(prev, F.lit(0)).cast(TOTAL).alias("previous_quarter_revenue_usd"),
-        pct(cur - prev, prev).alias("qoq_growth_rate_pct"))
+        pct(cur - prev, prev).alias("qoq_growth_rate_pct")) \
+        .orderBy("year", "quarter").drop("quarter")
 
 
 def cohort_retention(w: Warehouse) -> DataFrame:
@@ -72,7 +75,8 @@ def cohort_retention(w: Warehouse) -> DataFrame:
         F.sum("a2").alias("month_2_retained"), F.sum("a3").alias("month_3_retained"))
     return g.select(F.date_format("cohort_month", "yyyy-MM").alias("cohort"), "cohort_size",
                     "month_0_active", "month_1_retained", "month_2_retained", "month_3_retained",
-                    pct("month_1_retained", "cohort_size").alias("month_1_retention_rate_pct"))
+                    pct("month_1_retained", "cohort_size").alias("month_1_retention_rate_pct")) \
+        .orderBy("cohort")
 
 
 def rfm_segments(w: Warehouse, as_of: str | None = None) -> DataFrame:
@@ -108,7 +112,8 @@ def rfm_segments(w: Warehouse, as_of: str | None = None) -> DataFrame:
     return (m.join(w.customer_keys.select("customer_key", "customer_id", "customer_name"),
                    "customer_key")
             .select("customer_id", "customer_name", "recency_days", "order_frequency",
-                    "total_monetary_value_usd", label.alias("actionable_marketing_segment")))
+                    "total_monetary_value_usd", label.alias("actionable_marketing_segment"))
+            .orderBy(F.desc("total_monetary_value_usd")))
 
 
 def recently_sold(w: Warehouse, cutoff_key: int) -> DataFrame:
@@ -127,7 +132,8 @@ def dead_stock(w: Warehouse, cutoff_key: int | None = None) -> DataFrame:
          .agg(F.sum("c").alias("unsold_units_on_hand"),
               F.sum(F.col("c") * F.col("standard_cost")).alias("_v")))
     return (g.where(F.col("unsold_units_on_hand") > 0)
-            .withColumn("tied_up_capital_usd", F.round("_v", 2).cast(TOTAL)).drop("_v"))
+            .withColumn("tied_up_capital_usd", F.round("_v", 2).cast(TOTAL)).drop("_v")
+            .orderBy(F.desc("tied_up_capital_usd")))
 
 
 def returned_products(w: Warehouse) -> DataFrame:
@@ -144,7 +150,8 @@ def returned_products(w: Warehouse) -> DataFrame:
     return (g.where(F.col("total_units_returned") > 0)
             .select("product_name", "category", "total_units_kept", "total_units_returned",
                     pct("total_units_returned", "_units").alias("return_rate_pct"),
-                    F.round("_lost", 2).cast(TOTAL).alias("lost_revenue_usd")))
+                    F.round("_lost", 2).cast(TOTAL).alias("lost_revenue_usd"))
+            .orderBy(F.desc("return_rate_pct"), F.desc("lost_revenue_usd")))
 
 
 def market_basket(w: Warehouse, min_pairs: int | None = None) -> DataFrame:
@@ -160,7 +167,8 @@ def market_basket(w: Warehouse, min_pairs: int | None = None) -> DataFrame:
     g = (counts.join(a, "item_a").join(b, "item_b")
          .groupBy("product_a_category", "product_a_name", "product_b_category", "product_b_name")
          .agg(F.sum("times").alias("times_purchased_together")))
-    return g.where(F.col("times_purchased_together") > threshold)
+    return g.where(F.col("times_purchased_together") > threshold) \
+        .orderBy(F.desc("times_purchased_together"))
 
 
 def market_basket_keys(w: Warehouse) -> DataFrame:

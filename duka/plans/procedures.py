@@ -27,9 +27,10 @@ def monthly_revenue(w: Warehouse, target_year: int | None = None) -> DataFrame:
     # the window runs over at most 12 aggregated rows
     prev = F.lag("net_revenue_usd", 1).over(Window.orderBy("month_number"))
     growth = F.col("net_revenue_usd") - prev
-    return m.select("month_name", "net_revenue_usd", "total_profit_usd",
-                    F.round(growth, 2).cast(TOTAL).alias("absolute_growth_usd"),
-                    pct(growth, prev).alias("growth_rate_pct"))
+    return (m.select("month_number", "month_name", "net_revenue_usd", "total_profit_usd",
+                     F.round(growth, 2).cast(TOTAL).alias("absolute_growth_usd"),
+                     pct(growth, prev).alias("growth_rate_pct"))
+            .orderBy("month_number").drop("month_number"))
 
 
 def customer_lifetime_value(w: Warehouse, customer_id: int | None = None) -> DataFrame:
@@ -87,7 +88,8 @@ def inventory_turnover(w: Warehouse, category: str | None = None) -> DataFrame:
         "category", "sub_category", "product_name", "total_units_sold",
         F.round("_cogs", 2).cast(TOTAL).alias("cogs_usd"),
         ratio("_oc_value", two_n).alias("average_inventory_value_usd"),
-        ratio(F.col("_cogs") * two_n, "_oc_value").alias("inventory_turnover_ratio"))
+        ratio(F.col("_cogs") * two_n, "_oc_value").alias("inventory_turnover_ratio")) \
+        .orderBy(F.desc("inventory_turnover_ratio"))
 
 
 def _campaign_day_frames(w: Warehouse, channel: str):
@@ -110,7 +112,8 @@ def _roi_columns(g: DataFrame) -> DataFrame:
         pct("clicks", "impressions", scale=3).alias("ctr_pct"),
         "conversions", "total_campaign_cost_usd", "attribution_revenue_usd",
         ratio(F.col("attribution_revenue_usd") - F.col("total_campaign_cost_usd"),
-              "total_campaign_cost_usd").alias("return_on_investment_ratio"))
+              "total_campaign_cost_usd").alias("return_on_investment_ratio")) \
+        .orderBy(F.desc("return_on_investment_ratio"))
 
 
 def campaign_roi(w: Warehouse, channel: str | None = None) -> DataFrame:
