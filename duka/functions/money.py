@@ -34,21 +34,34 @@ def total(x) -> Column:
     return F.sum(_c(x)).cast(TOTAL)
 
 
+# operands below this fit decimal(20,2) (and x100) without overflow
+_NARROW_LIMIT = 10 ** 15
+
+
 def ratio(num, den, scale: int = 2, times: int = 1, zero=None) -> Column:
     """round(num / den * times, scale), exact quotient, one rounding.
 
     A zero or NULL denominator gives NULL (NULLIF form) unless `zero` is set,
-    which gives that value instead (DIVIDE(a, b, 0) form).
+    which gives that value instead (DIVIDE(a, b, 0) form). Operands beyond
+    10^15 (possible for totals at very large scale) are divided as
+    decimal(38,2), whose quotient keeps 6 decimals before the rounding; the
+    CASE evaluates only the branch it takes, so the narrow casts never
+    overflow.
     """
-    n = _c(num).cast("decimal(20,2)")
-    if times != 1:
-        # an int literal would widen the quotient's integer part and cut its
-        # scale to 7; decimal(k,0) keeps the quotient at decimal(38,14)
-        n = n * F.lit(times).cast(f"decimal({len(str(times))},0)")
-    d = _c(den).cast("decimal(20,2)")
-    q = F.round(n / F.nullif(d, F.lit(0)), scale)
     out_type = f"decimal(38,{scale})"
-    q = q.cast(out_type)
+    num_c, den_c = _c(num), _c(den)
+
+    def quotient(width: int) -> Column:
+        n = num_c.cast(f"decimal({width},2)")
+        if times != 1:
+            # an int literal would widen the quotient's integer part and cut
+            # its scale; decimal(k,0) keeps the narrow quotient at (38,14)
+            n = n * F.lit(times).cast(f"decimal({len(str(times))},0)")
+        d = den_c.cast(f"decimal({width},2)")
+        return F.round(n / F.nullif(d, F.lit(0)), scale).cast(out_type)
+
+    small = (F.abs(num_c) < _NARROW_LIMIT) & (F.abs(den_c) < _NARROW_LIMIT)
+    q = F.when(small, quotient(20)).otherwise(quotient(38))
     if zero is not None:
         q = F.coalesce(q, F.lit(zero).cast(out_type))
     return q

@@ -206,3 +206,11 @@ def test_rolling_12m_ltv(spark):
         .where("year = 2024 and month_number = 1").collect()[0]
     assert got.trailing_12m_revenue_usd == D("144.00") and got.active_customers == 2
     assert got.rolling_12m_ltv_usd == D("72.00")
+
+
+def test_ratio_on_very_large_totals(spark):
+    big = D("123456789012345678901.23")  # beyond decimal(20,2)
+    df = literal_table(spark, [(big, D("2.00")), (D("1.00"), D("3.00"))],
+                       [("a", "decimal(38,2)"), ("b", "decimal(38,2)")])
+    got = _one_col(df.select(ratio("a", "b").alias("r")), "r")
+    assert got == [D("61728394506172839450.62"), D("0.33")]
