@@ -65,6 +65,20 @@ def month_index(year, month) -> Column:
     return (_c(year) * 12 + _c(month) - 1).cast("int")
 
 
+def month_name_of(year, month) -> Column:
+    """Month name from (year, month) ints: computed on aggregated rows, so
+    reports group by integers and format names once per output row."""
+    return F.date_format(F.make_date(_c(year), _c(month), F.lit(1)), "MMMM")
+
+
+def year_of_key(k) -> Column:
+    return (_c(k) / 10000).cast("int")
+
+
+def month_of_key(k) -> Column:
+    return ((_c(k) / 100).cast("int") % 100).cast("int")
+
+
 def calendar_columns(d) -> dict[str, Column]:
     """All calendar dimension columns derived from a date column."""
     d = _c(d)

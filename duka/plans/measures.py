@@ -16,14 +16,10 @@ from duka.functions.money import TOTAL, ratio, total
 from duka.sources.warehouse import Warehouse
 
 
-def _calendar(w: Warehouse, *cols: str) -> DataFrame:
-    return F.broadcast(w.dim_date.select("date_key", *cols))
-
-
 def fiscal_ytd_sales(w: Warehouse) -> DataFrame:
     """Per fiscal month: net revenue and its running total since 1 July."""
-    m = (w.sales_lines.join(_calendar(w, "fiscal_year", "fiscal_month"), "date_key")
-         .groupBy("fiscal_year", "fiscal_month")
+    m = (w.sales_lines.groupBy(cal.fiscal_year("order_date").alias("fiscal_year"),
+                               cal.fiscal_month("order_date").alias("fiscal_month"))
          .agg(total("net_revenue_usd").alias("sales_usd")))
     ytd = Window.partitionBy("fiscal_year").orderBy("fiscal_month") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -34,8 +30,8 @@ def ending_inventory(w: Warehouse) -> DataFrame:
     """Per year, month, category: closing stock on the last day with rows.
     Stock is semi-additive: summed over products on a day, never over days."""
     inv = w.fact_inventory().join(w.dim_product.select("product_key", "category"), "product_key")
-    daily = (inv.join(_calendar(w, "year", "month_number"), "date_key")
-             .groupBy("year", "month_number", "category", "date_key")
+    daily = (inv.groupBy(cal.year_of_key("date_key").alias("year"),
+                         cal.month_of_key("date_key").alias("month_number"), "category", "date_key")
              .agg(F.sum("closing_stock").alias("stock")))
     return (daily.groupBy("year", "month_number", "category")
             .agg(F.max_by("stock", "date_key").alias("ending_stock")))
@@ -79,8 +75,8 @@ def returns_liability(w: Warehouse) -> DataFrame:
     completed revenue)."""
     st = F.col("status_key")
     net = F.col("net_revenue_usd")
-    q = (w.sales_lines.join(_calendar(w, "year", "quarter"), "date_key")
-         .groupBy("year", "quarter")
+    q = (w.sales_lines.groupBy(F.year("order_date").alias("year"),
+                               F.quarter("order_date").alias("quarter"))
          .agg(total(F.when(st == fixed.status_key("Returned"), net)).alias("returned_usd"),
               total(F.when(st == fixed.status_key("Completed"), net)).alias("settled_usd")))
     risk = F.when(F.col("returned_usd").isNull(), F.lit(None)).otherwise(
@@ -91,8 +87,9 @@ def returns_liability(w: Warehouse) -> DataFrame:
 def rolling_12m_ltv(w: Warehouse) -> DataFrame:
     """Per month: revenue of the trailing 12 months / distinct customers of
     the month itself (the division sits outside the 12-month filter)."""
-    per_customer = (w.sales_lines.join(_calendar(w, "year", "month_number"), "date_key")
-                    .groupBy("year", "month_number", "customer_key")
+    per_customer = (w.sales_lines.groupBy(F.year("order_date").alias("year"),
+                                          F.month("order_date").alias("month_number"),
+                                          "customer_key")
                     .agg(F.sum("net_revenue_usd").alias("n")))
     m = (per_customer.groupBy("year", "month_number")
          .agg(F.sum("n").alias("rev"), F.count(F.lit(1)).alias("active_customers"))

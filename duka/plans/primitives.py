@@ -87,8 +87,8 @@ def join_cross_dense(w: Warehouse) -> DataFrame:
     sold = w.sales_lines.groupBy("date_key", "product_key").agg(F.sum("quantity").alias("sold"))
     dense = grid.join(sold, ["date_key", "product_key"], "left") \
         .withColumn("units", F.coalesce("sold", F.lit(0)))
-    return (dense.join(_calendar(w, "year", "month_number"), "date_key")
-            .groupBy("year", "month_number")
+    return (dense.groupBy(cal.year_of_key("date_key").alias("year"),
+                          cal.month_of_key("date_key").alias("month_number"))
             .agg(F.count(F.lit(1)).alias("grid_cells"),
                  F.count_if(F.col("units") == 0).alias("zero_cells"),
                  F.sum("units").alias("units")))
@@ -177,14 +177,16 @@ def agg_having(w: Warehouse, min_lines: int = 300) -> DataFrame:
 def agg_pivot_months(w: Warehouse) -> DataFrame:
     """Units per year with one column per quarter (pivot with fixed values,
     a single aggregation)."""
-    s = w.sales_lines.join(_calendar(w, "year", "quarter"), "date_key")
+    s = w.sales_lines.select(F.year("order_date").alias("year"),
+                             F.quarter("order_date").alias("quarter"), "quantity")
     p = s.groupBy("year").pivot("quarter", [1, 2, 3, 4]).agg(F.sum("quantity"))
     return p.select("year", *[F.col(str(q)).alias(f"q{q}_units") for q in (1, 2, 3, 4)])
 
 
 def window_lag(w: Warehouse) -> DataFrame:
-    m = (w.sales_lines.join(_calendar(w, "year", "month_number"), "date_key")
-         .groupBy("year", "month_number").agg(F.sum("quantity").alias("units")))
+    m = (w.sales_lines.groupBy(F.year("order_date").alias("year"),
+                               F.month("order_date").alias("month_number"))
+         .agg(F.sum("quantity").alias("units")))
     prev = F.lag("units", 1).over(Window.orderBy("year", "month_number"))
     return m.withColumn("previous_units", prev)
 

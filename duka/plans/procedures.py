@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from duka.functions import calendar as cal
 from duka.functions import fixed
 from duka.functions.money import TOTAL, pct, ratio, total
 from duka.sources.warehouse import Warehouse
@@ -19,11 +20,10 @@ def monthly_revenue(w: Warehouse, target_year: int | None = None) -> DataFrame:
     year = int(target_year or w.params["target_year"])
     excluded = fixed.status_keys("Cancelled", "Refunded")
     s = w.sales_in_year(year).where(~F.col("status_key").isin(*excluded))
-    d = F.broadcast(w.dim_date.where(F.col("year") == year)
-                    .select("date_key", "month_number", "month_name"))
-    m = (s.join(d, "date_key").groupBy("month_number", "month_name")
+    m = (s.groupBy(F.month("order_date").alias("month_number"))
          .agg(total("net_revenue_usd").alias("net_revenue_usd"),
-              total("profit_usd").alias("total_profit_usd")))
+              total("profit_usd").alias("total_profit_usd"))
+         .withColumn("month_name", cal.month_name_of(F.lit(year), "month_number")))
     # the window runs over at most 12 aggregated rows
     prev = F.lag("net_revenue_usd", 1).over(Window.orderBy("month_number"))
     growth = F.col("net_revenue_usd") - prev

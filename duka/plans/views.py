@@ -12,28 +12,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duka.functions import calendar as cal
 from duka.functions import fixed
 from duka.functions.money import TOTAL, pct, ratio, total
 from duka.sources.warehouse import Warehouse
 
 
-def _calendar(w: Warehouse, *cols: str) -> DataFrame:
-    # bounded by the calendar span (366 rows per year), safe to broadcast
-    return F.broadcast(w.dim_date.select("date_key", *cols))
-
-
 def revenue_kpis(w: Warehouse) -> DataFrame:
     excluded = fixed.status_keys("Cancelled", "Refunded")
     s = w.sales_lines.where(~F.col("status_key").isin(*excluded))
-    per_order = (s.join(_calendar(w, "year", "month_number", "month_name"), "date_key")
-                 .groupBy("year", "month_number", "month_name", "order_id")
+    # calendar attributes are functions of the order date (the calendar
+    # covers every order year), so no per-row dimension lookup is needed
+    per_order = (s.groupBy(F.year("order_date").alias("year"),
+                           F.month("order_date").alias("month_number"), "order_id")
                  .agg(F.sum("gross_revenue_usd").alias("g"), F.sum("net_revenue_usd").alias("n"),
                       F.sum("profit_usd").alias("p")))
-    g = per_order.groupBy("year", "month_number", "month_name").agg(
+    g = per_order.groupBy("year", "month_number").agg(
         F.count(F.lit(1)).alias("total_orders"),
         total("g").alias("gross_revenue_usd"), total("n").alias("net_revenue_usd"),
         total("p").alias("total_profit_usd"))
-    return g.select("year", "month_name", "total_orders", "gross_revenue_usd", "net_revenue_usd",
+    return g.select("year", cal.month_name_of("year", "month_number").alias("month_name"),
+                    "total_orders", "gross_revenue_usd", "net_revenue_usd",
                     "total_profit_usd",
                     pct("total_profit_usd", "net_revenue_usd").alias("profit_margin_pct"),
                     ratio("net_revenue_usd", "total_orders").alias("aov_usd"))
