@@ -4,14 +4,17 @@
 or a broadcast nested loop. When the range is a span of days, each range row
 is expanded to its days with `explode(sequence(start, end))` and joined on
 the day: an equi-join that shuffles or broadcasts like any other.
-A dense (entity x day) grid is generated the same way, per entity row.
+A dense (entity x day) grid is generated the same way, per entity row;
+`dense_daily` fills it with per-day values without ever shuffling the grid.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duka.functions import calendar as cal
+
 
 def explode_days(df: DataFrame, start: str, end: str, name: str = "full_date") -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.col(start), F.col(end),
@@ -23,3 +26,28 @@ def day_grid(entities: DataFrame, start_date: str, end_date: str,
     """Every entity row repeated for each day in [start_date, end_date]."""
     return entities.withColumn(name, F.explode(F.sequence(
         F.lit(start_date).cast("date"), F.lit(end_date).cast("date"), F.expr("INTERVAL 1 DAY"))))
+
+
+def dense_daily(entities: DataFrame, key: str, daily: DataFrame, value_col: str,
+                start, end, name: str = "full_date") -> DataFrame:
+    """(key, full_date, date_key, value) for every entity and every day in
+    [start, end]; value is the entity's `daily` value that day, or NULL.
+
+    `daily` holds (key, date_key, value) with one row per entity and day,
+    all inside [start, end]. Each entity's values are gathered into one map
+    (at most one entry per day of the span, so bounded by the calendar, not
+    by the data), joined to the entities on the key (entity-sized rows on
+    both sides), and the days are generated after that join: the
+    entities x days grid is produced where it is consumed and never
+    shuffled.
+    """
+    start_c = start if isinstance(start, Column) else F.lit(start).cast("date")
+    end_c = end if isinstance(end, Column) else F.lit(end).cast("date")
+    by_entity = daily.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("date_key", value_col))).alias("_by_day"))
+    e = entities.select(key).join(by_entity, key, "left")
+    grid = e.select(key, "_by_day",
+                    F.explode(F.sequence(start_c, end_c, F.expr("INTERVAL 1 DAY"))).alias(name))
+    grid = grid.withColumn("date_key", cal.date_key(name))
+    return grid.select(key, name, "date_key",
+                       F.try_element_at("_by_day", F.col("date_key")).alias(value_col))

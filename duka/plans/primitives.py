@@ -75,17 +75,15 @@ def join_left_multi(w: Warehouse) -> DataFrame:
 
 def join_cross_dense(w: Warehouse) -> DataFrame:
     """Dense (day x product) grid over the whole calendar with zero-filled
-    units, summarised per month. The grid is generated per product with
-    explode(sequence), not with a cross join."""
+    units, summarised per month. The grid is generated per product after
+    joining the product to its map of daily sales (`ranges.dense_daily`),
+    not with a cross join, and is never shuffled."""
     products = w.dim_product.select("product_key")
     # the calendar bounds are scalar subqueries (one global aggregate each)
     lo = w.date_bounds.select("lo").scalar()
     hi = w.date_bounds.select("hi").scalar()
-    grid = products.select("product_key",
-                           F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("full_date")) \
-        .select("product_key", cal.date_key("full_date").alias("date_key"))
-    sold = w.sales_lines.groupBy("date_key", "product_key").agg(F.sum("quantity").alias("sold"))
-    dense = grid.join(sold, ["date_key", "product_key"], "left") \
+    sold = w.sales_lines.groupBy("product_key", "date_key").agg(F.sum("quantity").alias("sold"))
+    dense = ranges.dense_daily(products, "product_key", sold, "sold", lo, hi) \
         .withColumn("units", F.coalesce("sold", F.lit(0)))
     return (dense.groupBy(cal.year_of_key("date_key").alias("year"),
                           cal.month_of_key("date_key").alias("month_number"))

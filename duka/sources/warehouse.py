@@ -286,42 +286,38 @@ class Warehouse:
     def fact_inventory(self, years=None, products: DataFrame | None = None) -> DataFrame:
         """Daily stock snapshot per product for the given calendar years.
 
-        The product x day grid is generated per product with
-        `explode(sequence(...))` (no cross join); each day is clipped to the
-        calendar. Sales are pre-aggregated to (date, product) before the
-        left join, so a hot product never meets more than one row per day.
-        `products` restricts the grid (e.g. one category) before it is built.
+        Sales are pre-aggregated to (product, day) inside the period, then
+        `ranges.dense_daily` generates each product's days after joining the
+        product to its (calendar-bounded) map of daily sales, so the
+        product x day grid is never shuffled and no cross join is planned.
+        Days are clipped to the calendar. `products` restricts the grid
+        (e.g. one category) before it is built.
         """
+        from duka.operators.ranges import dense_daily
         years = tuple(years or self.params["inventory_years"])
         lo, hi = f"{min(years):04d}-01-01", f"{max(years):04d}-12-31"
         products = (self.dim_product if products is None else products).select("product_key")
-        grid = products.select(
-            "product_key",
-            F.explode(F.sequence(F.lit(lo).cast("date"), F.lit(hi).cast("date"),
-                                 F.expr("INTERVAL 1 DAY"))).alias("full_date"))
-        grid = grid.where(F.year("full_date").isin(*years))
-        grid = grid.join(F.broadcast(self.inventory_dates(years)), "full_date", "left_semi")
-        grid = grid.select("product_key", cal.date_key("full_date").alias("date_key"),
-                           F.dayofmonth("full_date").alias("day_number"))
         ts_lo = F.lit(lo).cast("timestamp_ntz")
         ts_hi = F.date_add(F.lit(hi).cast("date"), 1).cast("timestamp_ntz")
         sold = (self.sales_lines
                 .where((F.col("order_ts") >= ts_lo) & (F.col("order_ts") < ts_hi))
-                .groupBy("date_key", "product_key")
+                .groupBy("product_key", "date_key")
                 .agg(F.sum("quantity").alias("sold")))
-        day = F.col("day_number")
+        grid = dense_daily(products, "product_key", sold, "sold", lo, hi)
+        grid = grid.where(F.year("full_date").isin(*years))
+        grid = grid.join(F.broadcast(self.inventory_dates(years).select("full_date")),
+                         "full_date", "left_semi")
+        day = F.dayofmonth("full_date")
         received = F.when(day == 1, fixed.RESTOCK_UNITS).otherwise(0)
         stock_sold = F.coalesce(F.col("sold"), F.lit(0))
-        return (grid.join(sold, ["date_key", "product_key"], "left")
-                .select(
-                    "date_key", "product_key",
-                    F.lit(fixed.OPENING_STOCK).cast("int").alias("opening_stock"),
-                    received.cast("int").alias("stock_received"),
-                    stock_sold.cast("int").alias("stock_sold"),
-                    F.when(day % fixed.RETURN_DAY_MODULUS == 0, fixed.RETURNED_UNITS)
-                    .otherwise(0).cast("int").alias("stock_returned"),
-                    (F.lit(fixed.OPENING_STOCK) + received - stock_sold).cast("int")
-                    .alias("closing_stock")))
+        return grid.select(
+            "date_key", "product_key",
+            F.lit(fixed.OPENING_STOCK).cast("int").alias("opening_stock"),
+            received.cast("int").alias("stock_received"),
+            stock_sold.cast("int").alias("stock_sold"),
+            F.when(day % fixed.RETURN_DAY_MODULUS == 0, fixed.RETURNED_UNITS)
+            .otherwise(0).cast("int").alias("stock_returned"),
+            (F.lit(fixed.OPENING_STOCK) + received - stock_sold).cast("int").alias("closing_stock"))
 
     # ----------------------------------------------------------- marketing
     @cached_property
