@@ -15,7 +15,7 @@ import json
 import os
 import platform
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -40,7 +40,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from duka.plans import registry
-    from duka.session import local_session
+    from duka.session import ensure_checkpoint_dir, local_session
 
     mode = os.environ.get("BENCH_MODE", "stored")
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="duka-bench")
@@ -54,7 +54,8 @@ def main() -> None:
     registry.run("monthly_revenue", spark, sf_dir).write.format("noop").mode("overwrite").save()
     if mode == "stored":
         # build once (the load job), then every report reads the star
-        store_dir = tempfile.mkdtemp(prefix="duka-bench-store-")
+        # under the session's checkpoint folder (shared storage on a cluster)
+        store_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-store-{uuid.uuid4().hex}"
         t0 = time.perf_counter()
         build_warehouse(Warehouse(spark, sf_dir), store_dir)
         times["build_warehouse"] = round(time.perf_counter() - t0, 3)
