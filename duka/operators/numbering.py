@@ -29,12 +29,6 @@ from duka.session import ensure_checkpoint_dir
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _write_table(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing `df` as Parquet under the checkpoint
     folder and reading it back. `_mid` is a stored column from here on, so
@@ -53,11 +47,18 @@ def dense_index(df: DataFrame, order_cols: list, name: str = "row_index",
     the Column says otherwise). With `with_total`, also `_total` = n; with
     `keep_partition`, also `_pid`, the range partition of the row."""
     ensure_checkpoint_dir(df.sparkSession)
-    n = _partitions(df, num_partitions)
     # range partitioning samples its input in a separate job first; that job
     # reuses the shuffle output of upstream stages, so only the last stage
-    # before the exchange runs twice (cheaper than caching wide rows)
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # before the exchange runs twice (cheaper than caching wide rows).
+    # Without an explicit count AQE may coalesce neighbouring range
+    # partitions to its advisory size: a coalesced partition is a contiguous
+    # run of ranges, so partition order is still the global order, and the
+    # numbers are fixed in the written table before anything reads them.
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *order_cols)
+    else:
+        ranged = df.repartitionByRange(*order_cols)
+    ranged = ranged.sortWithinPartitions(*order_cols)
     mid = F.monotonically_increasing_id()
     tagged = _write_table(ranged.withColumn("_mid", mid))
     tagged = tagged.withColumns({
