@@ -21,13 +21,6 @@ def explode_days(df: DataFrame, start: str, end: str, name: str = "full_date") -
                                                     F.expr("INTERVAL 1 DAY"))))
 
 
-def day_grid(entities: DataFrame, start_date: str, end_date: str,
-             name: str = "full_date") -> DataFrame:
-    """Every entity row repeated for each day in [start_date, end_date]."""
-    return entities.withColumn(name, F.explode(F.sequence(
-        F.lit(start_date).cast("date"), F.lit(end_date).cast("date"), F.expr("INTERVAL 1 DAY"))))
-
-
 def dense_daily(entities: DataFrame, key: str, daily: DataFrame, value_col: str,
                 start, end, name: str = "full_date") -> DataFrame:
     """(key, full_date, date_key, value) for every entity and every day in

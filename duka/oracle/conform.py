@@ -78,14 +78,6 @@ def pct_sql(num: str, den: str, scale: int = 2, zero=None) -> str:
     return ratio_sql(num, den, scale=scale, times=100, zero=zero)
 
 
-def round_money_sql(x: str) -> str:
-    return f"CAST(round({x}, 2) AS DECIMAL(18,2))"
-
-
-def total_sql(x: str) -> str:
-    return f"CAST(sum({x}) AS DECIMAL(38,2))"
-
-
 CTES: dict[str, tuple[list[str], str]] = {}
 
 
