@@ -4,9 +4,17 @@ The line-level self join `a.basket = b.basket AND a.item < b.item` produces
 n_a * n_b rows per item pair inside a basket. Lines are first collapsed to
 (basket, item, lines) with a partial-then-final aggregate, so the join
 emits one row per distinct item pair per basket carrying the weight
-n_a * n_b; the result equals the line-pair count. The join is a sort-merge
-join on the basket key with `<` as residual condition, and AQE's skew-join
-handling splits a hot basket across several tasks.
+n_a * n_b; the result equals the line-pair count.
+
+A basket with k distinct items still yields k(k-1)/2 pairs, all for one
+join key. Hot baskets are therefore routed separately: a seeded sample of
+the (basket, item) rows names the baskets holding at least `hot_fraction`
+of the sample, so the list has at most 1 / hot_fraction entries and is
+broadcast. Their rows are joined on (basket, salt): side A carries
+salt = hash(item) mod S, side B is repeated once per salt, so each pair is
+produced exactly once and a hot basket's pair work spreads over S tasks.
+All other baskets use the plain sort-merge self join (which AQE can still
+split). The sample only decides the route; both routes count exactly.
 """
 
 from __future__ import annotations
@@ -14,22 +22,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+HOT_FRACTION = 0.01      # a basket with >= 1% of the sampled rows is hot
+SAMPLE_FRACTION = 0.01   # share of (basket, item) rows sampled to find them
+SALTS = 32               # tasks sharing one hot basket's pairs
+SAMPLE_SEED = 17
+
 
 def basket_items(lines: DataFrame, basket: str, item: str) -> DataFrame:
     return lines.groupBy(basket, item).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def item_pair_weights(lines: DataFrame, basket: str, item: str) -> DataFrame:
-    """(basket, item_a, item_b, weight) for item_a < item_b in one basket."""
-    per = basket_items(lines, basket, item)
-    a = per.select(F.col(basket).alias("_b"), F.col(item).alias("item_a"), F.col("_n").alias("_na"))
-    b = per.select(F.col(basket).alias("_b2"), F.col(item).alias("item_b"), F.col("_n").alias("_nb"))
+def hot_baskets(per: DataFrame, basket: str, hot_fraction: float = HOT_FRACTION,
+                sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
+    """Baskets holding >= hot_fraction of a seeded sample of (basket, item)
+    rows: at most 1 / hot_fraction of them, whatever the data size."""
+    sample = per.select(basket).sample(fraction=sample_fraction, seed=SAMPLE_SEED)
+    sampled = sample.agg(F.count(F.lit(1))).scalar()
+    return (sample.groupBy(basket).agg(F.count(F.lit(1)).alias("_s"))
+            .where(F.col("_s") >= F.greatest(F.lit(2), sampled * hot_fraction))
+            .select(basket, F.lit(True).alias("_hot")))
+
+
+def _plain_pairs(per: DataFrame, basket: str) -> DataFrame:
+    a = per.select(F.col(basket).alias("_b"), F.col("_item").alias("item_a"),
+                   F.col("_n").alias("_na"))
+    b = per.select(F.col(basket).alias("_b2"), F.col("_item").alias("item_b"),
+                   F.col("_n").alias("_nb"))
     joined = a.join(b, (F.col("_b") == F.col("_b2")) & (F.col("item_a") < F.col("item_b")))
     return joined.select(F.col("_b").alias(basket), "item_a", "item_b",
                          (F.col("_na") * F.col("_nb")).alias("weight"))
 
 
-def pair_counts(lines: DataFrame, basket: str, item: str) -> DataFrame:
+def _salted_pairs(per: DataFrame, basket: str, salts: int) -> DataFrame:
+    a = per.select(F.col(basket).alias("_b"), F.col("_item").alias("item_a"),
+                   F.col("_n").alias("_na"),
+                   F.pmod(F.xxhash64("_item"), F.lit(salts)).alias("_salt"))
+    b = per.select(F.col(basket).alias("_b2"), F.col("_item").alias("item_b"),
+                   F.col("_n").alias("_nb"),
+                   F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+                   .alias("_salt2"))
+    joined = a.join(b, (F.col("_b") == F.col("_b2")) & (F.col("_salt") == F.col("_salt2"))
+                    & (F.col("item_a") < F.col("item_b")))
+    return joined.select(F.col("_b").alias(basket), "item_a", "item_b",
+                         (F.col("_na") * F.col("_nb")).alias("weight"))
+
+
+def item_pair_weights(lines: DataFrame, basket: str, item: str,
+                      hot_fraction: float = HOT_FRACTION,
+                      sample_fraction: float = SAMPLE_FRACTION,
+                      salts: int = SALTS) -> DataFrame:
+    """(basket, item_a, item_b, weight) for item_a < item_b in one basket."""
+    per = basket_items(lines, basket, item).withColumnRenamed(item, "_item")
+    hot = hot_baskets(per, basket, hot_fraction, sample_fraction)
+    # the hot list is bounded (<= 1 / hot_fraction rows): broadcast it, so
+    # tagging the rows needs no shuffle keyed by a hot basket
+    tagged = per.join(F.broadcast(hot), basket, "left")
+    normal = tagged.where(F.col("_hot").isNull()).drop("_hot")
+    heavy = tagged.where(F.col("_hot")).drop("_hot")
+    return _plain_pairs(normal, basket).unionByName(_salted_pairs(heavy, basket, salts))
+
+
+def pair_counts(lines: DataFrame, basket: str, item: str, **kw) -> DataFrame:
     """(item_a, item_b, times) = number of line pairs with item_a < item_b."""
-    return (item_pair_weights(lines, basket, item)
+    return (item_pair_weights(lines, basket, item, **kw)
             .groupBy("item_a", "item_b").agg(F.sum("weight").alias("times")))

@@ -127,3 +127,21 @@ def test_hot_order_line_numbers_split(spark):
     # the join back is keyed by (range partition, order): the hot order is
     # spread over several range partitions, so no join key holds it whole
     assert "SortMergeJoin" in plan and "[_pid" in plan
+
+
+def test_hot_basket_takes_the_salted_route(spark):
+    lines = _hot_basket_lines(spark)
+    per = pairs.basket_items(lines, "o", "p")
+    hot = [r.o for r in pairs.hot_baskets(per, "o").collect()]
+    # the basket with a third of the rows is found; a small basket may be
+    # sampled in too (it then takes the salted route, still exact), but the
+    # list never exceeds 1 / hot_fraction entries
+    assert 0 in hot and len(hot) <= 1 / pairs.HOT_FRACTION
+    df = pairs.pair_counts(lines, "o", "p")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan and "Generate" in plan
+    a, b = lines.alias("a"), lines.alias("b")
+    naive = (a.join(b, (F.col("a.o") == F.col("b.o")) & (F.col("a.p") < F.col("b.p")))
+             .groupBy(F.col("a.p").alias("item_a"), F.col("b.p").alias("item_b"))
+             .agg(F.count("*").alias("times")))
+    assert df.exceptAll(naive).count() == 0 and naive.exceptAll(df).count() == 0
