@@ -8,9 +8,9 @@ n_a * n_b; the result equals the line-pair count.
 
 A basket with k distinct items still yields k(k-1)/2 pairs, all for one
 join key. Hot baskets are therefore routed separately: a seeded sample of
-the (basket, item) rows names the baskets holding at least `hot_fraction`
-of the sample, so the list has at most 1 / hot_fraction entries and is
-broadcast. Their rows are joined on (basket, salt): side A carries
+the (basket, item) rows names its largest baskets, at most 1 / hot_fraction
+of them (any basket with that share of the rows is among them), and the
+list is broadcast. Their rows are joined on (basket, salt): side A carries
 salt = hash(item) mod S, side B is repeated once per salt, so each pair is
 produced exactly once and a hot basket's pair work spreads over S tasks.
 All other baskets use the plain sort-merge self join (which AQE can still
@@ -37,9 +37,12 @@ def hot_baskets(per: DataFrame, basket: str, hot_fraction: float = HOT_FRACTION,
     """Baskets holding >= hot_fraction of a seeded sample of (basket, item)
     rows: at most 1 / hot_fraction of them, whatever the data size."""
     sample = per.select(basket).sample(fraction=sample_fraction, seed=SAMPLE_SEED)
-    sampled = sample.agg(F.count(F.lit(1))).scalar()
+    # the largest sampled baskets, at most 1 / hot_fraction of them: any
+    # basket holding that share of the rows is among them (a top-k bounds
+    # the list; it routes work, it never drops a result row)
     return (sample.groupBy(basket).agg(F.count(F.lit(1)).alias("_s"))
-            .where(F.col("_s") >= F.greatest(F.lit(2), sampled * hot_fraction))
+            .where(F.col("_s") >= 2)
+            .orderBy(F.desc("_s"), F.col(basket)).limit(int(1 / hot_fraction))
             .select(basket, F.lit(True).alias("_hot")))
 
 
