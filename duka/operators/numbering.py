@@ -29,7 +29,7 @@ from duka.session import ensure_checkpoint_dir
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
 
 
-def _write_table(df: DataFrame) -> DataFrame:
+def write_table(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing `df` as Parquet under the checkpoint
     folder and reading it back. `_mid` is a stored column from here on, so
     the counts and the numbers below depend on the data only, not on how the
@@ -60,7 +60,7 @@ def dense_index(df: DataFrame, order_cols: list, name: str = "row_index",
         ranged = df.repartitionByRange(*order_cols)
     ranged = ranged.sortWithinPartitions(*order_cols)
     mid = F.monotonically_increasing_id()
-    tagged = _write_table(ranged.withColumn("_mid", mid))
+    tagged = write_table(ranged.withColumn("_mid", mid))
     tagged = tagged.withColumns({
         "_pid": F.shiftright("_mid", _LOCAL_BITS),
         "_local": F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)),

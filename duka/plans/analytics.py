@@ -87,6 +87,10 @@ def rfm_segments(w: Warehouse, as_of: str | None = None) -> DataFrame:
         F.datediff(F.lit(as_of).cast("date"), F.max("d")).alias("recency_days"),
         F.count(F.lit(1)).alias("order_frequency"),
         total("n").alias("total_monetary_value_usd"))
+    # the three numberings each sample and shuffle their input; give them a
+    # written per-customer table (lineage cut in the checkpoint folder)
+    # instead of re-aggregating the fact six times
+    raw = numbering.write_table(raw)
     key = F.col("customer_key")
     specs = [("recency_days", F.desc("recency_days"), "r_score"),
              ("order_frequency", F.asc("order_frequency"), "f_score"),
