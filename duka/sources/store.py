@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duka.plans.builds import fact_sales_full
+from duka.sources import schemas
 from duka.sources.warehouse import Warehouse
 
 SMALL_TABLES = ["dim_status", "dim_campaign", "dim_location", "location_market", "dim_date",
@@ -49,7 +50,8 @@ def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[
     out_dir = out_dir.rstrip("/")
 
     def sales() -> None:
-        df = fact_sales_full(w).withColumn("order_year", F.year("order_date"))
+        df = schemas.check(fact_sales_full(w), "fact_sales") \
+            .withColumn("order_year", F.year("order_date"))
         # no extra shuffle for the layout: each task of the keying job writes
         # its rows into the order-year folders, sorted by day, so a year
         # filter prunes folders and Parquet row-group statistics skip day
@@ -58,15 +60,19 @@ def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[
         _write(laid_out, f"{out_dir}/fact_sales", ["order_year"])
 
     def inventory() -> None:
-        df = w.fact_inventory().withColumn("inventory_year",
+        df = schemas.check(w.fact_inventory(), "fact_inventory").withColumn("inventory_year",
                                            (F.col("date_key") / 10000).cast("int"))
         _write(df, f"{out_dir}/fact_inventory", ["inventory_year"])
 
+    def table(name: str) -> DataFrame:
+        df = getattr(w, name)
+        return schemas.check(df, name) if name in schemas.TABLES else df
+
     jobs = {"fact_sales": sales, "fact_inventory": inventory}
     for name in SMALL_TABLES:
-        jobs[name] = lambda n=name: _write(getattr(w, n).coalesce(1), f"{out_dir}/{n}")
+        jobs[name] = lambda n=name: _write(table(n).coalesce(1), f"{out_dir}/{n}")
     for name in LARGE_TABLES:
-        jobs[name] = lambda n=name: _write(getattr(w, n), f"{out_dir}/{n}")
+        jobs[name] = lambda n=name: _write(table(n), f"{out_dir}/{n}")
 
     def timed(item):
         name, fn = item

@@ -145,3 +145,24 @@ def test_hot_basket_takes_the_salted_route(spark):
              .groupBy(F.col("a.p").alias("item_a"), F.col("b.p").alias("item_b"))
              .agg(F.count("*").alias("times")))
     assert df.exceptAll(naive).count() == 0 and naive.exceptAll(df).count() == 0
+
+
+def test_warehouse_tables_match_their_schemas(spark):
+    import pytest as _pytest
+
+    from duka.plans.builds import fact_sales
+    from duka.sources import schemas
+    from duka.sources.warehouse import Warehouse
+    from tests.conftest import SF_SMALL
+    w = Warehouse(spark, SF_SMALL)
+    frames = {n: getattr(w, n) for n in ["dim_date", "dim_location", "dim_customer",
+                                         "dim_product", "dim_campaign", "dim_status",
+                                         "fact_marketing"]}
+    frames["fact_inventory"] = w.fact_inventory()
+    frames["fact_sales"] = fact_sales(w)
+    for name, df in frames.items():
+        schemas.check(df, name)
+        assert [f.name for f in df.schema.fields] == [f.name for f in schemas.schema(name).fields]
+    with _pytest.raises(ValueError):
+        schemas.check(frames["dim_status"].withColumn("status_key", F.col("status_key").cast("long")),
+                      "dim_status")
