@@ -9,8 +9,8 @@ meaning without that broadcast:
 * left key NULL             -> row dropped (unless the subquery is empty);
 * otherwise                 -> rows whose key is not in the subquery.
 
-The two facts about the subquery (row count, NULL count) are scalar
-subqueries (global aggregates); the key match is an ordinary shuffled
+The two facts about the subquery (row count, NULL count) come from one
+scalar subquery (a global aggregate); the key match is an ordinary shuffled
 `left_anti` join.
 """
 
@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 def not_in(left: DataFrame, left_key: str, sub: DataFrame, sub_key: str) -> DataFrame:
     """Rows of `left` where `left_key NOT IN (SELECT sub_key FROM sub)`."""
     keys = sub.select(F.col(sub_key).alias("_k"))
-    # two scalar subqueries: each is one global aggregate whose single value
-    # is planted into the filter (no join, nothing broadcast but a number)
-    sub_rows = keys.agg(F.count(F.lit(1))).scalar()
-    sub_nulls = keys.agg(F.count_if(F.col("_k").isNull())).scalar()
+    # one scalar subquery (a global aggregate) whose two numbers are planted
+    # into the filter: no join, nothing broadcast but a struct of two counts
+    facts = keys.agg(F.struct(F.count(F.lit(1)).alias("rows"),
+                              F.count_if(F.col("_k").isNull()).alias("nulls"))).scalar()
+    sub_rows, sub_nulls = facts.getField("rows"), facts.getField("nulls")
     non_null = keys.where(F.col("_k").isNotNull()).distinct()
     # rows whose key matched are dropped by the anti join; a NULL key never
     # matches, so it survives here and is dropped below unless S is empty
