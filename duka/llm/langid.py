@@ -13,7 +13,8 @@ prediction is one pass without a shuffle over whole texts.
 Defined results: null text, or text without a letter: `und`, score 0,
 rejected. Ties go to the language with more labelled rows, then the smaller
 name. Without any labelled row every prediction is `und`. Repeated rows are predicted alike; an empty table
-gives an empty result; other columns are ignored.
+gives an empty result; `identify` ignores other columns, `identified` keeps
+them.
 """
 
 from __future__ import annotations
@@ -117,6 +118,18 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
         .mapInArrow(run, "doc_id bigint, lang_pred string, score double, rejected boolean")
 
 
+def identified(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN) -> DataFrame:
+    """The rows of `docs` (all their columns) that are not rejected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Classifier(dictionaries)
+        for batch in byte_slices(batches, "text"):
+            found = [model.predict(t) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([f[0] != "und" and f[1] >= margin for f in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of all documents; learnt
     only from documents outside the held-out fold."""

@@ -14,7 +14,8 @@ rows per source) is summed in one window.
 
 Defined results: null text has size 0 and takes 0 words; a null source is a
 source of its own, after the others; repeated rows are mixed like other rows;
-an empty table gives an empty result; other columns of the input are ignored.
+an empty table gives an empty result; `mix` ignores other columns, `mixed` keeps
+them.
 """
 
 from __future__ import annotations
@@ -59,37 +60,43 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
                     .otherwise(level * F.col("_w")).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken for every document."""
-    d = docs.select("doc_id", "source",
-                    F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"))
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source_size, target, copies, taken for every document,
+    and a struct `_row` of the columns named in `carry`."""
+    name = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))    # a key without nulls
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+    kept = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row")] if carry else []
+    d = docs.select("doc_id", "source", name.alias("_s"), size.alias("size"), *kept)
     d = d.withColumns({"_class": F.floor(8 * F.log(1.0 + F.col("size"))).cast("int"),
                        "_cell": F.pmod(_salted("", F.col("doc_id"), 6), F.lit(CELLS)).cast("int")})
-    cells = d.groupBy("source", "_class", "_cell").agg(F.count("*").alias("_n"), F.sum("size").alias("_words"))
-    plan = targets(cells.groupBy("source").agg(F.sum("_words").alias("source_size")), weights)
+    cells = d.groupBy("_s", "_class", "_cell").agg(F.count("*").alias("_n"), F.sum("size").alias("_words"))
+    sizes = cells.groupBy("_s").agg(F.sum("_words").alias("source_size")).withColumn(
+        "source", F.when(F.col("_s") != "n", F.expr("substring(_s, 2)")))
+    plan = targets(sizes, weights)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = plan.withColumn("_rate", rate).withColumns({
-        "_whole": F.floor("_rate").cast("bigint"),
-        "_part": F.floor((F.col("_rate") - F.floor("_rate")) * UNIT).cast("bigint"),
-        "_offset": _salted(f"{seed}:", F.col("source"), 6)})
-    run = Window.partitionBy("source").orderBy("_class", "_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("_start", F.coalesce(F.sum("_n").over(run), F.lit(0))).select(
-        F.col("source").alias("_src"), "_class", "_cell", "_start")
-    plan = plan.withColumnRenamed("source", "_src")
-    cells = cells.alias("c").join(plan.alias("p"), F.expr("c._src <=> p._src")).select("c.*", *[
-        f"p.{c}" for c in ("source_size", "target", "_whole", "_part", "_offset")])
-    in_cell = Window.partitionBy("source", "_class", "_cell").orderBy("size", "doc_id")
-    d = d.withColumn("_r", F.row_number().over(in_cell) - 1)
-    d = d.alias("d").join(cells.alias("c"), F.expr(
-        "d.source <=> c._src and d._class = c._class and d._cell = c._cell"))
+    plan = plan.withColumn("_rate", rate).select(
+        name.alias("_s"), "source_size", "target", F.floor("_rate").cast("bigint").alias("_whole"),
+        F.floor((F.col("_rate") - F.floor("_rate")) * UNIT).cast("bigint").alias("_part"),
+        _salted(f"{seed}:", F.col("source"), 6).alias("_offset"))
+    run = Window.partitionBy("_s").orderBy("_class", "_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_start", F.coalesce(F.sum("_n").over(run), F.lit(0))).drop("_n", "_words").join(plan, "_s")
+    in_cell = Window.partitionBy("_s", "_class", "_cell").orderBy("size", "doc_id")
+    d = d.withColumn("_r", F.row_number().over(in_cell) - 1).join(cells, ["_s", "_class", "_cell"])
     k = F.col("_start") + F.col("_r")
 
     def crossed(n: Column) -> Column:
         return F.shiftright(n * F.col("_part") + F.col("_offset"), 24)
 
     copies = F.col("_whole") + crossed(k + 1) - crossed(k)
-    return d.select("doc_id", "source", "size", "source_size", "target", copies.cast("bigint").alias("copies")) \
-        .withColumn("taken", F.col("copies") * F.col("size"))
+    return d.select("doc_id", "size", "source_size", "target", copies.cast("bigint").alias("copies"),
+                    *(["_row"] if carry else [])).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
+    """The documents of the mix: every row as often as it is emitted."""
+    rows = mix(docs, weights, seed, tuple(docs.columns)).where("copies > 0")
+    return rows.select(F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))), "_row").select(
+        *[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

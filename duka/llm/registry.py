@@ -6,7 +6,8 @@ from collections.abc import Callable
 from importlib import import_module
 
 _WHERE = {
-    "op1_mix": "mixing", "op3_pieces": "pieces", "op4_pii": "pii", "op7_html": "htmltext", "op8_merkle": "merkle",
+    "op1_mix": "mixing", "op3_pieces": "pieces", "op4_pii": "pii", "op5_topk": "topk",
+    "op6_neardup": "neardup", "op7_html": "htmltext", "op8_merkle": "merkle",
     "op9_language": "langid",
 }
 
@@ -16,5 +17,5 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from duka.llm import mixing
-    return {"op1_mix": mixing.ORACLE}
+    from duka.llm import mixing, topk
+    return {"op1_mix": mixing.ORACLE, "op5_topk": topk.ORACLE}

@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
+_BYTES = np.arange(256, dtype=np.uint8)
+_BYTES[65:91] += 32
+_BYTES[9:14] = 32
 
 
 def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -29,7 +31,13 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
     Returns (offsets, codes, words): text i has the words
     words[codes[offsets[i]:offsets[i + 1]]], in order."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    # one byte map lower-cases A-Z and makes every white space a blank; no byte of a longer character is touched
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    plain = _BYTES[np.frombuffer(data, np.uint8)[ends[0]:ends[-1]]] if len(texts) and data is not None else np.zeros(0, np.uint8)
+    plain = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends - ends[0] if len(texts) else ends), pa.py_buffer(plain))
+    lists = pc.split_pattern(plain, " ")
     flat, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     full = pc.greater(pc.binary_length(flat), 0)
     kept = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))]
