@@ -6,7 +6,7 @@ from collections.abc import Callable
 from importlib import import_module
 
 _WHERE = {
-    "op1_mix": "mixing", "op3_pieces": "pieces", "op4_pii": "pii", "op5_topk": "topk",
+    "op1_mix": "mixing", "op2_lm": "lm", "op3_pieces": "pieces", "op4_pii": "pii", "op5_topk": "topk",
     "op6_neardup": "neardup", "op7_html": "htmltext", "op8_merkle": "merkle",
     "op9_language": "langid",
 }
