@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,3 +33,8 @@ class Scratch:
             if name.split("://")[-1].split(":")[-1].startswith(self.root.split("://")[-1].split(":")[-1]):
                 path = jvm.org.apache.hadoop.fs.Path(name)
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def settle(self) -> None:
+        """Let Spark remove the shuffle files of plans that are done with."""
+        gc.collect()
+        self.spark._jvm.System.gc()
