@@ -13,10 +13,11 @@ independent draws.
    linked with the least class and with a class drawn by hash: a star each, not all pairs.
 3. The links are confirmed on the full shingle sets; components are formed.
 4. In buckets that still span several components, classes of different
-   components are compared by their sketches and pairs that agree in `CLOSE`
-   of T coordinates or more are confirmed on the full sets too, all of them. Large
-   buckets are cut into tiles of `TILE` classes. So every bucket's links
-   are found or already implied. The chance that a pair at J = 0.75 shares
+   components are compared by their sketches, in tiles of `TILE` classes. A
+   class that agrees in `CLOSE` of T coordinates or more with one of another
+   component is checked on the full sets against all classes of that component,
+   TILE to a task, so no pairs are listed. So every bucket's links are found or
+   already implied. The chance that a pair at J = 0.75 shares
    no band is (1 - 0.75^4)^32 = 5e-6, that its sketches agree in fewer than
    CLOSE coordinates 1e-4.
 
@@ -141,64 +142,107 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def close_pairs(open_: DataFrame) -> DataFrame:
-    """Pairs of classes of one bucket and different components whose sketches
-    agree in CLOSE coordinates. `open_`: bucket, id, root, sketch, n, major
-    (the bucket's largest component as far as counted). Tiles: TILE minor
-    classes against TILE classes."""
+def _runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[tuple, pa.Table]]:
+    """(key, rows) pieces of sorted batches; a key may come in several pieces."""
+    for batch in batches:
+        if batch.num_rows:
+            t = pa.Table.from_batches([batch])
+            key = np.stack([t.column(c).to_numpy().astype(np.int64) for c in names])
+            cuts = np.r_[0, np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, t.num_rows]
+            for x, y in zip(cuts[:-1], cuts[1:]):
+                yield tuple(key[:, x]), t.slice(x, y - x)
+
+
+def close_groups(open_: DataFrame) -> DataFrame:
+    """(id, other): a class that is close, by sketches, to a class of the
+    component `other` in some bucket. `open_`: bucket, id, root, size (of the component),
+    sketch, major (a component of the bucket). Tiles: TILE classes outside
+    `major` against TILE classes; the smaller component's class asks."""
     side = open_.withColumn("minor", F.col("root") != F.col("major"))
     counts = side.groupBy("bucket").agg(F.count("*").alias("n_all"), F.count_if("minor").alias("n_minor"))
     side = side.join(counts, "bucket")
     rows = F.ceil(F.col("n_all") / TILE).cast("int")
     cols = F.ceil(F.col("n_minor") / TILE).cast("int")
+    kept = ["bucket", "id", "root", "size", "sketch", "minor"]
 
     def dealt(n, salt):
         return F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
 
-    right = side.select("bucket", "id", "root", "sketch", "minor", F.lit(False).alias("left"),
-                        dealt(rows, 1).alias("i"), F.explode(F.sequence(F.lit(0), cols - 1)).alias("j"))
-    left = side.where("minor").select("bucket", "id", "root", "sketch", "minor", F.lit(True).alias("left"),
+    right = side.select(*kept, F.lit(False).alias("left"), dealt(rows, 1).alias("i"),
+                        F.explode(F.sequence(F.lit(0), cols - 1)).alias("j"))
+    left = side.where("minor").select(*kept, F.lit(True).alias("left"),
                                       F.explode(F.sequence(F.lit(0), rows - 1)).alias("i"), dealt(cols, 2).alias("j"))
     tiles = left.unionByName(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "left")
 
-    def pairs_of(t: pa.Table) -> np.ndarray:
+    def groups_of(t: pa.Table) -> np.ndarray:
         mark = t.column("left").to_numpy(zero_copy_only=False)
-        ids, roots = t.column("id").to_numpy(), t.column("root").to_numpy()
-        minor = t.column("minor").to_numpy(zero_copy_only=False)
+        ids, roots, size = (t.column(c).to_numpy() for c in ("id", "root", "size"))
         s = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, T)
         a, b = np.flatnonzero(mark), np.flatnonzero(~mark)
-        out = []
+        out = [np.zeros((2, 0), np.int64)]
         for k in range(0, len(a), 16):
-            rows_ = a[k:k + 16]
-            agree = (s[rows_][:, None] == s[b][None]).sum(2) >= CLOSE
-            agree &= (roots[rows_][:, None] != roots[b][None]) & (~minor[b][None] | (ids[rows_][:, None] < ids[b][None]))
+            part = a[k:k + 16]
+            agree = ((s[part][:, None] == s[b][None]).sum(2) >= CLOSE) & (roots[part][:, None] != roots[b][None])
             x, y = np.nonzero(agree)
-            out.append(np.stack([ids[rows_][x], ids[b][y]]))
-        return np.hstack(out) if out else np.zeros((2, 0), np.int64)
+            x, y = part[x], b[y]
+            asks = (size[x] < size[y]) | (size[x] == size[y]) & (roots[x] > roots[y])
+            out.append(np.unique(np.where(asks, np.stack([ids[x], roots[y]]), np.stack([ids[y], roots[x]])), axis=1))
+        return np.unique(np.hstack(out), axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
+        held, last = [], None
+        for key, t in _runs(batches, ("bucket", "i", "j")):
+            if held and key != last:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in groups_of(pa.concat_tables(held))], ["id", "other"])
+                held = []
+            held.append(t)
+            last = key
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in groups_of(pa.concat_tables(held))], ["id", "other"])
 
-        def emit():
-            p = pairs_of(pa.concat_tables(held))
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(*p)), pa.array(np.maximum(*p))], ["a", "b"])
+    return tiles.mapInArrow(run, "id bigint, other bigint").distinct()
 
-        last = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            key = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("bucket", "i", "j")])
-            cuts = np.r_[0, np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, t.num_rows] if t.num_rows else []
-            for x, y in zip(cuts[:-1], cuts[1:]):
-                now = tuple(key[:, x])
-                if held and now != last:
-                    yield emit()
-                    held = []
-                held.append(t.slice(x, y - x))
-                last = now
-        if held:
-            yield emit()
 
-    return tiles.mapInArrow(run, "a bigint, b bigint").distinct()
+def confirm_groups(groups: DataFrame, placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between class a and a class b of the component it asks
+    for: all its classes are checked on full sets, TILE to a task; one link for a
+    class and tile is enough to join the components. `placed`: id, root, size."""
+    chunk_of = F.ceil(F.col("size") / TILE).cast("int")
+    sizes = placed.groupBy("root").agg(F.max("size").alias("size"))
+    asked = groups.select(F.col("other").alias("root")).distinct()
+    right = placed.join(asked, "root", "left_semi").select(
+        "root", F.pmod(F.xxhash64("id"), chunk_of).cast("int").alias("chunk"), F.lit(1).alias("asks"), "id")
+    left = groups.select("id", F.col("other").alias("root")).join(sizes, "root").select(
+        "root", F.explode(F.sequence(F.lit(0), chunk_of - 1)).alias("chunk"), F.lit(2).alias("asks"), "id")
+    tiles = right.unionByName(left).join(texts, "id").repartition("root", "chunk").sortWithinPartitions("root", "chunk", "asks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, index = None, [], None
+        for key, t in _runs(batches, ("root", "chunk", "asks")):
+            if key[2] == 1:     # classes of the component come first
+                held = [*held, t] if key == last else [t]
+                last, index = key, None
+                continue
+            if index is None:
+                members = pa.concat_tables(held)
+                offsets, v = shingle_sets(members.column("text").combine_chunks())
+                owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+                order = np.argsort(v, kind="stable")
+                index = (members.column("id").to_numpy(), np.diff(offsets), v[order], owner[order])
+            ids, sizes_, value, owner = index
+            for part in byte_slices(iter(t.combine_chunks().to_batches()), "text", 1 << 20):
+                offsets, v = shingle_sets(part.column("text"))
+                n = np.diff(offsets)
+                asker = np.repeat(np.arange(len(n)), n)
+                lo, hi = np.searchsorted(value, v), np.searchsorted(value, v, side="right")
+                hit = owner[ragged(lo, hi - lo)]
+                common = np.bincount(np.repeat(asker, hi - lo) * len(ids) + hit, minlength=len(n) * len(ids)).reshape(len(n), -1)
+                good = 100 * common >= 75 * (n[:, None] + sizes_[None] - common)
+                found = np.flatnonzero(good.any(1))
+                a, b = part.column("id").to_numpy()[found], ids[good[found].argmax(1)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return tiles.select("root", "chunk", "asks", "id", "text").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -219,12 +263,18 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     linked = scratch.cut(confirm(tried, texts))
     roots = scratch.cut(components(linked, scratch))
 
-    placed = members.select("bucket", "id").join(roots, "id", "left").select(
-        "bucket", "id", F.coalesce("root", "id").alias("root"))
-    spread = placed.groupBy("bucket").agg(F.min("root").alias("major"), F.max("root").alias("other")).where("major < other")
-    open_ = placed.join(spread.select("bucket", "major"), "bucket").join(classes.select("id", "sketch"), "id")
-    more = close_pairs(open_).join(tried, ["a", "b"], "left_anti")
-    second = confirm(scratch.cut(more), texts)
+    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
+    rooted = roots.join(sizes, "root").select("id", "root", "size")
+    placed = scratch.cut(partners.join(rooted, "id", "left").select(
+        "id", F.coalesce("root", "id").alias("root"), F.coalesce("size", F.lit(1)).alias("size")))
+    in_bucket = members.select("bucket", "id").join(placed, "id")
+    # buckets of two were settled by their star
+    spread = in_bucket.groupBy("bucket").agg(
+        F.max_by("root", F.struct("size", -F.col("root"))).alias("major"), F.min("root").alias("lo"),
+        F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2")
+    open_ = in_bucket.join(spread.select("bucket", "major"), "bucket").join(classes.select("id", "sketch"), "id")
+    groups = scratch.cut(close_groups(open_))
+    second = confirm_groups(groups, placed, texts)
     final = scratch.cut(components(linked.union(second), scratch))
 
     classes = classes.select("set_key", "id").join(final, "id", "left").select(
