@@ -90,9 +90,11 @@ class ChunkTable:
         rows = self.rows
         new = [c for c in chunks if c not in rows]
         ids = self.sp.encode(new, num_threads=1) if new else []
+        if "" in new:   # a marker alone, at the end of a text; the library gives an empty text no marker
+            ids[new.index("")] = self.sp.encode("a ")[len(self.sp.encode("a")):]
         # a text of one mark less than the chunk: the library adds its own
         for c, i, back in zip(new, ids, self.sp.decode(ids) if ids else []):
-            rows[c] = (",".join(map(str, i)), " " + back, len(i))
+            rows[c] = (",".join(map(str, i)), " " + back if c else " ", len(i))
         return [rows[c] for c in chunks]
 
 
