@@ -12,13 +12,13 @@ from __future__ import annotations
 
 import numpy as np
 
-WIDTH = 40          # of the vectors
+WIDTH = 32          # of the vectors
 CLASSES = 64
 MEMBERS = 32
 FRONT = 512         # subwords with an input row of their own
 RARE = 64           # input rows that the others share
 STRIDE = 16         # tokens that a window scores
-CONTEXT = 16        # tokens before them that it sees as well
+CONTEXT = 8         # tokens before them that it sees as well
 SPAN = STRIDE + CONTEXT
 BEGIN = FRONT + RARE
 
@@ -74,16 +74,19 @@ def windows(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def forward(p: dict, x: np.ndarray, inside: np.ndarray, keep: bool = False):
     """States (windows * STRIDE, WIDTH) for input rows x (windows, SPAN); every query attends to the positions of its text at or before it."""
     d = WIDTH
-    e = p["E"][x]
+    e = p["E"][x if keep else x[:, CONTEXT:]]
     flat = e.reshape(-1, d)
-    k, v = (flat @ p["K"]).reshape(e.shape), (flat @ p["V"]).reshape(e.shape)
-    own = np.ascontiguousarray(e[:, CONTEXT:])
+    if not keep:        # inputs are table rows, so their keys and values are too
+        k, v = (p["E"] @ p["K"])[x], (p["E"] @ p["V"])[x]
+    else:
+        k, v = (flat @ p["K"]).reshape(e.shape), (flat @ p["V"]).reshape(e.shape)
+    own = np.ascontiguousarray(e[:, CONTEXT:]) if keep else e
     q = (own.reshape(-1, d) @ (p["Q"] * np.float32(d ** -0.5))).reshape(own.shape)
     a = q @ k.transpose(0, 2, 1)
-    a += p["R"][_REACH]
-    a = np.where(_CAUSAL[None] & inside[:, None], a, np.float32(-30))
+    a += np.where(_CAUSAL, p["R"][_REACH], np.float32(-60))
     np.exp(a, out=a)
-    a /= a.sum(2, keepdims=True)
+    a *= inside[:, None]
+    a /= a.sum(2, keepdims=True) + np.float32(1e-30)
     mixed = (a @ v).reshape(-1, d)
     h = own.reshape(-1, d) + mixed @ p["O"]
     z = np.maximum(h @ p["W1"] + p["b1"], 0)

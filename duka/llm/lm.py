@@ -2,7 +2,7 @@
 
 Words are lower-cased and cut into subword ids of a public tokenizer; a causal
 self-attention model (`attention.py`) gives their log10 probability. Windows
-of 32 positions overlap by 16 and score each token once.
+of 24 positions overlap by 8 and score each token once.
 
 Gathered from the whole corpus: the counts of all training words (they give the
 base score, and the subword frequencies that are the model's prior). Fitted on
