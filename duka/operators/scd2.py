@@ -22,9 +22,10 @@ OPEN_END = "9999-12-31"
 
 def build_versions(obs: DataFrame, key: str, date_col: str, attr: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(date_col)
-    changed = (obs.withColumn("_prev", F.lag(attr).over(w))
-               .where(F.col("_prev").isNull() | (F.col("_prev") != F.col(attr)))
-               .drop("_prev"))
+    # NULL is a value of its own here: A -> NULL -> A makes three versions
+    changed = (obs.withColumns({"_prev": F.lag(attr).over(w), "_nth": F.row_number().over(w)})
+               .where((F.col("_nth") == 1) | ~F.col("_prev").eqNullSafe(F.col(attr)))
+               .drop("_prev", "_nth"))
     return (changed
             .withColumn("valid_from", F.col(date_col))
             .withColumn("valid_to", F.date_sub(F.lead(date_col).over(w), 1))

@@ -80,7 +80,7 @@ def rfm_segments(w: Warehouse, as_of: str | None = None) -> DataFrame:
     """Recency / frequency / monetary quartiles. The three NTILE(4) run on
     the distributed numbering operator (no single-partition window); ties
     are broken by customer key."""
-    as_of = as_of or w.params["rfm_as_of"]
+    as_of = as_of if as_of is not None else w.params["rfm_as_of"]
     per_order = (_completed(w).groupBy("customer_key", "order_id")
                  .agg(F.max("order_date").alias("d"), F.sum("net_revenue_usd").alias("n")))
     raw = per_order.groupBy("customer_key").agg(
@@ -125,7 +125,7 @@ def recently_sold(w: Warehouse, cutoff_key: int) -> DataFrame:
 
 
 def dead_stock(w: Warehouse, cutoff_key: int | None = None) -> DataFrame:
-    cutoff = int(cutoff_key or w.params["dead_stock_cutoff_key"])
+    cutoff = int(cutoff_key if cutoff_key is not None else w.params["dead_stock_cutoff_key"])
     unsold = antijoin.not_in(w.dim_product, "product_key", recently_sold(w, cutoff), "product_key")
     per_product = w.fact_inventory().groupBy("product_key").agg(F.sum("closing_stock").alias("c"))
     g = (per_product.join(unsold, "product_key")

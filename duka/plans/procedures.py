@@ -17,7 +17,7 @@ from duka.sources.warehouse import Warehouse
 
 
 def monthly_revenue(w: Warehouse, target_year: int | None = None) -> DataFrame:
-    year = int(target_year or w.params["target_year"])
+    year = int(target_year if target_year is not None else w.params["target_year"])
     excluded = fixed.status_keys("Cancelled", "Refunded")
     s = w.sales_in_year(year).where(~F.col("status_key").isin(*excluded))
     m = (s.groupBy(F.month("order_date").alias("month_number"))
@@ -34,7 +34,7 @@ def monthly_revenue(w: Warehouse, target_year: int | None = None) -> DataFrame:
 
 
 def customer_lifetime_value(w: Warehouse, customer_id: int | None = None) -> DataFrame:
-    cid = int(customer_id or w.params["customer_id"])
+    cid = int(customer_id if customer_id is not None else w.params["customer_id"])
     # customer_id = customer_key + 1 + base: invert the rule so the key
     # predicate reaches the customer and orders scans
     key = cid - 1 - fixed.CUSTOMER_ID_BASE
@@ -55,7 +55,7 @@ def customer_lifetime_value(w: Warehouse, customer_id: int | None = None) -> Dat
 
 
 def top_products(w: Warehouse, top_n: int | None = None) -> DataFrame:
-    n = int(top_n or w.params["top_n"])
+    n = int(top_n if top_n is not None else w.params["top_n"])
     s = w.sales_lines.where(F.col("status_key") == fixed.status_key("Completed"))
     per_product = s.groupBy("product_key").agg(
         F.sum("quantity").alias("u"), F.sum("net_revenue_usd").alias("r"),
@@ -69,7 +69,7 @@ def top_products(w: Warehouse, top_n: int | None = None) -> DataFrame:
 
 
 def inventory_turnover(w: Warehouse, category: str | None = None) -> DataFrame:
-    cat = category or w.params["category"]
+    cat = category if category is not None else w.params["category"]
     products = w.dim_product.where(F.col("category") == cat)
     inv = w.fact_inventory(products=products)
     per_product = inv.groupBy("product_key").agg(
@@ -124,7 +124,7 @@ def campaign_roi(w: Warehouse, channel: str | None = None) -> DataFrame:
     (campaign, day), a campaign-day row repeats max(1, sales that day) times
     and a sale repeats once per campaign-day row.
     """
-    fm, sales = _campaign_day_frames(w, channel or w.params["channel"])
+    fm, sales = _campaign_day_frames(w, channel if channel is not None else w.params["channel"])
     j = fm.join(sales, ["campaign_key", "date_key"], "left")
     rep = F.coalesce(F.col("n_s"), F.lit(1))
     g = j.groupBy("campaign_name", "channel").agg(
@@ -140,7 +140,7 @@ def campaign_roi(w: Warehouse, channel: str | None = None) -> DataFrame:
 def campaign_roi_deduplicated(w: Warehouse, channel: str | None = None) -> DataFrame:
     """Same report with both sides at campaign-day grain before the join,
     so marketing metrics count once and sales once."""
-    fm, sales = _campaign_day_frames(w, channel or w.params["channel"])
+    fm, sales = _campaign_day_frames(w, channel if channel is not None else w.params["channel"])
     j = fm.join(sales, ["campaign_key", "date_key"], "left")
     g = j.groupBy("campaign_name", "channel").agg(
         F.sum("i").alias("impressions"), F.sum("c").alias("clicks"),

@@ -129,7 +129,7 @@ class StoredWarehouse(Warehouse):
         return super().sales_in_year(year).where(F.col("order_year") == year)
 
     def fact_inventory(self, years=None, products: DataFrame | None = None) -> DataFrame:
-        years = tuple(years or self.params["inventory_years"])
+        years = tuple(years if years is not None else self.params["inventory_years"])
         if set(years) - set(self.params["inventory_years"]):
             return super().fact_inventory(years, products)  # not stored: build it
         inv = self.stored("fact_inventory").where(F.col("inventory_year").isin(*years)) \

@@ -280,7 +280,7 @@ class Warehouse:
 
     # ----------------------------------------------------------- inventory
     def inventory_dates(self, years=None) -> DataFrame:
-        years = tuple(years or self.params["inventory_years"])
+        years = tuple(years if years is not None else self.params["inventory_years"])
         return self.dim_date.where(F.col("year").isin(*years)).select("date_key", "full_date")
 
     def fact_inventory(self, years=None, products: DataFrame | None = None) -> DataFrame:
@@ -294,7 +294,7 @@ class Warehouse:
         (e.g. one category) before it is built.
         """
         from duka.operators.ranges import dense_daily
-        years = tuple(years or self.params["inventory_years"])
+        years = tuple(years if years is not None else self.params["inventory_years"])
         lo, hi = f"{min(years):04d}-01-01", f"{max(years):04d}-12-31"
         products = (self.dim_product if products is None else products).select("product_key")
         ts_lo = F.lit(lo).cast("timestamp_ntz")

@@ -166,3 +166,19 @@ def test_warehouse_tables_match_their_schemas(spark):
     with _pytest.raises(ValueError):
         schemas.check(frames["dim_status"].withColumn("status_key", F.col("status_key").cast("long")),
                       "dim_status")
+
+
+def test_scd2_null_is_a_value(spark):
+    from duka.operators.scd2 import build_versions
+    rows = [(1, "2024-01-01", "A"), (1, "2024-01-02", None), (1, "2024-01-03", None), (1, "2024-01-04", "A"),
+            (2, "2024-01-01", None), (2, "2024-01-05", "B")]
+    obs = spark.createDataFrame(rows, "k int, d string, a string").selectExpr("k", "cast(d as date) d", "a")
+    got = build_versions(obs, "k", "d", "a").orderBy("k", "version").collect()
+    assert [(r.k, r.version, r.a, r.is_current) for r in got] == [
+        (1, 1, "A", False), (1, 2, None, False), (1, 3, "A", True), (2, 1, None, False), (2, 2, "B", True)]
+
+
+def test_parameters_that_are_zero_count(spark):
+    from duka.plans.procedures import top_products
+    from duka.sources.warehouse import Warehouse
+    assert top_products(Warehouse(spark, "/root/testdata/sf0.001"), 0).count() == 0
