@@ -94,8 +94,7 @@ def join_cross_dense(w: Warehouse) -> DataFrame:
 
 def join_self_theta(w: Warehouse) -> DataFrame:
     """Per order: number of line pairs whose product key A < B."""
-    wts = pairs.item_pair_weights(w.sales_lines, "order_id", "product_key")
-    return wts.groupBy("order_id").agg(F.sum("weight").alias("pair_count"))
+    return pairs.pairs_per_basket(w.sales_lines, "order_id", "product_key", "pair_count")
 
 
 def join_range_dates(w: Warehouse) -> DataFrame:

@@ -100,11 +100,12 @@ def test_hot_basket_is_split_by_aqe(spark):
     lines = _hot_basket_lines(spark)
 
     def run():
-        df = pairs.pair_counts(lines, "o", "p").agg(F.sum("times").alias("t"))
+        df = pairs.pair_counts(lines, "o", "p", items_per_part=100).agg(F.sum("times").alias("t"))
         total = df.collect()[0][0]
         return total, df._jdf.queryExecution().executedPlan().toString()
 
     total, plan = _with_low_skew_thresholds(spark, run)
+    # tagging the hot basket's rows is split by AQE; its pairs by the parts
     assert "SortMergeJoin(skew=true)" in plan
     a, b = lines.alias("a"), lines.alias("b")
     naive = a.join(b, (F.col("a.o") == F.col("b.o")) & (F.col("a.p") < F.col("b.p"))).count()
@@ -129,24 +130,54 @@ def test_hot_order_line_numbers_split(spark):
     assert "SortMergeJoin" in plan and "[_pid" in plan
 
 
-def test_hot_basket_takes_the_salted_route(spark):
+def _naive_pairs(lines):
+    a, b = lines.alias("a"), lines.alias("b")
+    return (a.join(b, (F.col("a.o") == F.col("b.o")) & (F.col("a.p") < F.col("b.p")))
+            .groupBy(F.col("a.p").alias("item_a"), F.col("b.p").alias("item_b"))
+            .agg(F.count("*").alias("times")))
+
+
+def test_hot_basket_is_dealt_over_parts(spark):
     lines = _hot_basket_lines(spark)
     per = pairs.basket_items(lines, "o", "p")
-    hot = [r.o for r in pairs.hot_baskets(per, "o").collect()]
-    # the basket with a third of the rows is found; a small basket may be
-    # sampled in too (it then takes the salted route, still exact), but the
-    # list never exceeds 1 / hot_fraction entries
-    assert 0 in hot and len(hot) <= 1 / pairs.HOT_FRACTION
-    df = pairs.pair_counts(lines, "o", "p")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "xxhash64" in plan and "Generate" in plan
-    a, b = lines.alias("a"), lines.alias("b")
-    naive = (a.join(b, (F.col("a.o") == F.col("b.o")) & (F.col("a.p") < F.col("b.p")))
-             .groupBy(F.col("a.p").alias("item_a"), F.col("b.p").alias("item_b"))
-             .agg(F.count("*").alias("times")))
+    hot = {r.o: r._parts for r in pairs.hot_baskets(per, "o", 100).collect()}
+    assert hot == {0: 20}                    # 2,000 distinct items
+    df = pairs.pair_counts(lines, "o", "p", items_per_part=100)
+    naive = _naive_pairs(lines)
     assert df.exceptAll(naive).count() == 0 and naive.exceptAll(df).count() == 0
 
 
+def test_every_hot_basket_is_split_and_no_other(spark):
+    # 200 baskets of 12 items, 300 of at most 3; repeated lines and NULLs
+    lines = spark.range(3300).select(
+        F.when(F.col("id") < 2400, F.col("id") % 200).otherwise(1000 + F.col("id") % 300).alias("o"),
+        F.when(F.col("id") % 51 != 7, F.col("id")).alias("p"))
+    lines = lines.unionAll(lines.where("p % 5 = 0"))
+    per = pairs.basket_items(lines, "o", "p")
+
+    def hot():
+        return {(r.o, r._parts) for r in pairs.hot_baskets(per, "o", 5).collect()}
+
+    first = hot()
+    sizes = {r.o: r.k for r in lines.where("p is not null").groupBy("o")
+             .agg(F.count_distinct("p").alias("k")).collect()}
+    assert first == {(o, -(-k // 5)) for o, k in sizes.items() if k > 5} and len(first) == 200
+    for key, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        old = spark.conf.get(key)
+        try:
+            spark.conf.set(key, value)
+            assert hot() == first            # a function of the data alone
+        finally:
+            spark.conf.set(key, old)
+    assert pairs.hot_baskets(per, "o").count() == 0
+    df, naive = pairs.pair_counts(lines, "o", "p", items_per_part=5), _naive_pairs(lines)
+    assert df.exceptAll(naive).count() == 0 and naive.exceptAll(df).count() == 0
+    counted = {r.o: r.n for r in pairs.pairs_per_basket(lines, "o", "p", "n").collect()}
+    a, b = lines.alias("a"), lines.alias("b")
+    want = a.join(b, (F.col("a.o") == F.col("b.o")) & (F.col("a.p") < F.col("b.p"))).groupBy("a.o").count()
+    assert counted == {r.o: r["count"] for r in want.collect()}
+
+
 def test_warehouse_tables_match_their_schemas(spark):
     import pytest as _pytest
 
