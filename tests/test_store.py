@@ -9,7 +9,7 @@ from duka.sources.store import build_warehouse
 from duka.sources.warehouse import Warehouse
 from tests.conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.PLANS)
 
 
 @pytest.fixture(scope="module")
