@@ -120,11 +120,11 @@ FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
 
 _cte("dim_location", [], """
 SELECT n.n_nationkey AS location_key, n.n_name AS city, n.n_name AS region, r.r_name AS country
-FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
+FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
 _cte("location_market", ["dim_location", "market_policy"], """
 SELECT l.*, m.local_currency, m.price_factor, m.vat_rate, m.fx_rate
-FROM dim_location l JOIN market_policy m ON l.country = m.country""")
+FROM dim_location l LEFT JOIN market_policy m ON l.country = m.country""")
 
 _cte("dim_product", [], f"""
 SELECT p_partkey AS product_key, p_partkey + 101 AS product_id, p_name AS product_name,
@@ -169,9 +169,9 @@ SELECT l.*, o.o_custkey, o.o_orderdate, o.o_orderstatus, o.o_orderpriority,
        p.p_retailprice
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
-JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN location_market lm ON c.c_nationkey = lm.location_key
-JOIN part p ON l.l_partkey = p.p_partkey""")
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN location_market lm ON c.c_nationkey = lm.location_key
+LEFT JOIN part p ON l.l_partkey = p.p_partkey""")
 
 _cte("sales_base", ["order_lines"], f"""
 SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product_key,

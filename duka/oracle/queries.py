@@ -407,7 +407,8 @@ SQL["dq_orphans"] = with_ctes("\nUNION ALL\n".join(f"""
 SELECT '{check}' AS check_name, count(*) AS child_rows, count(*) FILTER (WHERE p.k IS NULL) AS orphan_rows
 FROM {_t(child)} c LEFT JOIN (SELECT DISTINCT {pk} AS k FROM {_t(parent)}) p ON c.{ck} = p.k"""
                                                    for check, child, ck, parent, pk in ORPHAN_CHECKS),
-                              "sales_lines", "dim_date", "dim_status", "dim_campaign", "fact_marketing")
+                              "sales_lines", "dim_date", "dim_status", "dim_campaign", "fact_marketing",
+                              "market_policy")
 
 SQL["dq_duplicate_keys"] = with_ctes("\nUNION ALL\n".join(f"""
 SELECT '{check}' AS check_name, CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_keys,

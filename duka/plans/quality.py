@@ -15,6 +15,8 @@ ORPHAN_CHECKS = [
     ("lineitem.l_suppkey -> supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
     ("orders.o_custkey -> customer", "orders", "o_custkey", "customer", "c_custkey"),
     ("customer.c_nationkey -> nation", "customer", "c_nationkey", "nation", "n_nationkey"),
+    ("nation.n_regionkey -> region", "nation", "n_regionkey", "region", "r_regionkey"),
+    ("region.r_name -> market_policy", "region", "r_name", "w:market_policy", "country"),
     ("fact_sales.date_key -> dim_date", "w:sales_lines", "date_key", "w:dim_date", "date_key"),
     ("fact_sales.status_key -> dim_status", "w:sales_lines", "status_key", "w:dim_status",
      "status_key"),

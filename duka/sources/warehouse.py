@@ -89,14 +89,15 @@ class Warehouse:
     def dim_location(self) -> DataFrame:
         n = self.table("nation")
         r = self.table("region")
-        return (n.join(r, n.n_regionkey == r.r_regionkey)
+        return (n.join(r, n.n_regionkey == r.r_regionkey, "left")
                 .select(n.n_nationkey.alias("location_key"), n.n_name.alias("city"),
                         n.n_name.alias("region"), r.r_name.alias("country")))
 
     @cached_property
     def location_market(self) -> DataFrame:
-        """location_key -> country + market policy (25 rows)."""
-        return self.dim_location.join(F.broadcast(self.market_policy), "country")
+        """location_key -> country + market policy; NULL policy values where
+        the country has none, so its lines stay."""
+        return self.dim_location.join(F.broadcast(self.market_policy), "country", "left")
 
     # ------------------------------------------------------------ product
     @cached_property
@@ -181,19 +182,21 @@ class Warehouse:
 
         orders are joined to customers first (orders are a quarter of the
         lines), so the line-sized input is shuffled only for the order and
-        the part joins.
+        the part joins. A line whose customer, location, market policy or
+        part is unknown stays, with NULL in what that row would give; a line
+        without an order has no date and is left to `dq_orphans`.
         """
         o = self.table("orders").select(
             "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
         c = self.table("customer").select("c_custkey", "c_nationkey")
-        orders = (o.join(c, o.o_custkey == c.c_custkey)
+        orders = (o.join(c, o.o_custkey == c.c_custkey, "left")
                   .join(F.broadcast(self.location_market),
-                        F.col("c_nationkey") == F.col("location_key"))
+                        F.col("c_nationkey") == F.col("location_key"), "left")
                   .drop("c_custkey", "c_nationkey", "city", "region"))
         li = self.table("lineitem")
         part = self.table("part").select("p_partkey", "p_retailprice")
         return (li.join(orders, li.l_orderkey == orders.o_orderkey)
-                .join(part, li.l_partkey == part.p_partkey)
+                .join(part, li.l_partkey == part.p_partkey, "left")
                 .drop("o_orderkey", "p_partkey"))
 
     @staticmethod
