@@ -22,7 +22,7 @@ import json
 from pyspark.sql import SparkSession
 
 from duka.plans import registry
-from duka.session import ensure_checkpoint_dir
+from duka.session import apply_defaults, ensure_checkpoint_dir
 from duka.sources.store import build_warehouse
 from duka.sources.warehouse import Warehouse
 
@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"duka-{args.cmd}").getOrCreate()
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(apply_defaults(spark))
     if args.cmd == "build":
         times = build_warehouse(Warehouse(spark, args.sf), args.out)
         print(json.dumps({"built": args.out, "seconds": times}))

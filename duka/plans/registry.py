@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from duka.plans import analytics, builds, measures, primitives, procedures, quality, views
+from duka.session import apply_defaults
 from duka.sources.warehouse import Warehouse
 from duka.streaming.marketing import fact_marketing_incremental
 
@@ -105,5 +106,5 @@ def run(name: str, spark: SparkSession, sf_dir: str, store_dir: str | None = Non
 
 def as_callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
+        return lambda spark, sf_dir: fn(Warehouse(apply_defaults(spark), sf_dir))
     return {name: bind(fn) for name, fn in PLANS.items()}

@@ -17,11 +17,22 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even where that costs the aggregate above an exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
 
 
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Set the SQL defaults that the session's launch settings leave open."""
+    launched = spark.sparkContext.getConf()
+    for k, v in _DEFAULTS.items():
+        if k.startswith("spark.sql.") and not launched.contains(k):
+            spark.conf.set(k, v)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "duka") -> SparkSession:
     """A local session for tests and benches (UI off, AQE on)."""
