@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 K = 5
-SHARD_ROWS = 4096
-GROUP_ROWS = 4096
+SHARD_ROWS = 8192
+GROUP_ROWS = 16384
 BLOCK = 128
 
 
