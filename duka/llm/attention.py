@@ -118,21 +118,18 @@ def log_scores(p: dict, x: np.ndarray, inside: np.ndarray, target: np.ndarray) -
     return out.reshape(target.shape)
 
 
-def train(prior: tuple, inputs: np.ndarray, targets: np.ndarray, ends: np.ndarray, steps: int = 1000,
-          batch: int = 192, rate: float = 8e-3, seed: int = 7) -> dict[str, np.ndarray]:
-    """Weights fitted with Adam to the windows of a token sample."""
-    p = initial(prior, seed)
-    if not len(inputs):
-        return p
-    at, inside, live = windows(ends)
-    r = np.random.default_rng(seed)
-    names = list(p)
-    m, s = ({n: np.zeros_like(p[n]) for n in names} for _ in range(2))
-    d = WIDTH
-    for step in range(1, steps + 1):
-        pick = r.integers(0, len(at), batch)
-        x, ok, on = inputs[at[pick]], inside[pick], live[pick].reshape(-1)
-        t = targets[at[pick][:, CONTEXT:]].reshape(-1)
+class Learner:
+    """Weights that are fitted with Adam, one batch of windows after the other."""
+
+    def __init__(self, weights: dict):
+        self.p = {n: w.copy() for n, w in weights.items()}
+        self.m, self.s = ({n: np.zeros_like(w) for n, w in weights.items()} for _ in range(2))
+        self.steps = 0
+
+    def step(self, x: np.ndarray, ok: np.ndarray, on: np.ndarray, t: np.ndarray, rate: float) -> None:
+        """One step along the slope at the input rows x (windows, SPAN) and targets t of the live places `on`."""
+        p, d = self.p, WIDTH
+        on, t = on.reshape(-1), t.reshape(-1)
         g, (e, k, v, q, own, a, mixed, h, z) = forward(p, x, ok, keep=True)
         of, member = t % CLASSES, t // CLASSES
         weight = (on / max(1, on.sum())).astype(np.float32)[:, None]
@@ -173,9 +170,34 @@ def train(prior: tuple, inputs: np.ndarray, targets: np.ndarray, ends: np.ndarra
         de[:, CONTEXT:] += (dq.reshape(-1, d) @ p["Q"].T * scale + dh).reshape(own.shape)
         grad["E"] = np.zeros_like(p["E"])
         np.add.at(grad["E"], x.reshape(-1), de.reshape(-1, d))
-        now = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-        for n in names:
-            m[n] = 0.9 * m[n] + 0.1 * grad[n]
-            s[n] = 0.98 * s[n] + 0.02 * grad[n] ** 2
-            p[n] -= (now * (m[n] / (1 - 0.9 ** step)) / (np.sqrt(s[n] / (1 - 0.98 ** step)) + 1e-7)).astype(np.float32)
-    return p
+        self.steps += 1
+        m, s, n = self.m, self.s, self.steps
+        for k in p:
+            m[k] = 0.9 * m[k] + 0.1 * grad[k]
+            s[k] = 0.98 * s[k] + 0.02 * grad[k] ** 2
+            p[k] -= (rate * (m[k] / (1 - 0.9 ** n)) / (np.sqrt(s[k] / (1 - 0.98 ** n)) + 1e-7)).astype(np.float32)
+
+    def learn(self, inputs: np.ndarray, targets: np.ndarray, ends: np.ndarray, share: tuple[int, int] = (0, 1),
+              repeat: int = 1, most: int = 1, done: float = 0.0, part: float = 1.0, batch: int = 192,
+              rate: float = 8e-3, seed: int = 7) -> int:
+        """Learn each window of share k of n once, or up to `repeat` times within `most` steps; the
+        number of windows. The rate falls over the training's second half; `done` of it is past, this is `part`."""
+        at, inside, live = windows(ends)
+        order = np.random.default_rng(seed).permutation(len(at))[share[0]::share[1]]
+        if not len(order):
+            return 0
+        picks = np.tile(order, max(1, min(repeat, -(-most * batch // len(order)))))
+        for k in range(0, len(picks), batch):
+            w = picks[k:k + batch]
+            now = min(1.0, 2 * max(0.0, 1 - done - part * k / len(picks)))
+            self.step(inputs[at[w]], inside[w], live[w], targets[at[w][:, CONTEXT:]], rate * now)
+        return len(order)
+
+
+def train(prior: tuple, inputs: np.ndarray, targets: np.ndarray, ends: np.ndarray, steps: int = 1000,
+          batch: int = 192, rate: float = 8e-3, seed: int = 7) -> dict[str, np.ndarray]:
+    """Weights fitted to the windows of one token array, in about `steps` steps at least."""
+    learner = Learner(initial(prior, seed))
+    if len(inputs):
+        learner.learn(inputs, targets, ends, repeat=steps * batch, most=steps, batch=batch, rate=rate, seed=seed)
+    return learner.p

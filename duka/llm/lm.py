@@ -5,15 +5,20 @@ self-attention model (`attention.py`) gives their log10 probability. Windows
 of 24 positions overlap by 8 and score each token once.
 
 Gathered from the whole corpus: the counts of all training words (they give the
-base score, and the subword frequencies that are the model's prior). Fitted on
-a bounded sample (`SAMPLE_DOCS` documents, the least by a hash of their id,
-`SAMPLE_CHARS` characters from the middle of each): the attention weights.
+base score, and the subword frequencies that are the model's prior), and the
+attention weights, which learn every window of every training document. The
+training is data-parallel: in each of ROUNDS rounds every task goes on from the
+common weights with its share of its own windows, and the tasks' weights are
+averaged by windows learned. Each window is learned once; a corpus of fewer
+than STEPS batches is repeated. The averages, and so the scores, depend on how
+the rows are dealt to tasks.
 
 1. A task turns the documents of a chunk (about CHUNK bytes of text) into word
    codes, with the chunk's distinct words; the table is written once.
 2. The distinct words of all chunks (not every word of every document) are
    counted and joined back: per chunk the corpus count of each of its words.
-3. A chunk's codes and counts meet in one task that scores its documents.
+3. The rounds of the training read the chunks' codes.
+4. A chunk's codes and counts meet in one task that scores its documents.
 
 Defined results: null text is the empty text (one end token); a null doc_id
 is a training row; without training rows the base is log10(1) = 0 for each
@@ -36,8 +41,10 @@ from duka.llm.pieces import default_model, load
 from duka.llm.scratch import Scratch
 from duka.llm.words import byte_slices, ragged, word_codes
 
-SAMPLE_DOCS = 1_000
-SAMPLE_CHARS = 2_000
+ROUNDS = 4
+STEPS = 1_000       # batches that a small corpus is repeated to
+LEARNER = 2 << 20   # training words of a task, at least
+BLOCK = 1 << 18     # words or tokens that are cut into windows at once
 CHUNK = 32 << 20
 BATCH = 1 << 10     # windows scored at once
 
@@ -131,20 +138,96 @@ def score_texts(weights: dict, vocabulary: attention.Vocabulary, flat: np.ndarra
     return out / np.log(10)
 
 
-def fit(docs: DataFrame, counts: np.ndarray, model: str) -> tuple[dict, attention.Vocabulary]:
-    """The model of a bounded sample of `docs` (doc_id, text)."""
+def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, codes) of a chunk's documents."""
+    import zstandard
+    offsets = np.r_[0, row["ends"].values.to_numpy()].astype(np.int64)
+    return offsets, np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"].as_py()), np.int32)
+
+
+def doc_slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Document ranges of about BLOCK words."""
+    docs = len(offsets) - 1
+    cuts = np.unique(np.r_[np.searchsorted(offsets, np.arange(0, offsets[-1] + 1, BLOCK)), docs])
+    return ((a, b) for a, b in zip(np.r_[0, cuts[:-1]].tolist(), cuts.tolist()) if a < b)
+
+
+def training_streams(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Subword streams (ids, ends) of the chunks' documents that are not held out, about BLOCK tokens each."""
+    end_id, held, size = load(model).eos_id(), [], 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray]:
+        before = np.cumsum([0, *[len(f) for f, _ in held[:-1]]])
+        return np.concatenate([f for f, _ in held]), np.concatenate([e + n for (_, e), n in zip(held, before)])
+
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = {c: batch.column(c)[k] for c in ("held", "ends", "codes", "words")}
+            offsets, codes = unpacked(row)
+            taught = ~row["held"].values.to_numpy(zero_copy_only=False)
+            n = np.diff(offsets)
+            for a, b in doc_slices(offsets):
+                own = codes[offsets[a]:offsets[b]][np.repeat(taught[a:b], n[a:b])]
+                used, own = np.unique(own, return_inverse=True)
+                table = subwords(row["words"].values.take(pa.array(used)).to_pylist(), model)
+                flat, ends = streams(np.r_[0, np.cumsum(n[a:b][taught[a:b]])], own, *table, end_id=end_id)
+                held, size = [*held, (flat, ends)], size + len(flat)
+                if size >= BLOCK:
+                    yield joined()
+                    held, size = [], 0
+    if size:
+        yield joined()
+
+
+def lesson(coded: DataFrame, weights: dict, vocabulary: attention.Vocabulary, k: int, words: int, model: str) -> DataFrame:
+    """Round k: (task, n, weights): windows learned and the weights after them, of each task. `words`: of all training documents."""
+    tasks = max(1, words // LEARNER)
+    repeat, most = -(-STEPS * 192 * attention.STRIDE // max(1, words)), max(1, STEPS // ROUNDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner, n, done = attention.Learner(weights), 0, 0
+        for flat, ends in training_streams(batches, model):
+            part = min(1.0, len(flat) * tasks / words)      # of this task's round, about
+            n += learner.learn(inputs(flat, ends, vocabulary), vocabulary.output[flat], ends, (k, ROUNDS), repeat, most,
+                               (k + min(1.0, done)) / ROUNDS, part / ROUNDS, seed=7 + len(flat))
+            done += part
+        if n:
+            data = np.concatenate([w.reshape(-1) for w in learner.p.values()])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()),
+                 pa.array([data.tobytes()], pa.binary())], ["task", "n", "weights"])
+
+    return coded.select("held", "ends", "codes", "words").coalesce(tasks).mapInArrow(
+        run, "task bigint, n bigint, weights binary")
+
+
+def merged(lessons: DataFrame, tasks: int) -> DataFrame:
+    """(g, n, total): sums of windows and of weights times windows, for groups of about sqrt(tasks) tasks."""
+    groups = int(np.ceil(np.sqrt(max(1, tasks))))
+
+    def add(t: pa.Table) -> pa.Table:
+        t = t.sort_by("task")
+        n = t.column("n").to_pylist()
+        total = sum(np.frombuffer(w, np.float32) * np.float64(k) for w, k in zip(t.column("weights").to_pylist(), n))
+        return pa.table({"g": t.column("g")[:1], "n": pa.array([sum(n)], pa.int64()),
+                         "total": pa.array([total.tobytes()], pa.binary())})
+
+    return lessons.withColumn("g", F.col("task") % groups).groupBy("g").applyInArrow(add, "g bigint, n bigint, total binary")
+
+
+def fit(coded: DataFrame, counts: np.ndarray, words: int, model: str) -> tuple[dict, attention.Vocabulary]:
+    """The model of all documents of the chunks that are not held out."""
     vocabulary = attention.Vocabulary(counts)
-    hashed = F.crc32(F.concat(F.lit("lm "), F.col("doc_id").cast("string")).cast("binary"))
-    wanted = [r.doc_id for r in docs.where("doc_id is not null and text is not null").select(
-        "doc_id", hashed.alias("h")).orderBy("h", "doc_id").limit(SAMPLE_DOCS).collect()]
-    middle = F.greatest(F.lit(1), (F.length("text") - SAMPLE_CHARS).cast("bigint") / 2).cast("int")
-    texts = sorted(r.t or "" for r in docs.where(F.col("doc_id").isin(wanted)).select(
-        F.substring("text", middle, F.lit(SAMPLE_CHARS)).alias("t")).collect()) if wanted else []
-    offsets, codes, words = word_codes(pa.array(texts, pa.string()))
-    flat, ends = streams(offsets, codes, *subwords(words.to_pylist(), model), end_id=load(model).eos_id())
-    if not len(flat):
-        return attention.initial(vocabulary.prior), vocabulary
-    return attention.train(vocabulary.prior, inputs(flat, ends, vocabulary), vocabulary.output[flat], ends), vocabulary
+    weights = attention.initial(vocabulary.prior)
+    for k in range(ROUNDS if words else 0):
+        rows = sorted(merged(lesson(coded, weights, vocabulary, k, words, model), words // LEARNER).collect())
+        n = sum(r.n for r in rows)
+        if not n:
+            continue
+        flat = sum(np.frombuffer(r.total, np.float64) for r in rows) / n
+        cuts = np.cumsum([w.size for w in weights.values()])[:-1]
+        weights = {name: x.astype(np.float32).reshape(weights[name].shape) for name, x in zip(weights, np.split(flat, cuts))}
+    return weights, vocabulary
 
 
 SCHEMA = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -170,20 +253,18 @@ def score(docs: DataFrame, held_out: Column, scratch: Scratch, model: str | None
     for r in subword_counts(known, model).collect():    # one row for each subword of the vocabulary at most
         vector[r.id] = r.n
     vector[load(model).eos_id()] += documents
-    weights, vocabulary = fit(d.where("not held"), vector, model)
+    weights, vocabulary = fit(coded, vector, total, model)
     end_id, floor = load(model).eos_id(), np.log10(total + 0.5 * (distinct + 1)) if total else np.log10(0.5)
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def chunk(left: pa.Table, right: pa.Table) -> pa.Table:
-        import zstandard
         if not left.num_rows:
             return schema.empty_table()
-        row = {c: left.column(c).combine_chunks() for c in left.column_names}
-        listed = {c: row[c].flatten() for c in ("doc_ids", "held", "ends", "words")}
-        offsets = np.r_[0, listed["ends"].to_numpy()].astype(np.int64)
-        codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"][0].as_py()), np.int32)
+        row = {c: left.column(c)[0] for c in left.column_names}
+        listed = {c: row[c].values for c in ("doc_ids", "held", "words")}
+        offsets, codes = unpacked(row)
         c = np.zeros(len(listed["words"]), np.int64)
         c[right.column("pos").to_numpy()] = right.column("c").to_numpy()
         n, docs_ = np.diff(offsets), len(offsets) - 1
@@ -192,11 +273,9 @@ def score(docs: DataFrame, held_out: Column, scratch: Scratch, model: str | None
         known_ = np.bincount(owner, (c > 0)[codes], docs_).astype(np.int64) + (documents > 0)
         starts, ids = subwords(listed["words"].to_pylist(), model)
         got = np.zeros(docs_)
-        cuts = np.unique(np.r_[np.searchsorted(offsets, np.arange(0, offsets[-1] + 1, 1 << 18)), docs_])
-        for a, b in zip(np.r_[0, cuts[:-1]], cuts):
-            if a < b:
-                flat, ends = streams(offsets[a:b + 1] - offsets[a], codes[offsets[a]:offsets[b]], starts, ids, end_id)
-                got[a:b] = score_texts(weights, vocabulary, flat, ends)
+        for a, b in doc_slices(offsets):
+            flat, ends = streams(offsets[a:b + 1] - offsets[a], codes[offsets[a]:offsets[b]], starts, ids, end_id)
+            got[a:b] = score_texts(weights, vocabulary, flat, ends)
         return pa.table([listed["doc_ids"], listed["held"], pa.array(n + 1), pa.array(known_),
                          pa.array(np.full(docs_, total), pa.int64()), pa.array(base), pa.array(got)], schema=schema)
 

@@ -306,6 +306,33 @@ def test_lm(spark, odd, empty, monkeypatch):
     assert lm.score(empty, F.lit(False), Scratch(spark, "t")).count() == 0
 
 
+def test_lm_learns_whole_training_texts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "STEPS", 200)
+    middle = "some other words stand here in between " * 60
+    scores = []
+    for edge in ("red fox " * 400, "red red fox fox " * 200):       # same words and counts, another order
+        rows = [(k, edge + middle + edge) for k in range(8)] + [(99, "red fox " * 50)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+        out = lm.score(df, F.col("doc_id") == 99, Scratch(spark, "t"))
+        scores.append(out.where("doc_id = 99").first().score)
+    assert scores[0] > 0.8 * scores[1]      # both negative
+
+
+def test_lm_learns_each_training_window_once(spark, monkeypatch):
+    rows = [(k if k % 3 else None, f"w{k} " * (k % 70)) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "doc_id", "text", "coalesce(doc_id % 5 = 1, false) held").repartition(4)
+    coded, model = Scratch(spark, "t").cut(lm.chunks(df)), lm.default_model()
+    taught = [t for i, t in rows if i is None or i % 5 != 1]
+    o, codes, table = lm.word_codes(pa.array(taught))
+    flat, ends = lm.streams(o, codes, *lm.subwords(table.to_pylist(), model), end_id=2)
+    vocabulary = lm.attention.Vocabulary(np.bincount(flat, minlength=32000))
+    weights = lm.attention.initial(vocabulary.prior)
+    monkeypatch.setattr(lm, "LEARNER", 1000)
+    n = [r.n for k in range(lm.ROUNDS) for r in lm.lesson(coded, weights, vocabulary, k, len(codes), model).collect()]
+    assert len(n) > lm.ROUNDS and sum(n) == len(lm.attention.windows(ends)[0])
+
+
 def test_windows_score_each_token_once():
     at, inside, live = lm.attention.windows(np.array([5, 5 + 16, 5 + 16 + 40]))
     scored = at[:, lm.attention.CONTEXT:][live]
