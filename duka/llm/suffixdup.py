@@ -17,12 +17,15 @@ earlier (smaller doc_id, or the same document and an earlier start).
    contexts of a group are fetched from the texts, and blocks of whole
    groups get a suffix array by linear grouping (`lyndon.py`). Windows that
    are neighbours in it and agree in LENGTH bytes form a run; all but the
-   earliest of a run are repeats.
+   earliest of a run are repeats. A group of more than HOT contexts, which may
+   exceed a block, is split by window: one narrow row (anchor, hash of the
+   window, document, start) each; the earliest of equal ones is found by
+   partial aggregation and joined back, so no task holds the group.
 4. The repeated stretches of a document are united and cut out.
 
-Contexts are compared by two 64-bit hashes in step 2 and byte by byte in step
-3. Memory: a batch in step 1, 2 and 4, a block (`BLOCK` bytes, or one group of
-different contexts that share 62 bytes) in step 3.
+Contexts are compared by two 64-bit hashes in step 2, as are the windows of
+split groups, and the others byte by byte in step 3. Memory: a batch in step 1,
+2 and 4, a block (about `BLOCK` bytes) in step 3.
 
 Defined results: null text has no bytes; rows that repeat a doc_id are one
 document (neither is earlier); a row without doc_id keeps all and removes
@@ -41,13 +44,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from duka.llm.lyndon import suffix_array
 from duka.llm.scratch import Scratch
-from duka.llm.words import byte_slices, mix64
+from duka.llm.words import byte_slices, mix64, ragged
 
 LENGTH = 100
 GRAM = 24
 SIDE = (LENGTH - GRAM) // 2
 WIDE = LENGTH - GRAM + 1    # grams in a window
 BLOCK = 1 << 17
+HOT = BLOCK // (LENGTH + SIDE)      # contexts of a group in a block
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -192,7 +196,8 @@ def repeats(rows: DataFrame) -> DataFrame:
 
 def contexts(firsts: DataFrame, docs: DataFrame) -> DataFrame:
     """The contexts of groups with several members: hash, side, key, doc_id,
-    start, windows, bytes."""
+    start, bytes. Of groups of more than HOT members: their windows, with the
+    window's hash as key and without bytes."""
     side = F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.shiftrightunsigned("sides", 32).alias("key")),
         F.struct(F.lit(1).alias("side"), F.col("sides").bitwiseAND(0xFFFFFFFF).alias("key")))).alias("s")
@@ -202,26 +207,39 @@ def contexts(firsts: DataFrame, docs: DataFrame) -> DataFrame:
                 F.when(F.col("s.side") == 0, F.col("lo")).otherwise(F.greatest(F.col("lo"), F.col("at") - SIDE + 1)).alias("a"),
                 F.when(F.col("s.side") == 0, F.least(F.col("hi"), F.col("at") - SIDE)).otherwise(F.col("hi")).alias("b")) \
         .where("a <= b")
-    shared = n.groupBy("hash", "side", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = n.groupBy("hash", "side", "key").agg(F.count("*").alias("n")).where("n > 1") \
+        .select("hash", "side", "key", (F.col("n") > HOT).alias("split"))
     wanted = n.join(shared, ["hash", "side", "key"]).groupBy("doc_id").agg(
-        F.collect_list(F.struct("hash", "side", "key", "a", "b")).alias("need"))
+        F.collect_list(F.struct("hash", "side", "key", "a", "b", "split")).alias("need"))
     held = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")).join(wanted, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", 1 << 20):
             data, ends = _bytes(batch.column("text"))
             begin = np.r_[0, ends[:-1]]
             need = batch.column("need")
             owner = np.repeat(np.arange(len(need)), need.value_lengths().to_numpy())
             flat = need.flatten()
-            col = {c: flat.field(c).to_numpy() for c in ("hash", "side", "key", "a", "b")}
+            col = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("hash", "side", "key", "a", "b", "split")}
+            col["doc_id"] = batch.column("doc_id").to_numpy()[owner]
             raw = data.tobytes()
-            base = begin[owner]
-            cut = [raw[x:y] for x, y in zip((base + col["a"]).tolist(), (base + col["b"] + LENGTH).tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(col["hash"]), pa.array(col["side"]), pa.array(col["key"]),
-                 pa.array(batch.column("doc_id").to_numpy()[owner]), pa.array(col["a"]), pa.array(cut, pa.binary())],
-                ["hash", "side", "key", "doc_id", "start", "bytes"])
+            base, stop = begin[owner], ends[owner]
+            whole = np.flatnonzero(~col["split"])
+            cut = [raw[x:y] for x, y in zip((base + col["a"])[whole].tolist(), (base + col["b"] + LENGTH)[whole].tolist())]
+            names = ["hash", "side", "key", "doc_id", "start", "bytes"]
+            yield pa.RecordBatch.from_arrays([*[pa.array(col[c][whole]) for c in ("hash", "side", "key", "doc_id", "a")],
+                                              pa.array(cut, pa.binary())], names)
+            if not col["split"].any():
+                continue
+            h, split = Hashes(data), np.flatnonzero(col["split"])
+            for k in range(0, len(split), 1 << 14):
+                s = split[k:k + (1 << 14)]
+                last = np.minimum(col["b"][s], stop[s] - base[s] - LENGTH)
+                n = np.maximum(0, last - col["a"][s] + 1)
+                start, s = ragged(col["a"][s], n), np.repeat(s, n)
+                key = h.of(base[s] + start, base[s] + start + LENGTH).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                    col["hash"][s], col["side"][s], key, col["doc_id"][s], start)] + [pa.nulls(len(s), pa.binary())], names)
 
     return held.select("doc_id", "text", "need").mapInArrow(
         run, "hash bigint, side int, key bigint, doc_id bigint, start bigint, bytes binary")
@@ -260,7 +278,7 @@ def repeated_windows(parts: list[bytes], doc: np.ndarray, start: np.ndarray) ->
 
 def compared(rows: DataFrame) -> DataFrame:
     """doc_id, place, extra: repeated stretches of the contexts of every group."""
-    ordered = rows.repartition("hash", "side", "key").sortWithinPartitions("hash", "side", "key")
+    ordered = rows.where("bytes is not null").repartition("hash", "side", "key").sortWithinPartitions("hash", "side", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: list[pa.RecordBatch] = []
@@ -295,6 +313,14 @@ def compared(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "doc_id bigint, place bigint, extra bigint")
 
 
+def later_windows(rows: DataFrame) -> DataFrame:
+    """doc_id, place, extra: the windows of split groups that start earlier too."""
+    w = rows.where("bytes is null").select("hash", "key", F.struct("doc_id", "start").alias("at"))
+    first = w.groupBy("hash", "key").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last").drop("last")
+    return w.join(first, ["hash", "key"]).where("at > first").select(
+        "at.doc_id", F.col("at.start").alias("place"), (F.col("at.start") + LENGTH).alias("extra"))
+
+
 def united(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Stretches united where they overlap or touch, ascending."""
     order = np.argsort(begin, kind="stable")
@@ -333,7 +359,7 @@ def without_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     scratch.settle()
     parts = scratch.cut(contexts(found.where("kind = 1").drop("kind", "extra"), d))
     scratch.settle()
-    more = scratch.cut(compared(parts))
+    more = scratch.cut(compared(parts).unionByName(later_windows(parts)))
     scratch.drop(parts)
     scratch.settle()
     return cut_out(d, found.where("kind = 0").select("doc_id", "place", "extra").unionByName(more))

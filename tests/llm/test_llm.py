@@ -276,6 +276,24 @@ def test_repeats(spark, odd, empty):
     assert suffixdup.without_repeats(empty, Scratch(spark, "t")).count() == 0
 
 
+def test_repeats_split_hot_groups(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    line = "This very line of seventy bytes stands in every text, with others around."
+    ends = ["".join(rng.choice(list("abcdefgh é"), 60)) for _ in range(30)]
+    rows = [(k, "".join(rng.choice(list("abcdefgh é"), 80)) + ends[rng.integers(30)] + line + ends[rng.integers(30)])
+            for k in range(200)]
+    df = spark.createDataFrame([*rows, (None, rows[0][1]), (300, None)], "doc_id bigint, text string").repartition(4)
+    sizes = []
+    for hot in (3, suffixdup.HOT):
+        monkeypatch.setattr(suffixdup, "HOT", hot)
+        got = suffixdup.without_repeats(df, Scratch(spark, "t")).where("doc_id is not null").collect()
+        assert {r.doc_id: tuple(r)[1:] for r in got} == repeated([*rows, (300, None)])
+        d = df.selectExpr("doc_id", "text")
+        parts = suffixdup.contexts(suffixdup.repeats(suffixdup.anchor_rows(d)).where("kind = 1").drop("kind", "extra"), d)
+        sizes.append(max(r["count"] for r in parts.where("bytes is not null").groupBy("hash", "side", "key").count().collect()))
+    assert sizes[0] <= 3 < sizes[1]
+
+
 def test_lm(spark, odd, empty, monkeypatch):
     monkeypatch.setattr(lm.attention.train, "__defaults__", (250, *lm.attention.train.__defaults__[1:]))
     got = registry.queries()["op2_lm"](spark, SF).toPandas().set_index("doc_id")
