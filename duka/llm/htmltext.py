@@ -2,12 +2,13 @@
 
 Markup is stripped to one line per block. A line weighs its characters
 outside links, and nothing if it lies in page furniture (menus, headers,
-footers, sidebars, notices, adverts, forms, comments) or, where the page names
-an <article> or <main>, outside it. Weights are summed over sliding windows of
-`WINDOW` lines. The text surges where the block sum rises over the threshold
-and dives where it falls to zero; the lines between are kept, without furniture.
-Where the page names its article the threshold is zero, so that no short line
-of it is lost; elsewhere it is half the mean block sum.
+footers, sidebars, notices, adverts, forms, comments). A line of an <article>
+or <main> weighs as much as the page's heaviest line more, so that its short
+lines count too. Weights are summed over sliding windows of `WINDOW` lines,
+which end where a named element starts or ends. The text surges where the block
+sum rises over half the mean block sum and dives where it falls to zero or a
+named element starts or ends; the lines between are kept, without furniture.
+So text outside the named elements is kept where it is as dense as theirs.
 
 Each page is one row of one pass without a shuffle; whole pages are read.
 
@@ -43,17 +44,25 @@ FURNITURE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|menu|modal|"
     r"nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|share|sharing|"
     r"sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+ASIDE = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|related|repl(?:y|ies)|respond|teasers?)(?:$|[\s_-])", re.I)
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>""", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
+def _is_aside(attributes: str) -> bool:
+    """Whether the class words are of comments or teasers."""
+    return any(ASIDE.search(a or b or c) for a, b, c in _NAMED.findall(attributes))
+
+
 def _is_furniture(name: str, attributes: str) -> bool:
     if name in DROPPED:
         return True
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not attributes or name in ("html", "body", "main"):
         return False
+    if name == "article":
+        return _is_aside(attributes)
     return bool(_HIDDEN.search(attributes)) or any(
         FURNITURE.search(a or b or c) for a, b, c in _NAMED.findall(attributes))
 
@@ -63,6 +72,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     out: list[tuple[str, int, bool, bool]] = []
     text: list[str] = []
     linked, skip, article, in_link = 0, [], 0, 0
+    aside = 0       # furniture open when comments or teasers began, these included
 
     def flush() -> None:
         nonlocal linked
@@ -96,6 +106,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             if name in skip:
                 while skip.pop() != name:
                     pass
+                aside = aside if aside <= len(skip) else 0
             if name in ("article", "main"):
                 article = max(0, article - 1)
             continue
@@ -106,7 +117,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         if name in VOID or m[0].endswith("/>"):
             continue
         if name in ("article", "main"):
-            if "header" not in skip and "footer" not in skip:
+            if not (aside or "header" in skip or "footer" in skip or name == "article" and _is_aside(m[3])):
                 skip.clear()    # furniture left open ends here
             article += 1
         if name in RAW:
@@ -114,6 +125,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             at = end.end() if end else len(page)
         elif skip and name == skip[-1] or _is_furniture(name, m[3]):
             skip.append(name)
+            if not aside and name not in DROPPED and _is_aside(m[3]):
+                aside = len(skip)
         elif skip and name in skip:
             skip.append(name)
         if name == "a":
@@ -125,17 +138,24 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
 def main_text(page: str | None, window: int = WINDOW) -> str:
     """Text of the article, its blocks joined by line feeds."""
     lines = lines_of(page) if page else []
-    named = any(inside and not off for _, _, off, inside in lines)
-    weight = np.array([0 if off or named and not inside else own + named * (own == 0)
-                       for _, own, off, inside in lines], np.int64)
+    if not lines:
+        return ""
+    own = np.array([0 if off else n for _, n, off, _ in lines], np.int64)
+    named = np.array([inside for _, _, _, inside in lines])
+    plain = np.array([not off for _, _, off, _ in lines])
+    weight = own + max(1, own.max()) * (named & plain)
     if not weight.any():
         return ""
-    sums = np.convolve(weight, np.ones(window, np.int64))[window - 1:]     # block i: lines i .. i + window - 1
-    level = 0 if named else sums.mean() / 2
-    keep, inside = [], False
+    run = np.cumsum(np.r_[False, named[1:] != named[:-1]])
+    sums = weight.copy()        # block i: lines i .. i + window - 1 of its run
+    for k in range(1, min(window, len(lines))):
+        sums[:-k] += weight[k:] * (run[k:] == run[:-k])
+    level = sums.mean() / 2
+    keep, inside, last = [], False, 0
     for k, (line, _, _, _) in enumerate(lines):
-        # surge: the block sum rises over the level and the line has weight; dive: the sum is zero
-        inside = bool(weight[k] and sums[k] > level) if not inside else bool(sums[k])
+        # surge: the block sum rises over the level and the line has weight; dive: the sum is zero, or another run
+        inside = bool(sums[k]) if inside and run[k] == last else bool(weight[k] and sums[k] > level)
+        last = run[k]
         if inside and weight[k]:
             keep.append(line)
     return "\n".join(keep)

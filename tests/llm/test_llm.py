@@ -206,6 +206,18 @@ def test_html(spark):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_html_text_outside_the_named_elements():
+    body = "".join(f"<p>{w * 50}</p>" for w in ("word ", "more ", "text ", "last "))
+    want = "\n".join((w * 50).strip() for w in ("word ", "more ", "text ", "last "))
+    for notes in ('<article class="comment"><p>Me too</p></article>' * 3,
+                  '<div id="comments"><article><p>Me too</p></article><article><p>No</p></article></div>',
+                  '<article class="teaser"><h3>Next</h3><p>Read on</p></article>'):
+        assert htmltext.main_text(f"<body><div>{body}</div>{notes}</body>") == want
+    assert want in htmltext.main_text(f"<body><div>{body}</div><article><p>Me too</p></article></body>")
+    page = f"<body><div><p>Home</p></div><article><h1>Head</h1><p>By A</p><p>1 May</p>{body}<p>.</p></article><div>All rights</div>"
+    assert htmltext.main_text(page) == f"Head\nBy A\n1 May\n{want}\n."
+
+
 def test_merkle(spark, odd, empty):
     d = documents().sort_values("doc_id", ascending=False).reset_index(drop=True)
     following = [*d.text[1:], d.text[0]]
