@@ -14,7 +14,8 @@ Each page is one row of one pass without a shuffle; whole pages are read.
 
 Defined results: null, empty or textless html gives an empty text; an element
 of furniture that is never closed ends where the article starts or else with
-the page; repeated pages give repeated rows; an empty table an empty result;
+the page; a hidden or furniture <p> or <li> without end tag ends with the next block, list entry or parent;
+repeated pages give repeated rows; an empty table an empty result;
 other columns are ignored.
 """
 
@@ -39,32 +40,55 @@ DROPPED = frozenset(
     "script style noscript template svg head title nav header footer aside form button select textarea iframe "
     "object menu dialog canvas".split())
 RAW = frozenset("script style textarea title".split())
+OPTIONAL = frozenset(("p", "li"))       # their end tags may be missing
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+# A block container is furniture if a part of a class word is one of these ...
 FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|menu|modal|"
-    r"nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|share|sharing|"
-    r"sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:ads?|advert\w*|breadcrumbs?|comments?|cookies?|consent|disqus|menu|modal|nav|navbar|navigation|"
+    r"newsletter|pagination|popup|promo\w*|replies|respond|sharing|sidebar|sponsor\w*|subscribe|toolbar|widget)"
+    r"(?:$|[\s_-])", re.I)
+# ... or, outside the article, one of these; in the article a whole class word must be one of WHOLE.
+LOOSE = re.compile(r"(?:^|[\s_-])(?:banner|footer|header|notices?|related|share|social)(?:$|[\s_-])", re.I)
+WHOLE = re.compile(r"(?:^|\s)(?:banner|footer|related|share|social)(?:$|\s)", re.I)
+# An id is one word for the whole element, so it must be a furniture word as it stands.
+SLUG = re.compile(rf"(?:{FURNITURE.pattern}|{LOOSE.pattern})", re.I)
 ASIDE = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|related|repl(?:y|ies)|respond|teasers?)(?:$|[\s_-])", re.I)
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>""", re.S)
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+)))?""")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 
-def _is_aside(attributes: str) -> bool:
-    """Whether the class words are of comments or teasers."""
-    return any(ASIDE.search(a or b or c) for a, b, c in _NAMED.findall(attributes))
+def _attributes(text: str) -> dict[str, str]:
+    return {name.lower(): a or b or c for name, a, b, c in _ATTRIBUTE.findall(text)}
 
 
-def _is_furniture(name: str, attributes: str) -> bool:
+def _is_aside(attributes: dict[str, str]) -> bool:
+    """Whether a class word or the id is of comments or teasers."""
+    slug = attributes.get("id", "")
+    return bool(ASIDE.search(attributes.get("class", "")) or "-" not in slug and "_" not in slug and ASIDE.search(slug))
+
+
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    return ("hidden" in attributes and attributes["hidden"].lower() != "until-found"
+            or attributes.get("aria-hidden", "").lower() == "true" or bool(_UNSEEN.search(attributes.get("style", ""))))
+
+
+def _is_furniture(name: str, attributes: dict[str, str], in_article: bool) -> bool:
     if name in DROPPED:
-        return True
+        return not (name == "header" and in_article) or _is_hidden(attributes)
     if not attributes or name in ("html", "body", "main"):
         return False
+    if _is_hidden(attributes):
+        return True
     if name == "article":
         return _is_aside(attributes)
-    return bool(_HIDDEN.search(attributes)) or any(
-        FURNITURE.search(a or b or c) for a, b, c in _NAMED.findall(attributes))
+    if name not in BLOCKS or name in HEADINGS:
+        return False
+    words, slug = f'{attributes.get("class", "")} {attributes.get("role", "")}', attributes.get("id", "")
+    return bool(FURNITURE.search(words) or (WHOLE if in_article else LOOSE).search(words)
+                or "-" not in slug and "_" not in slug and not (in_article and LOOSE.search(slug)) and SLUG.search(slug))
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
@@ -103,6 +127,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 in_link = max(0, in_link - 1)
             if name in BLOCKS or name in DROPPED:
                 flush()
+                if skip and skip[0] in OPTIONAL and name not in skip and name != "p" and name not in HEADINGS:
+                    skip.clear()    # the end of an element around a <p> or <li> ends it too
+                    aside = 0
             if name in skip:
                 while skip.pop() != name:
                     pass
@@ -112,22 +139,30 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             continue
         if name in BLOCKS or name in DROPPED:
             flush()
+            if skip and skip[-1] == "p":        # a <p> ends where the next block starts
+                skip.pop()
+            if name == "li" and "li" in skip:   # a <li> where the next one of its list starts
+                last = len(skip) - 1 - skip[::-1].index("li")
+                if not {"ul", "ol", "menu"} & set(skip[last:]):
+                    del skip[last:]
+            aside = aside if aside <= len(skip) else 0
         if name == "br":
             add(" ")
         if name in VOID or m[0].endswith("/>"):
             continue
+        attributes = _attributes(m[3]) if m[3] else {}
         if name in ("article", "main"):
-            if not (aside or "header" in skip or "footer" in skip or name == "article" and _is_aside(m[3])):
+            if not (aside or "header" in skip or "footer" in skip or name == "article" and _is_aside(attributes)):
                 skip.clear()    # furniture left open ends here
             article += 1
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
-        elif skip and name == skip[-1] or _is_furniture(name, m[3]):
+        elif skip and name == skip[-1] or _is_furniture(name, attributes, article > 0):
             skip.append(name)
-            if not aside and name not in DROPPED and _is_aside(m[3]):
+            if not aside and name not in DROPPED and _is_aside(attributes):
                 aside = len(skip)
-        elif skip and name in skip:
+        elif skip and (name in BLOCKS or name in skip):
             skip.append(name)
         if name == "a":
             in_link += 1

@@ -218,6 +218,23 @@ def test_html_text_outside_the_named_elements():
     assert htmltext.main_text(page) == f"Head\nBy A\n1 May\n{want}\n."
 
 
+def test_html_keeps_blocks_that_only_look_like_furniture():
+    def text(inner: str) -> str:
+        return htmltext.main_text(f"<body><nav>Menu</nav><article><p>First line of it</p>{inner}<p>Last line of it</p></article></body>")
+    for block in ('<div style="overflow:hidden">X y z</div>', '<div class="overflow-hidden">X y z</div>',
+                  '<p title="the hidden side">X y z</p>', '<p><a href="/hidden/">X</a> y z</p>', '<h2 id="related-work">X y z</h2>',
+                  '<h2 class="header">X y z</h2>', '<div class="post-header"><h1>X y z</h1></div>',
+                  '<header><h1>X y z</h1></header>', '<section id="social-notices"><p>X y z</section>',
+                  '<p>X <span class="share">y</span> z</p>', '<p hidden="until-found">X y z</p>'):
+        assert text(block) == "First line of it\nX y z\nLast line of it", block
+    for block in ("<div hidden>X</div>", '<p style="color:red; display: none">X</p>', '<p style="visibility:hidden">X</p>',
+                  '<div aria-hidden="true">X</div>', '<div class="ad">X</div>', '<div id="comments">X</div>', '<p class="ad">X',
+                  '<ul><li class="ad">X</ul>', '<div><p class="ad">X</div>', "<p hidden>X",
+                  '<ul><li class="ad"><div>X</div> X<ul><li>X<li>X</ul>X</ul>', '<ul><li class="ad"><p>X</p>X</p>X</li></ul>'):
+        assert text(block) == "First line of it\nLast line of it", block
+    assert text('<ul><li class="ad">X<li>Y</ul>') == "First line of it\nY\nLast line of it"
+
+
 def test_merkle(spark, odd, empty):
     d = documents().sort_values("doc_id", ascending=False).reset_index(drop=True)
     following = [*d.text[1:], d.text[0]]
