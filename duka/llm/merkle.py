@@ -9,6 +9,7 @@ root over the sections.
 The fingerprint is text: the root, then per section `|`, its hash, and per
 paragraph `/` and its leaves' hashes. Equal roots mean equal texts; else equal
 sections are skipped and only the leaves of differing ones are compared.
+`differences` gives the places of differing sections and paragraphs.
 
 Defined results: null text is the empty text (root only); an empty text is
 like nothing but an empty text; repeated rows follow each other; the last
@@ -22,6 +23,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _LEAF = re.compile(r"[^.!?\s]\S{0,15}(?:[^\S.!?][^\s.!?]*|\S){0,6}[.!?\s]*|[.!?\s]+")
-LEAF_HEX = 6
+LEAF_HEX = 12      # hex digits that the fingerprint keeps of a leaf's hash
 ROWS_PER_RANGE = 4096
 MAX_RANGES = 20_000     # a number of partitions; every row has its range
 
@@ -52,7 +54,7 @@ def fingerprint(text: str | None) -> str:
         parts = [xxhash.xxh3_64_digest(leaf) for leaf in leaves(line)]
         own = hashlib.sha256(b"".join(parts)).digest()
         digests.update(own)
-        paragraphs.append("/" + "".join([p[:3].hex() for p in parts]))
+        paragraphs.append("/" + "".join([p[:LEAF_HEX // 2].hex() for p in parts]))
         if own[0] % 4 == 0:
             close()
             paragraphs, digests = [], hashlib.sha256()
@@ -85,6 +87,25 @@ def likeness(a: str, b: str) -> float:
     return 2.0 * (same + (x & y).total()) / n if n else 0.0
 
 
+def differences(a: str, b: str) -> list[tuple[str, int, int, int, int]]:
+    """Where the texts of two fingerprints differ: (kind, from, to) in the first and (from, to) in the second,
+    for sections (kind `section`) and, within each differing run of sections, paragraphs (kind `paragraph`,
+    counted from the text's start). Ends are exclusive; an empty range is a place of insertion or removal."""
+    if a[:32] == b[:32]:
+        return []
+    left, right = a.split("|")[1:], b.split("|")[1:]
+    before = [np.cumsum([0, *[s.count("/") for s in x]]).tolist() for x in (left, right)]
+    out = []
+    for op, i, j, k, l in SequenceMatcher(None, left, right, autojunk=False).get_opcodes():
+        if op == "equal":
+            continue
+        out.append(("section", i, j, k, l))
+        x, y = ([p for s in side for p in s.split("/")[1:]] for side in (left[i:j], right[k:l]))
+        out += [("paragraph", before[0][i] + e, before[0][i] + f, before[1][k] + g, before[1][k] + h)
+                for kind, e, f, g, h in SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if kind != "equal"]
+    return out
+
+
 def in_order(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """(r, extra, doc_id, text) by ranges of doc_id: partitions hold whole ranges,
     sorted by descending doc_id, and a range ends with a copy of the document

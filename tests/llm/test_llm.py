@@ -253,6 +253,23 @@ def test_merkle(spark, odd, empty):
     assert all("".join(merkle.leaves(line)) == line for t in d.text for line in t.split("\n"))
 
 
+def test_merkle_locates_edits():
+    lines = [f"paragraph {k} of the text, with words {k * k}." for k in range(60)]
+    mark = merkle.fingerprint("\n".join(lines))
+    assert merkle.differences(mark, mark) == []
+
+    def found(new: list[str]) -> list[tuple]:
+        got = merkle.differences(mark, merkle.fingerprint("\n".join(new)))
+        assert any(g[0] == "section" for g in got)
+        return [g[1:] for g in got if g[0] == "paragraph"]
+
+    assert found([*lines[:20], "another one", *lines[21:]]) == [(20, 21, 20, 21)]
+    assert found([*lines[:20], "a new one", *lines[20:]]) == [(20, 20, 20, 21)]
+    assert found(lines[:20] + lines[21:]) == [(20, 21, 20, 20)]
+    many = merkle.fingerprint("\n".join(f"leaf {k}" for k in range(20_000)))
+    assert len(set(re.split("[|/]", many)[1:])) > 20_000     # no two leaves share a hash by chance
+
+
 def test_language(spark, odd, empty):
     got = langid_rows = registry.queries()["op9_language"](spark, "/root/testdata/sf0.01").toPandas()
     d = pd.read_parquet("/root/testdata/sf0.01/documents.parquet").merge(got, on="doc_id")
