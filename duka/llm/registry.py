@@ -8,7 +8,7 @@ from importlib import import_module
 _WHERE = {
     "op1_mix": "mixing", "op2_lm": "lm", "op3_pieces": "pieces", "op4_pii": "pii", "op5_topk": "topk",
     "op6_neardup": "neardup", "op7_html": "htmltext", "op8_merkle": "merkle",
-    "op9_language": "langid", "op10_suffix": "suffixdup", "op11_importance": "importance", "op12_exact": "exact",
+    "op9_language": "langid", "op10_suffix": "suffixdup", "op11_importance": "importance", "op12_exact": "exact", "op13_prefixtrie": "prefixtrie",
 }
 
 
