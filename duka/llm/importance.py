@@ -148,3 +148,38 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_features, weight, score, rank of all documents, with `benchmark` as the target."""
     return resample(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
                     Scratch(spark, "importance"))
+
+
+# the CRC-32 of a word: a byte table made by eight halvings, then one look-up a byte
+ORACLE = r"""
+WITH RECURSIVE step(i, v, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END, k + 1 FROM step WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM step WHERE k = 8),
+words AS (
+  SELECT 'd' AS part, doc_id AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL
+  SELECT 'b', 0, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+counted AS (SELECT part, id, w, count(*) AS n FROM words GROUP BY part, id, w),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode(w))),
+             lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT)),
+           lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM counted), tab),
+sums AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE part = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (WHERE part = 'b'), 0)::DOUBLE AS t
+         FROM counted JOIN hashed USING (w) GROUP BY bucket),
+alls AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM sums),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000))))::BIGINT AS g FROM sums, alls),
+weighed AS (SELECT id, sum(n)::BIGINT AS n, sum(n * g)::BIGINT AS weight
+            FROM counted JOIN hashed USING (w) JOIN gain USING (bucket) WHERE part = 'd' GROUP BY id),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents LEFT JOIN weighed ON doc_id = id),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, 10 * count(*) OVER () // 100 AS k
+           FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN r <= k THEN r END AS rank
+FROM scored s LEFT JOIN ranked r ON s.doc_id = r.doc_id
+"""

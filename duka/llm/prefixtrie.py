@@ -267,3 +267,38 @@ def trie(conversations: DataFrame, scratch: Scratch, turns: int = BLOCK) -> Data
 def op13_prefixtrie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nodes of the trie over `conversations`."""
     return trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), Scratch(spark, "prefixtrie"))
+
+
+# h by the CRC-32 of the decimal id: a byte table made by eight halvings, then one look-up a byte
+ORACLE = r"""
+WITH RECURSIVE step(i, v, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END, k + 1 FROM step WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM step WHERE k = 8),
+t AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+  SELECT conv_id, own, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(conv_id::VARCHAR)),
+               lambda i: ascii(substr(conv_id::VARCHAR, (i + 1)::BIGINT, 1))::BIGINT)),
+             lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1])), 4294967295::BIGINT) % 4 AS h
+  FROM t, tab),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(list_slice(b.own, 1, c.h), []), coalesce(list_slice(c.own, c.h + 1, len(c.own)), [])) AS turns
+  FROM h c LEFT JOIN t b ON b.conv_id = c.base),
+p AS (SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r),
+q AS (SELECT conv_id, n, depth, list_slice(turns, 1, depth) AS path, list_slice(turns, 1, depth - 1) AS up FROM p),
+nodes AS (
+  SELECT path, depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256,
+         (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS spared
+  FROM q GROUP BY path, depth),
+kids AS (SELECT up, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY up),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.up = n.path),
+above AS (SELECT list_slice(path, 1, d) AS top, n_children, spared
+          FROM (SELECT path, n_children, spared, unnest(range(0, depth + 1)) AS d FROM full_nodes)),
+sub AS (SELECT top, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(spared)::BIGINT AS saved_tokens FROM above GROUP BY top)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sub s ON s.top = n.path LEFT JOIN nodes u ON n.depth > 0 AND u.path = n.up
+"""

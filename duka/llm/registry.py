@@ -17,5 +17,6 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from duka.llm import exact, mixing, topk
-    return {"op1_mix": mixing.ORACLE, "op5_topk": topk.ORACLE, "op12_exact": exact.ORACLE}
+    from duka.llm import exact, importance, mixing, prefixtrie, topk
+    return {"op1_mix": mixing.ORACLE, "op5_topk": topk.ORACLE, "op11_importance": importance.ORACLE,
+            "op12_exact": exact.ORACLE, "op13_prefixtrie": prefixtrie.ORACLE}
