@@ -112,7 +112,8 @@ DEFAULTS = {
     "rfm_as_of": "2001-08-01",
     "dead_stock_cutoff_key": 20010501,
     "basket_min_pairs": 5,
-    "inventory_years": (2001,),
+    # the stock snapshot covers this many calendar years, up to the last one with orders
+    "inventory_last_years": 2,
     "sample_n": 100,
     "sample_seed": "duka",
 }

@@ -4,13 +4,14 @@
 or a broadcast nested loop. When the range is a span of days, each range row
 is expanded to its days with `explode(sequence(start, end))` and joined on
 the day: an equi-join that shuffles or broadcasts like any other.
-A dense (entity x day) grid is generated the same way, per entity row;
-`dense_daily` fills it with per-day values without ever shuffling the grid.
+A dense (entity x day) grid is kept as runs of days (`value_runs`): sums over
+the grid are sums over runs by their length, and `dense_daily` generates the
+days only for those who ask for them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duka.functions import calendar as cal
@@ -21,26 +22,52 @@ def explode_days(df: DataFrame, start: str, end: str, name: str = "full_date") -
                                                     F.expr("INTERVAL 1 DAY"))))
 
 
-def dense_daily(entities: DataFrame, key: str, daily: DataFrame, value_col: str,
+def value_runs(entities: DataFrame, key: str, daily: DataFrame, day_col: str, value_col: str,
+               start, end) -> DataFrame:
+    """(key, first_day, last_day, value): the dense entity x day grid over
+    [start, end], run-length encoded. A day with a `daily` row is a run of one
+    day, and the idle days up to the next one are a single run with a NULL
+    value, so the rows grow with `daily` and the entities, not with the days.
+
+    `daily` holds one row per entity and day inside [start, end]; rows of
+    unknown entities are dropped. The window is partitioned by the entity and
+    sees at most one row per day of the span.
+    """
+    start_c, end_c = _day(start), _day(end)
+    value = F.col(value_col)
+    heads = entities.select(key, F.date_sub(start_c, 1).alias("_day"),
+                            F.lit(None).cast(daily.schema[value_col].dataType).alias("_value"),
+                            F.lit(True).alias("_head"))
+    marks = heads.unionByName(daily.select(key, F.col(day_col).alias("_day"), value.alias("_value"),
+                                           F.lit(False).alias("_head")))
+    w = Window.partitionBy(key).orderBy("_day")
+    following = F.coalesce(F.lead("_day").over(w), F.date_add(end_c, 1))
+    marks = marks.withColumns({"_next": following, "_known": F.first("_head").over(w)}).where("_known")
+    own = F.struct(F.when(~F.col("_head"), F.col("_day")).alias("first_day"), F.col("_day").alias("last_day"), F.col("_value").alias(value_col))
+    idle = F.struct(F.date_add("_day", 1).alias("first_day"), F.date_sub("_next", 1).alias("last_day"),
+                    F.lit(None).cast(daily.schema[value_col].dataType).alias(value_col))
+    runs = F.filter(F.array(own, idle), lambda r: r["first_day"] <= r["last_day"])
+    return marks.select(key, F.explode(runs).alias("_run")).select(key, "_run.*")
+
+
+def run_months(runs: DataFrame, name: str = "month") -> DataFrame:
+    """One row per run and month it touches: `name` (the first of the month)
+    and `days`, the run's days in it."""
+    months = F.sequence(F.trunc("first_day", "MM"), F.trunc("last_day", "MM"), F.expr("INTERVAL 1 MONTH"))
+    return runs.withColumn(name, F.explode(months)).withColumn(
+        "days", F.datediff(F.least("last_day", F.last_day(name)), F.greatest("first_day", name)) + 1)
+
+
+def _day(d) -> Column:
+    return d if isinstance(d, Column) else F.lit(d).cast("date")
+
+
+def dense_daily(entities: DataFrame, key: str, daily: DataFrame, day_col: str, value_col: str,
                 start, end, name: str = "full_date") -> DataFrame:
     """(key, full_date, date_key, value) for every entity and every day in
-    [start, end]; value is the entity's `daily` value that day, or NULL.
-
-    `daily` holds (key, date_key, value) with one row per entity and day,
-    all inside [start, end]. Each entity's values are gathered into one map
-    (at most one entry per day of the span, so bounded by the calendar, not
-    by the data), joined to the entities on the key (entity-sized rows on
-    both sides), and the days are generated after that join: the
-    entities x days grid is produced where it is consumed and never
-    shuffled.
-    """
-    start_c = start if isinstance(start, Column) else F.lit(start).cast("date")
-    end_c = end if isinstance(end, Column) else F.lit(end).cast("date")
-    by_entity = daily.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("date_key", value_col))).alias("_by_day"))
-    e = entities.select(key).join(by_entity, key, "left")
-    grid = e.select(key, "_by_day",
-                    F.explode(F.sequence(start_c, end_c, F.expr("INTERVAL 1 DAY"))).alias(name))
-    grid = grid.withColumn("date_key", cal.date_key(name))
-    return grid.select(key, name, "date_key",
-                       F.try_element_at("_by_day", F.col("date_key")).alias(value_col))
+    [start, end]; value is the entity's `daily` value that day, or NULL. The
+    days are generated from the runs where they are consumed, so the
+    entities x days grid is never shuffled."""
+    grid = explode_days(value_runs(entities, key, daily, day_col, value_col, start, end),
+                        "first_day", "last_day", name)
+    return grid.select(key, name, cal.date_key(name).alias("date_key"), value_col)

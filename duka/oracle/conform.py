@@ -212,25 +212,20 @@ SELECT *,
 FROM sales_local""")
 
 
-def inventory_cte(years=None) -> None:
-    years = tuple(years or fixed.DEFAULTS["inventory_years"])
-    yl = ", ".join(str(y) for y in years)
-    _cte("fact_inventory", ["dim_date", "dim_product", "sales_lines"], f"""
+# the snapshot covers the last calendar years with orders
+_cte("inventory_days", ["dim_date"], f"""
+SELECT * FROM dim_date WHERE year > (SELECT max(year) FROM dim_date) - {fixed.DEFAULTS["inventory_last_years"]}""")
+
+_cte("fact_inventory", ["inventory_days", "dim_product", "sales_lines"], f"""
 SELECT g.date_key, g.product_key, CAST({fixed.OPENING_STOCK} AS INTEGER) AS opening_stock,
-       CAST(CASE WHEN g.day_number = 1 THEN {fixed.RESTOCK_UNITS} ELSE 0 END AS INTEGER) AS stock_received,
-       CAST(coalesce(s.sold, 0) AS INTEGER) AS stock_sold,
-       CAST(CASE WHEN g.day_number % {fixed.RETURN_DAY_MODULUS} = 0 THEN {fixed.RETURNED_UNITS} ELSE 0 END
-            AS INTEGER) AS stock_returned,
-       CAST({fixed.OPENING_STOCK} + CASE WHEN g.day_number = 1 THEN {fixed.RESTOCK_UNITS} ELSE 0 END
-            - coalesce(s.sold, 0) AS INTEGER) AS closing_stock
-FROM (SELECT d.date_key, d.day_number, p.product_key
-      FROM dim_date d CROSS JOIN dim_product p WHERE d.year IN ({yl})) g
-LEFT JOIN (SELECT date_key, product_key, sum(quantity) AS sold FROM sales_lines
-           GROUP BY date_key, product_key) s
-  ON g.date_key = s.date_key AND g.product_key = s.product_key""")
-
-
-inventory_cte()
+       CAST(received AS INTEGER) AS stock_received, CAST(coalesce(sold, 0) AS INTEGER) AS stock_sold,
+       CAST(returned AS INTEGER) AS stock_returned,
+       CAST({fixed.OPENING_STOCK} + received - coalesce(sold, 0) AS INTEGER) AS closing_stock
+FROM (SELECT date_key, product_key, if(day_number = 1, {fixed.RESTOCK_UNITS}, 0) AS received,
+             if(day_number % {fixed.RETURN_DAY_MODULUS} = 0, {fixed.RETURNED_UNITS}, 0) AS returned
+      FROM inventory_days, dim_product) g
+LEFT JOIN (SELECT date_key, product_key, sum(quantity) AS sold FROM sales_lines GROUP BY ALL) s
+USING (date_key, product_key)""")
 
 _cte("campaign_days", ["dim_campaign", "dim_date"], f"""
 SELECT d.date_key, c.campaign_key,

@@ -28,49 +28,52 @@ def B(x: str) -> str:
 SQL: dict[str, str] = {}
 
 # ------------------------------------------------------------------ views
+# an order has one date, so orders are counted as rows of their own sums
 SQL["revenue_kpis"] = with_ctes(f"""
-SELECT d.year, d.month_name, count(DISTINCT fs.order_id) AS total_orders,
-       {T('fs.gross_revenue_usd')} AS gross_revenue_usd, {T('fs.net_revenue_usd')} AS net_revenue_usd,
-       {T('fs.profit_usd')} AS total_profit_usd,
-       {pct_sql('sum(fs.profit_usd)', 'sum(fs.net_revenue_usd)')} AS profit_margin_pct,
-       {ratio_sql('sum(fs.net_revenue_usd)', 'count(DISTINCT fs.order_id)')} AS aov_usd
-FROM sales_lines fs
-JOIN dim_date d ON fs.date_key = d.date_key
-JOIN dim_status s ON fs.status_key = s.status_key
-WHERE s.status_name NOT IN ('Cancelled', 'Refunded')
-GROUP BY d.year, d.month_number, d.month_name""", "sales_lines", "dim_date", "dim_status")
+SELECT CAST(year(m) AS INTEGER) AS year, monthname(m) AS month_name, count(*) AS total_orders,
+       {T('g')} AS gross_revenue_usd, {T('n')} AS net_revenue_usd, {T('p')} AS total_profit_usd,
+       {pct_sql('sum(p)', 'sum(n)')} AS profit_margin_pct, {ratio_sql('sum(n)', 'count(*)')} AS aov_usd
+FROM orders_kept GROUP BY m""", "sales_lines", extra={"orders_kept": f"""
+SELECT date_trunc('month', any_value(order_date)) AS m, sum(gross_revenue_usd) AS g, sum(net_revenue_usd) AS n,
+       sum(profit_usd) AS p
+FROM sales_lines WHERE status_key <> ALL ({fixed.status_keys('Cancelled', 'Refunded')}) GROUP BY order_id"""})
 
 SQL["customer_metrics"] = with_ctes(f"""
-SELECT c.customer_segment, count(DISTINCT fs.customer_key) AS active_customers,
-       {B('fs.quantity')} AS total_items_purchased, {T('fs.net_revenue_usd')} AS total_revenue_usd,
-       {ratio_sql('sum(fs.net_revenue_usd)', 'count(DISTINCT fs.customer_key)')} AS clv_usd
-FROM sales_lines fs
-JOIN dim_customer c ON fs.customer_key = c.customer_key
-JOIN dim_status s ON fs.status_key = s.status_key
-WHERE s.status_name = 'Completed'
-GROUP BY c.customer_segment""", "sales_lines", "dim_customer", "dim_status")
-
+SELECT customer_segment, count(*) AS active_customers, {B('items')} AS total_items_purchased,
+       {T('net')} AS total_revenue_usd, {ratio_sql('sum(net)', 'count(*)')} AS clv_usd
+FROM customer_keys NATURAL JOIN buyers GROUP BY customer_segment""", "sales_lines", "customer_keys", extra={"buyers": f"""
+SELECT customer_key, sum(quantity) AS items, sum(net_revenue_usd) AS net
+FROM sales_lines WHERE status_key = {fixed.status_key('Completed')} GROUP BY customer_key"""})
+
+# sums by (product, status), shared by the product reports
+BY_STATUS = {"by_status": """
+SELECT product_key, status_key, sum(quantity) AS q, sum(net_revenue_usd) AS net, sum(profit_usd) AS profit
+FROM sales_lines GROUP BY product_key, status_key"""}
+_returned_q = f"sum(q) FILTER (WHERE status_key = {fixed.status_key('Returned')})"
 SQL["product_performance"] = with_ctes(f"""
-SELECT p.category, p.sub_category, p.product_name, p.brand,
-       {B('fs.quantity')} AS units_sold, {T('fs.net_revenue_usd')} AS net_revenue_usd,
-       {T('fs.profit_usd')} AS total_profit_usd,
-       {pct_sql("sum(CASE WHEN s.status_name = 'Returned' THEN fs.quantity ELSE 0 END)",
-                'sum(fs.quantity)')} AS return_rate_pct
-FROM sales_lines fs
-JOIN dim_product p ON fs.product_key = p.product_key
-JOIN dim_status s ON fs.status_key = s.status_key
-GROUP BY p.category, p.sub_category, p.product_name, p.brand""",
-                                   "sales_lines", "dim_product", "dim_status")
-
+SELECT category, sub_category, product_name, brand, {B('q')} AS units_sold, {T('net')} AS net_revenue_usd,
+       {T('profit')} AS total_profit_usd, {pct_sql(f'coalesce({_returned_q}, 0)', 'sum(q)')} AS return_rate_pct
+FROM dim_product NATURAL JOIN by_status
+GROUP BY ALL""", "sales_lines", "dim_product", extra=BY_STATUS)
+
+# a product's stock over the whole period in closed form: each day opens with the
+# same stock, each first of a month adds a delivery, and a day's sales are taken off
+STOCK = {"period": """
+SELECT count(*) AS days, count(*) FILTER (WHERE day_number = 1) AS firsts FROM inventory_days""",
+         "units": """
+SELECT product_key, sum(quantity) AS sold FROM sales_lines SEMI JOIN inventory_days USING (date_key) GROUP BY product_key""",
+         "stock": f"""
+SELECT p.*, days, coalesce(sold, 0) AS sold, {fixed.OPENING_STOCK} * days AS opened,
+       {fixed.OPENING_STOCK} * days + {fixed.RESTOCK_UNITS} * firsts - coalesce(sold, 0) AS closed
+FROM dim_product p LEFT JOIN units u ON u.product_key = p.product_key CROSS JOIN period"""}
 SQL["inventory_analytics"] = with_ctes(f"""
-SELECT p.category, p.product_name, {B('fi.opening_stock')} AS total_opening_stock,
-       {B('fi.stock_sold')} AS total_units_sold, {B('fi.closing_stock')} AS current_stock_on_hand,
-       CAST(round(sum(fi.closing_stock * p.standard_cost), 2) AS DECIMAL(38,2)) AS inventory_value_usd,
-       CASE WHEN sum(fi.stock_sold) = 0 THEN '{fixed.STOCK_DEAD}'
-            WHEN sum(fi.closing_stock) > sum(fi.stock_sold) * {fixed.OVERSTOCK_FACTOR} THEN '{fixed.STOCK_OVER}'
-            ELSE '{fixed.STOCK_OK}' END AS stock_health_status
-FROM fact_inventory fi JOIN dim_product p ON fi.product_key = p.product_key
-GROUP BY p.category, p.product_name""", "fact_inventory", "dim_product")
+SELECT category, product_name, o AS total_opening_stock, u AS total_units_sold, c AS current_stock_on_hand,
+       CAST(v AS DECIMAL(38,2)) AS inventory_value_usd,
+       list_extract(['{fixed.STOCK_DEAD}', '{fixed.STOCK_OVER}', '{fixed.STOCK_OK}'],
+                    CASE u WHEN 0 THEN 1 ELSE if(c - {fixed.OVERSTOCK_FACTOR} * u > 0, 2, 3) END) AS stock_health_status
+FROM (SELECT category, product_name, {B('opened')} AS o, {B('sold')} AS u, {B('closed')} AS c,
+             sum(closed * standard_cost) AS v
+      FROM stock GROUP BY category, product_name)""", "inventory_days", "dim_product", "sales_lines", extra=STOCK)
 
 SQL["marketing_roi_summary"] = with_ctes(f"""
 SELECT c.campaign_name, c.channel, {B('fm.impressions')} AS total_impressions,
@@ -95,51 +98,48 @@ WHERE d.year = {P['target_year']} AND s.status_name NOT IN ('Cancelled', 'Refund
 GROUP BY d.month_number, d.month_name"""})
 
 SQL["customer_lifetime_value"] = with_ctes(f"""
-SELECT c.customer_id, c.customer_name, c.customer_segment, loc.country AS demography_country,
-       count(DISTINCT fs.order_id) AS total_orders_placed, {B('fs.quantity')} AS total_items_purchased,
-       {T('fs.net_revenue_usd')} AS historical_spend_usd,
-       {T('fs.profit_usd')} AS net_contribution_profit_usd
-FROM sales_lines fs
-JOIN dim_customer c ON fs.customer_key = c.customer_key
-JOIN dim_location loc ON c.location_key = loc.location_key
-WHERE c.customer_id = {P['customer_id']} AND c.is_current
-GROUP BY c.customer_id, c.customer_name, c.customer_segment, loc.country""",
-                                           "sales_lines", "dim_customer", "dim_location")
+SELECT customer_id, customer_name, customer_segment, country AS demography_country,
+       len(list_distinct(list(order_id))) AS total_orders_placed, {B('quantity')} AS total_items_purchased,
+       {T('net_revenue_usd')} AS historical_spend_usd, {T('profit_usd')} AS net_contribution_profit_usd
+FROM (SELECT customer_key, customer_id, customer_name, customer_segment, country
+      FROM customer_keys NATURAL JOIN (SELECT location_key, country FROM dim_location)
+      WHERE customer_id = {P['customer_id']})
+NATURAL JOIN (SELECT customer_key, order_id, quantity, net_revenue_usd, profit_usd FROM sales_lines)
+GROUP BY ALL""", "sales_lines", "customer_keys", "dim_location")
 
 SQL["top_products"] = with_ctes(f"""
-SELECT p.product_name, p.category, p.brand, {B('fs.quantity')} AS total_units_sold,
-       {T('fs.net_revenue_usd')} AS generated_revenue_usd, {T('fs.profit_usd')} AS net_profit_usd
-FROM sales_lines fs
-JOIN dim_product p ON fs.product_key = p.product_key
-JOIN dim_status s ON fs.status_key = s.status_key
-WHERE s.status_name = 'Completed'
-GROUP BY p.product_name, p.category, p.brand
-ORDER BY net_profit_usd DESC, p.product_name, p.category, p.brand
-LIMIT {P['top_n']}""", "sales_lines", "dim_product", "dim_status")
-
-_oc = "sum((fi.opening_stock + fi.closing_stock) * p.standard_cost)"
-_cogs = "sum(fi.stock_sold * p.standard_cost)"
+SELECT * FROM (
+  SELECT product_name, category, brand, {B('q')} AS total_units_sold, {T('net')} AS generated_revenue_usd,
+         {T('profit')} AS net_profit_usd
+  FROM by_status NATURAL JOIN dim_product WHERE status_key = {fixed.status_key('Completed')}
+  GROUP BY product_name, category, brand)
+QUALIFY row_number() OVER (ORDER BY net_profit_usd DESC, product_name, category, brand) <= {P['top_n']}""",
+                              "sales_lines", "dim_product", extra=BY_STATUS)
+
+_oc = "sum((opened + closed) * standard_cost)"
+_cogs = "sum(sold * standard_cost)"
 SQL["inventory_turnover"] = with_ctes(f"""
-SELECT p.category, p.sub_category, p.product_name, {B('fi.stock_sold')} AS total_units_sold,
-       CAST(round({_cogs}, 2) AS DECIMAL(38,2)) AS cogs_usd,
-       {ratio_sql(_oc, '2 * count(*)')} AS average_inventory_value_usd,
-       {ratio_sql(_cogs + ' * 2 * count(*)', _oc)} AS inventory_turnover_ratio
-FROM fact_inventory fi JOIN dim_product p ON fi.product_key = p.product_key
-WHERE p.category = '{P['category']}'
-GROUP BY p.category, p.sub_category, p.product_name""", "fact_inventory", "dim_product")
-
-_rev = "coalesce(sum(fs.net_revenue_usd), 0)"
+SELECT category, sub_category, product_name, {B('sold')} AS total_units_sold,
+       CAST({_cogs} AS DECIMAL(38,2)) AS cogs_usd,
+       {ratio_sql(_oc, '2 * sum(days)')} AS average_inventory_value_usd,
+       {ratio_sql(_cogs + ' * 2 * sum(days)', _oc)} AS inventory_turnover_ratio
+FROM stock WHERE category = '{P['category']}'
+GROUP BY ALL""", "inventory_days", "dim_product", "sales_lines", extra=STOCK)
+
+# the sales of a campaign's day as a list; a campaign-day row repeats once per list
+# entry, and once where there is none
 SQL["campaign_roi"] = with_ctes(f"""
-SELECT c.campaign_name, c.channel, {B('fm.impressions')} AS impressions, {B('fm.clicks')} AS clicks,
-       {pct_sql('sum(fm.clicks)', 'sum(fm.impressions)', scale=3)} AS ctr_pct,
-       {B('fm.conversions')} AS conversions, {T('fm.cost')} AS total_campaign_cost_usd,
-       CAST({_rev} AS DECIMAL(38,2)) AS attribution_revenue_usd,
-       {ratio_sql(_rev + ' - sum(fm.cost)', 'sum(fm.cost)')} AS return_on_investment_ratio
-FROM fact_marketing fm
-JOIN dim_campaign c ON fm.campaign_key = c.campaign_key
-LEFT JOIN sales_lines fs ON fs.campaign_key = c.campaign_key AND fs.date_key = fm.date_key
-WHERE c.channel = '{P['channel']}'
-GROUP BY c.campaign_name, c.channel""", "fact_marketing", "dim_campaign", "sales_lines")
+SELECT campaign_name, channel, {B('i')} AS impressions, {B('c')} AS clicks, {pct_sql('sum(c)', 'sum(i)', scale=3)} AS ctr_pct,
+       {B('v')} AS conversions, {T('k')} AS total_campaign_cost_usd,
+       CAST(coalesce(sum(net), 0) AS DECIMAL(38,2)) AS attribution_revenue_usd,
+       {ratio_sql('coalesce(sum(net), 0) - sum(k)', 'sum(k)')} AS return_on_investment_ratio
+FROM fanned NATURAL JOIN (SELECT campaign_key, campaign_name, channel FROM dim_campaign)
+WHERE channel = '{P['channel']}' GROUP BY campaign_name, channel""",
+                              "fact_marketing", "dim_campaign", "sales_lines", extra={
+    "day_sales": "SELECT campaign_key, date_key, list(net_revenue_usd) AS nets FROM sales_lines GROUP BY ALL",
+    "fanned": """
+SELECT campaign_key, impressions AS i, clicks AS c, conversions AS v, cost AS k, unnest(coalesce(nets, [NULL])) AS net
+FROM fact_marketing LEFT JOIN day_sales USING (campaign_key, date_key)"""})
 
 _rev2 = "coalesce(sum(sd.net), 0)"
 SQL["campaign_roi_deduplicated"] = with_ctes(f"""
@@ -183,83 +183,87 @@ JOIN dim_status s ON fs.status_key = s.status_key
 WHERE s.status_name = 'Completed'
 GROUP BY d.year, d.quarter"""})
 
-_m = "count(DISTINCT CASE WHEN months_elapsed = {k} THEN customer_key END)"
+# a customer as one row: the first month and the list of months with a completed purchase
+_after = "count(*) FILTER (WHERE list_contains(months, cohort_month + {k}))"
 SQL["cohort_retention"] = with_ctes(f"""
-SELECT strftime(cohort_month, '%Y-%m') AS cohort, count(DISTINCT customer_key) AS cohort_size,
-       {_m.format(k=0)} AS month_0_active, {_m.format(k=1)} AS month_1_retained,
-       {_m.format(k=2)} AS month_2_retained, {_m.format(k=3)} AS month_3_retained,
-       {pct_sql(_m.format(k=1), 'count(DISTINCT customer_key)')} AS month_1_retention_rate_pct
-FROM activity GROUP BY cohort_month""", "sales_lines", "dim_date", extra={
-    "first_purchase": """
-SELECT fs.customer_key, CAST(date_trunc('month', min(d.full_date)) AS DATE) AS cohort_month
-FROM sales_lines fs JOIN dim_date d ON fs.date_key = d.date_key GROUP BY fs.customer_key""",
-    "activity": """
-SELECT fs.customer_key, f.cohort_month, date_diff('month', f.cohort_month, d.full_date) AS months_elapsed
-FROM sales_lines fs JOIN dim_date d ON fs.date_key = d.date_key
-JOIN first_purchase f ON fs.customer_key = f.customer_key
-WHERE fs.status_key = 1"""})
-
+SELECT printf('%d-%02d', (cohort_month // 12)::INTEGER, (cohort_month % 12 + 1)::INTEGER) AS cohort, count(*) AS cohort_size,
+       {', '.join(f"{_after.format(k=k)} AS month_{k}_{'active' if k == 0 else 'retained'}" for k in range(4))},
+       {pct_sql(_after.format(k=1), 'count(*)')} AS month_1_retention_rate_pct
+FROM customers_by_month WHERE len(months) > 0 GROUP BY cohort_month""", "sales_lines", extra={"customers_by_month": f"""
+SELECT min(m) AS cohort_month, coalesce(list(DISTINCT m) FILTER (WHERE status_key = {fixed.status_key('Completed')}), []) AS months
+FROM (SELECT customer_key, status_key, 12 * year(order_date) + month(order_date) - 1 AS m FROM sales_lines)
+GROUP BY customer_key"""})
+
+# quartiles from row numbers: the first n % 4 tiles hold one row more; a segment is the
+# first row of the rule table whose ranges hold the three tiles
+def _tile(order: str) -> str:
+    rn = f"row_number() OVER (ORDER BY {order}, customer_key)"
+    n = "count(*) OVER ()"
+    return (f"CASE WHEN {rn} <= {n} % 4 * ({n} // 4 + 1) THEN ({rn} - 1) // ({n} // 4 + 1) + 1 "
+            f"ELSE {n} % 4 + ({rn} - {n} % 4 * ({n} // 4 + 1) - 1) // greatest({n} // 4, 1) + 1 END")
+
+
+_rules = ", ".join(f"({k}, '{label}', {r0}, {r1}, {f0}, {f1}, {m0})" for k, (label, r0, r1, f0, f1, m0) in enumerate([
+    (fixed.RFM_CHAMPIONS, 3, 4, 3, 4, 3), (fixed.RFM_AT_RISK, 1, 2, 3, 4, 1),
+    (fixed.RFM_PROMISING, 3, 4, 1, 1, 1), (fixed.RFM_HIBERNATING, 1, 4, 1, 4, 1)]))
 SQL["rfm_segments"] = with_ctes(f"""
-SELECT c.customer_id, c.customer_name, t.recency_days, t.order_frequency, t.total_monetary_value_usd,
-       CASE WHEN r >= 3 AND f >= 3 AND m >= 3 THEN '{fixed.RFM_CHAMPIONS}'
-            WHEN r <= 2 AND f >= 3 THEN '{fixed.RFM_AT_RISK}'
-            WHEN r >= 3 AND f = 1 THEN '{fixed.RFM_PROMISING}'
-            ELSE '{fixed.RFM_HIBERNATING}' END AS actionable_marketing_segment
-FROM tiers t JOIN dim_customer c ON t.customer_key = c.customer_key""",
-                                "sales_lines", "dim_date", "dim_customer", extra={
-    "raw": f"""
-SELECT fs.customer_key,
-       CAST(date_diff('day', max(d.full_date), DATE '{P['rfm_as_of']}') AS INTEGER) AS recency_days,
-       count(DISTINCT fs.order_id) AS order_frequency,
-       {T('fs.net_revenue_usd')} AS total_monetary_value_usd
-FROM sales_lines fs JOIN dim_date d ON fs.date_key = d.date_key
-WHERE fs.status_key = 1 GROUP BY fs.customer_key""",
-    "tiers": """
-SELECT *, ntile(4) OVER (ORDER BY recency_days DESC, customer_key) AS r,
-       ntile(4) OVER (ORDER BY order_frequency ASC, customer_key) AS f,
-       ntile(4) OVER (ORDER BY total_monetary_value_usd ASC, customer_key) AS m
-FROM raw"""})
+SELECT customer_id, customer_name, recency_days, order_frequency, total_monetary_value_usd,
+       arg_min(label, priority) AS actionable_marketing_segment
+FROM tiles NATURAL JOIN (SELECT customer_key, customer_id, customer_name FROM customer_keys)
+JOIN (VALUES {_rules}) rules(priority, label, r0, r1, f0, f1, m0)
+  ON r BETWEEN r0 AND r1 AND f BETWEEN f0 AND f1 AND m >= m0
+GROUP BY ALL""", "sales_lines", "customer_keys", extra={
+    "habits": f"""
+SELECT customer_key, CAST(DATE '{P['rfm_as_of']}' - max(d) AS INTEGER) AS recency_days, count(*) AS order_frequency,
+       {T('net')} AS total_monetary_value_usd
+FROM (SELECT customer_key, order_id, max(order_date) AS d, sum(net_revenue_usd) AS net FROM sales_lines
+      WHERE status_key = {fixed.status_key('Completed')} GROUP BY customer_key, order_id)
+GROUP BY customer_key""",
+    "tiles": f"""
+SELECT *, {_tile('recency_days DESC')} AS r, {_tile('order_frequency')} AS f, {_tile('total_monetary_value_usd')} AS m
+FROM habits"""})
 
 SQL["dead_stock"] = with_ctes(f"""
-SELECT p.product_id, p.product_name, p.category, p.brand, {B('fi.closing_stock')} AS unsold_units_on_hand,
-       CAST(round(sum(fi.closing_stock * p.standard_cost), 2) AS DECIMAL(38,2)) AS tied_up_capital_usd
-FROM fact_inventory fi JOIN dim_product p ON fi.product_key = p.product_key
-WHERE p.product_key NOT IN (
-    SELECT DISTINCT product_key FROM sales_lines WHERE date_key >= {P['dead_stock_cutoff_key']})
-GROUP BY p.product_id, p.product_name, p.category, p.brand
-HAVING sum(fi.closing_stock) > 0""", "fact_inventory", "dim_product", "sales_lines")
+SELECT product_id, product_name, category, brand, {B('closed')} AS unsold_units_on_hand,
+       CAST(sum(closed * standard_cost) AS DECIMAL(38,2)) AS tied_up_capital_usd
+FROM stock JOIN (
+  SELECT product_key FROM dim_product
+  EXCEPT SELECT product_key FROM sales_lines WHERE date_key >= {P['dead_stock_cutoff_key']}) USING (product_key)
+GROUP BY ALL HAVING sum(closed) > 0""", "inventory_days", "dim_product", "sales_lines", extra=STOCK)
 
-_ret_q = "sum(CASE WHEN s.status_name = 'Returned' THEN fs.quantity ELSE 0 END)"
 SQL["returned_products"] = with_ctes(f"""
-SELECT p.product_name, p.category,
-       CAST(sum(CASE WHEN s.status_name = 'Completed' THEN fs.quantity ELSE 0 END) AS BIGINT) AS total_units_kept,
-       CAST({_ret_q} AS BIGINT) AS total_units_returned,
-       {pct_sql(_ret_q, 'sum(fs.quantity)')} AS return_rate_pct,
-       CAST(round(sum(CASE WHEN s.status_name = 'Returned' THEN fs.net_revenue_usd ELSE 0 END), 2)
-            AS DECIMAL(38,2)) AS lost_revenue_usd
-FROM sales_lines fs
-JOIN dim_product p ON fs.product_key = p.product_key
-JOIN dim_status s ON fs.status_key = s.status_key
-GROUP BY p.product_name, p.category
-HAVING {_ret_q} > 0""", "sales_lines", "dim_product", "dim_status")
+SELECT product_name, category, CAST(kept AS BIGINT) AS total_units_kept, CAST(back AS BIGINT) AS total_units_returned,
+       {pct_sql('back', 'units')} AS return_rate_pct, CAST(lost AS DECIMAL(38,2)) AS lost_revenue_usd
+FROM (SELECT product_name, category, sum(q) AS units, {_returned_q} AS back,
+             coalesce(sum(q) FILTER (WHERE status_key = {fixed.status_key('Completed')}), 0) AS kept,
+             sum(net) FILTER (WHERE status_key = {fixed.status_key('Returned')}) AS lost
+      FROM by_status NATURAL JOIN dim_product GROUP BY product_name, category)
+WHERE back > 0""", "sales_lines", "dim_product", extra=BY_STATUS)
+
+# a basket as a sorted list of its products and their line counts; each product is
+# paired with the rest of the list, weighted by both counts
+def _baskets(where: str) -> dict[str, str]:
+    return {"baskets": f"""
+SELECT list({{'k': product_key, 'n': n}} ORDER BY product_key) AS items
+FROM (SELECT order_id, product_key, count(*) AS n FROM sales_lines WHERE product_key IS NOT NULL AND {where} GROUP BY ALL)
+GROUP BY order_id HAVING count(*) > 1""",
+            "pairs": """
+SELECT a.k AS product_a, b.k AS product_b, CAST(sum(a.n * b.n) AS BIGINT) AS times
+FROM (SELECT items[i] AS a, unnest(items[i + 1:]) AS b
+      FROM (SELECT items, unnest(range(1, len(items))) AS i FROM baskets))
+GROUP BY 1, 2"""}
+
 
 SQL["market_basket"] = with_ctes(f"""
-SELECT p1.category AS product_a_category, p1.product_name AS product_a_name,
-       p2.category AS product_b_category, p2.product_name AS product_b_name,
-       count(*) AS times_purchased_together
-FROM sales_lines fs1
-JOIN sales_lines fs2 ON fs1.order_id = fs2.order_id AND fs1.product_key < fs2.product_key
-JOIN dim_product p1 ON fs1.product_key = p1.product_key
-JOIN dim_product p2 ON fs2.product_key = p2.product_key
-WHERE fs1.status_key = 1 AND fs2.status_key = 1
-GROUP BY p1.category, p1.product_name, p2.category, p2.product_name
-HAVING count(*) > {P['basket_min_pairs']}""", "sales_lines", "dim_product")
-
-SQL["market_basket_keys"] = with_ctes("""
-SELECT fs1.product_key AS product_a, fs2.product_key AS product_b, count(*) AS times_purchased_together
-FROM sales_lines fs1
-JOIN sales_lines fs2 ON fs1.order_id = fs2.order_id AND fs1.product_key < fs2.product_key
-GROUP BY fs1.product_key, fs2.product_key""", "sales_lines")
+SELECT a.category AS product_a_category, a.product_name AS product_a_name, b.category AS product_b_category,
+       b.product_name AS product_b_name, {B('times')} AS times_purchased_together
+FROM dim_product a, pairs, dim_product b
+WHERE a.product_key = product_a AND b.product_key = product_b
+GROUP BY ALL HAVING sum(times) > {P['basket_min_pairs']}""", "sales_lines", "dim_product",
+                               extra=_baskets(f"status_key = {fixed.status_key('Completed')}"))
+
+SQL["market_basket_keys"] = with_ctes(
+    "SELECT product_a, product_b, times AS times_purchased_together FROM pairs", "sales_lines", extra=_baskets("TRUE"))
 
 # --------------------------------------------------------------- measures
 SQL["fiscal_ytd_sales"] = with_ctes("""
@@ -281,19 +285,11 @@ JOIN dim_date d ON fi.date_key = d.date_key
 GROUP BY d.year, d.month_number, p.category, fi.date_key"""})
 
 SQL["inventory_turnover_ratio"] = with_ctes(f"""
-SELECT cats.category, cogs.total_cogs_usd,
-       {ratio_sql('st.v', 'st.n')} AS avg_inventory_value_usd,
-       {ratio_sql('cogs.total_cogs_usd * st.n', 'st.v', zero=0)} AS inventory_turnover_ratio
-FROM (SELECT DISTINCT category FROM dim_product) cats
-LEFT JOIN cogs ON cats.category = cogs.category
-LEFT JOIN st ON cats.category = st.category""", "sales_lines", "fact_inventory", "dim_product",
-                                            extra={
-    "cogs": f"""SELECT p.category, {T('fs.cost_usd')} AS total_cogs_usd
-                FROM sales_lines fs JOIN dim_product p ON fs.product_key = p.product_key
-                GROUP BY p.category""",
-    "st": """SELECT p.category, sum(fi.closing_stock * p.standard_cost) AS v, count(*) AS n
-             FROM fact_inventory fi JOIN dim_product p ON fi.product_key = p.product_key
-             GROUP BY p.category"""})
+SELECT category, total_cogs_usd, {ratio_sql('v', 'n')} AS avg_inventory_value_usd,
+       {ratio_sql('total_cogs_usd * n', 'v', zero=0)} AS inventory_turnover_ratio
+FROM (SELECT category, sum(closed * standard_cost) AS v, sum(days) AS n FROM stock GROUP BY category)
+LEFT JOIN (SELECT category, {T('cost_usd')} AS total_cogs_usd FROM sales_lines JOIN dim_product USING (product_key)
+           GROUP BY category) USING (category)""", "inventory_days", "dim_product", "sales_lines", extra=STOCK)
 
 SQL["net_revenue_ex_tax"] = with_ctes(f"""
 SELECT country, {T('g')} AS gross_revenue_usd,

@@ -127,7 +127,7 @@ def recently_sold(w: Warehouse, cutoff_key: int) -> DataFrame:
 def dead_stock(w: Warehouse, cutoff_key: int | None = None) -> DataFrame:
     cutoff = int(cutoff_key if cutoff_key is not None else w.params["dead_stock_cutoff_key"])
     unsold = antijoin.not_in(w.dim_product, "product_key", recently_sold(w, cutoff), "product_key")
-    per_product = w.fact_inventory().groupBy("product_key").agg(F.sum("closing_stock").alias("c"))
+    per_product = w.stock_totals().select("product_key", F.col("closing_stock").alias("c"))
     g = (per_product.join(unsold, "product_key")
          .groupBy("product_id", "product_name", "category", "brand")
          .agg(F.sum("c").alias("unsold_units_on_hand"),

@@ -29,7 +29,7 @@ def fiscal_ytd_sales(w: Warehouse) -> DataFrame:
 def ending_inventory(w: Warehouse) -> DataFrame:
     """Per year, month, category: closing stock on the last day with rows.
     Stock is semi-additive: summed over products on a day, never over days."""
-    inv = w.fact_inventory().join(w.dim_product.select("product_key", "category"), "product_key")
+    inv = w.month_end_stock().join(w.dim_product.select("product_key", "category"), "product_key")
     daily = (inv.groupBy(cal.year_of_key("date_key").alias("year"),
                          cal.month_of_key("date_key").alias("month_number"), "category", "date_key")
              .agg(F.sum("closing_stock").alias("stock")))
@@ -43,8 +43,7 @@ def inventory_turnover_ratio(w: Warehouse) -> DataFrame:
     cogs = (w.sales_lines.groupBy("product_key").agg(F.sum("cost_usd").alias("c"))
             .join(products, "product_key").groupBy("category")
             .agg(total("c").alias("total_cogs_usd")))
-    stock = (w.fact_inventory().groupBy("product_key")
-             .agg(F.sum("closing_stock").alias("cl"), F.count(F.lit(1)).alias("n"))
+    stock = (w.stock_totals().select("product_key", F.col("closing_stock").alias("cl"), F.col("days").alias("n"))
              .join(products, "product_key").groupBy("category")
              .agg(F.sum(F.col("cl") * F.col("standard_cost")).alias("_value"),
                   F.sum("n").alias("_n")))

@@ -75,21 +75,20 @@ def join_left_multi(w: Warehouse) -> DataFrame:
 
 def join_cross_dense(w: Warehouse) -> DataFrame:
     """Dense (day x product) grid over the whole calendar with zero-filled
-    units, summarised per month. The grid is generated per product after
-    joining the product to its map of daily sales (`ranges.dense_daily`),
-    not with a cross join, and is never shuffled."""
+    units, summarised per month. The grid is kept as runs of days
+    (`ranges.value_runs`) and its cells are counted by the runs' lengths, so
+    neither a cross join nor a row per product and day is made."""
     products = w.dim_product.select("product_key")
     # the calendar bounds are scalar subqueries (one global aggregate each)
     lo = w.date_bounds.select("lo").scalar()
     hi = w.date_bounds.select("hi").scalar()
-    sold = w.sales_lines.groupBy("product_key", "date_key").agg(F.sum("quantity").alias("sold"))
-    dense = ranges.dense_daily(products, "product_key", sold, "sold", lo, hi) \
-        .withColumn("units", F.coalesce("sold", F.lit(0)))
-    return (dense.groupBy(cal.year_of_key("date_key").alias("year"),
-                          cal.month_of_key("date_key").alias("month_number"))
-            .agg(F.count(F.lit(1)).alias("grid_cells"),
-                 F.count_if(F.col("units") == 0).alias("zero_cells"),
-                 F.sum("units").alias("units")))
+    sold = w.sales_lines.groupBy("product_key", "order_date").agg(F.sum("quantity").alias("sold"))
+    runs = ranges.value_runs(products, "product_key", sold, "order_date", "sold", lo, hi)
+    units = F.coalesce("sold", F.lit(0))
+    return (ranges.run_months(runs).groupBy(F.year("month").alias("year"), F.month("month").alias("month_number"))
+            .agg(F.sum(F.col("days").cast("bigint")).alias("grid_cells"),
+                 F.sum(F.when(units == 0, F.col("days")).otherwise(0).cast("bigint")).alias("zero_cells"),
+                 F.sum(units).alias("units")))
 
 
 def join_self_theta(w: Warehouse) -> DataFrame:

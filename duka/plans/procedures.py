@@ -71,10 +71,9 @@ def top_products(w: Warehouse, top_n: int | None = None) -> DataFrame:
 def inventory_turnover(w: Warehouse, category: str | None = None) -> DataFrame:
     cat = category if category is not None else w.params["category"]
     products = w.dim_product.where(F.col("category") == cat)
-    inv = w.fact_inventory(products=products)
-    per_product = inv.groupBy("product_key").agg(
-        F.sum("stock_sold").alias("sold"), F.count(F.lit(1)).alias("days"),
-        F.sum(F.col("opening_stock") + F.col("closing_stock")).alias("oc"))
+    per_product = w.stock_totals(products).select(
+        "product_key", F.col("stock_sold").alias("sold"), "days",
+        (F.col("opening_stock") + F.col("closing_stock")).alias("oc"))
     g = (per_product.join(products, "product_key")
          .groupBy("category", "sub_category", "product_name")
          .agg(F.sum("sold").alias("total_units_sold"),

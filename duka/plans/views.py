@@ -67,10 +67,9 @@ def product_performance(w: Warehouse) -> DataFrame:
 
 
 def inventory_analytics(w: Warehouse) -> DataFrame:
-    inv = w.fact_inventory()
-    per_product = inv.groupBy("product_key").agg(
-        F.sum("opening_stock").alias("o"), F.sum("stock_sold").alias("s"),
-        F.sum("closing_stock").alias("c"))
+    per_product = w.stock_totals().select(
+        "product_key", F.col("opening_stock").alias("o"), F.col("stock_sold").alias("s"),
+        F.col("closing_stock").alias("c"))
     joined = per_product.join(w.dim_product, "product_key")
     g = joined.groupBy("category", "product_name").agg(
         F.sum("o").alias("total_opening_stock"), F.sum("s").alias("total_units_sold"),

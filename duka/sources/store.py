@@ -11,8 +11,8 @@ Layout for large data: the sales fact is written straight from the keying
 job (no extra shuffle of the whole fact for layout), partitioned by order
 year and sorted by day inside each file, so a year filter prunes folders
 and a day range skips row groups by their statistics; the inventory
-snapshot is stored partitioned by year too. Small dimensions are written as
-single files.
+snapshot is stored as runs of days (a day with sales, or the idle days up to
+the next one). Small dimensions are written as single files.
 """
 
 from __future__ import annotations
@@ -60,15 +60,15 @@ def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[
         _write(laid_out, f"{out_dir}/fact_sales", ["order_year"])
 
     def inventory() -> None:
-        df = schemas.check(w.fact_inventory(), "fact_inventory").withColumn("inventory_year",
-                                           (F.col("date_key") / 10000).cast("int"))
-        _write(df, f"{out_dir}/fact_inventory", ["inventory_year"])
+        # kept as runs of days: rows grow with the sales; readers generate days
+        schemas.check(w.fact_inventory(), "fact_inventory")
+        _write(w.stock_runs(), f"{out_dir}/inventory_runs")
 
     def table(name: str) -> DataFrame:
         df = getattr(w, name)
         return schemas.check(df, name) if name in schemas.TABLES else df
 
-    jobs = {"fact_sales": sales, "fact_inventory": inventory}
+    jobs = {"fact_sales": sales, "inventory_runs": inventory}
     for name in SMALL_TABLES:
         jobs[name] = lambda n=name: _write(table(n).coalesce(1), f"{out_dir}/{n}")
     for name in LARGE_TABLES:
@@ -128,12 +128,13 @@ class StoredWarehouse(Warehouse):
     def sales_in_year(self, year: int) -> DataFrame:
         return super().sales_in_year(year).where(F.col("order_year") == year)
 
-    def fact_inventory(self, years=None, products: DataFrame | None = None) -> DataFrame:
-        years = tuple(years if years is not None else self.params["inventory_years"])
-        if set(years) - set(self.params["inventory_years"]):
-            return super().fact_inventory(years, products)  # not stored: build it
-        inv = self.stored("fact_inventory").where(F.col("inventory_year").isin(*years)) \
-            .drop("inventory_year")
-        if products is not None:
-            inv = inv.join(products.select("product_key"), "product_key", "left_semi")
-        return inv
+    @cached_property
+    def date_bounds(self) -> DataFrame:
+        return self.dim_date.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"))
+
+    def sales_between(self, first, last) -> DataFrame:
+        return super().sales_between(first, last).where(F.col("order_year").between(first.year, last.year))
+
+    def stock_runs(self, products: DataFrame | None = None) -> DataFrame:
+        runs = self.stored("inventory_runs")
+        return runs if products is None else runs.join(products.select("product_key"), "product_key", "left_semi")

@@ -281,40 +281,65 @@ class Warehouse:
         hi = F.lit(f"{year + 1:04d}-01-01").cast("timestamp_ntz")
         return self.sales_lines.where((F.col("order_ts") >= lo) & (F.col("order_ts") < hi))
 
+    def sales_between(self, first, last) -> DataFrame:
+        """Sales lines from one day to another, both included."""
+        lo, hi = F.lit(first).cast("timestamp_ntz"), F.date_add(F.lit(last), 1).cast("timestamp_ntz")
+        return self.sales_lines.where((F.col("order_ts") >= lo) & (F.col("order_ts") < hi))
+
     # ----------------------------------------------------------- inventory
-    def inventory_dates(self, years=None) -> DataFrame:
-        years = tuple(years if years is not None else self.params["inventory_years"])
-        return self.dim_date.where(F.col("year").isin(*years)).select("date_key", "full_date")
-
-    def fact_inventory(self, years=None, products: DataFrame | None = None) -> DataFrame:
-        """Daily stock snapshot per product for the given calendar years.
-
-        Sales are pre-aggregated to (product, day) inside the period, then
-        `ranges.dense_daily` generates each product's days after joining the
-        product to its (calendar-bounded) map of daily sales, so the
-        product x day grid is never shuffled and no cross join is planned.
-        Days are clipped to the calendar. `products` restricts the grid
-        (e.g. one category) before it is built.
-        """
-        from duka.operators.ranges import dense_daily
-        years = tuple(years if years is not None else self.params["inventory_years"])
-        lo, hi = f"{min(years):04d}-01-01", f"{max(years):04d}-12-31"
-        products = (self.dim_product if products is None else products).select("product_key")
-        ts_lo = F.lit(lo).cast("timestamp_ntz")
-        ts_hi = F.date_add(F.lit(hi).cast("date"), 1).cast("timestamp_ntz")
-        sold = (self.sales_lines
-                .where((F.col("order_ts") >= ts_lo) & (F.col("order_ts") < ts_hi))
-                .groupBy("product_key", "date_key")
-                .agg(F.sum("quantity").alias("sold")))
-        grid = dense_daily(products, "product_key", sold, "sold", lo, hi)
-        grid = grid.where(F.year("full_date").isin(*years))
-        grid = grid.join(F.broadcast(self.inventory_dates(years).select("full_date")),
-                         "full_date", "left_semi")
+    @cached_property
+    def inventory_span(self) -> tuple:
+        """First and last day of the stock snapshot: the last calendar years
+        with orders (`inventory_last_years`), as two dates."""
+        r = self.date_bounds.select(F.make_date(F.year("hi") - (self.params["inventory_last_years"] - 1),
+                                                F.lit(1), F.lit(1)).alias("lo"), "hi").first()
+        return r.lo, r.hi
+
+    def stock_runs(self, products: DataFrame | None = None) -> DataFrame:
+        """(product_key, first_day, last_day, sold): the snapshot's days as
+        runs. A day with sales is a run of its own, idle days between two of
+        them are one run (sold NULL). Rows grow with the sales, not with
+        products x days. `products` restricts the lines before they are
+        summed (e.g. one category)."""
+        from duka.operators.ranges import value_runs
+        lo, hi = self.inventory_span
+        lines = self.sales_between(lo, hi)
+        if products is not None:
+            lines = lines.join(products.select("product_key"), "product_key", "left_semi")
+        sold = lines.groupBy("product_key", "order_date").agg(F.sum("quantity").alias("sold"))
+        everything = self.dim_product if products is None else products
+        return value_runs(everything.select("product_key"), "product_key", sold, "order_date", "sold", lo, hi)
+
+    def stock_totals(self, products: DataFrame | None = None) -> DataFrame:
+        """Per product: days, and the sums over days of opening, sold and
+        closing stock, from the runs by their lengths."""
+        days = F.datediff("last_day", "first_day") + 1
+        # deliveries come on the first of a month
+        firsts = cal.month_boundaries_between(F.date_sub("first_day", 1), F.col("last_day"))
+        sold = F.coalesce(F.col("sold"), F.lit(0))
+        opened = F.lit(fixed.OPENING_STOCK).cast("bigint") * days
+        return self.stock_runs(products).groupBy("product_key").agg(
+            F.sum(days.cast("bigint")).alias("days"), F.sum(opened).alias("opening_stock"), F.sum(sold).alias("stock_sold"),
+            F.sum(opened + firsts * fixed.RESTOCK_UNITS - sold).alias("closing_stock"))
+
+    def month_end_stock(self) -> DataFrame:
+        """(product_key, date_key, closing_stock) on the last day of each month."""
+        from duka.operators.ranges import run_months
+        end = F.last_day("month")
+        return run_months(self.stock_runs(), "month").where(end <= F.col("last_day")).select(
+            "product_key", cal.date_key(end).alias("date_key"),
+            (F.lit(fixed.OPENING_STOCK) - F.coalesce("sold", F.lit(0))).alias("closing_stock"))
+
+    def fact_inventory(self, products: DataFrame | None = None) -> DataFrame:
+        """Daily stock snapshot per product: the runs, day by day. The days
+        are generated where they are consumed; the grid is never shuffled."""
+        from duka.operators.ranges import explode_days
+        grid = explode_days(self.stock_runs(products), "first_day", "last_day")
         day = F.dayofmonth("full_date")
         received = F.when(day == 1, fixed.RESTOCK_UNITS).otherwise(0)
         stock_sold = F.coalesce(F.col("sold"), F.lit(0))
         return grid.select(
-            "date_key", "product_key",
+            cal.date_key("full_date").alias("date_key"), "product_key",
             F.lit(fixed.OPENING_STOCK).cast("int").alias("opening_stock"),
             received.cast("int").alias("stock_received"),
             stock_sold.cast("int").alias("stock_sold"),

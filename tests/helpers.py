@@ -47,7 +47,14 @@ class FixtureWarehouse(Warehouse):
     def customer_keys(self):
         return self._customers
 
-    def fact_inventory(self, years=None, products=None):
+    def fact_inventory(self, products=None):
+        return self._inv
+
+    def stock_totals(self, products=None):
+        return self._inv.groupBy("product_key").agg(
+            F.count(F.lit(1)).alias("days"), *[F.sum(c).alias(c) for c in ("opening_stock", "stock_sold", "closing_stock")])
+
+    def month_end_stock(self):
         return self._inv
 
 

@@ -4,6 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from duka.operators import numbering, pairs, quality, scd2
+from duka.sources.warehouse import Warehouse
+from tests.conftest import SF_SMALL
 
 
 def _skewed(spark, n=3000):
@@ -213,3 +215,41 @@ def test_parameters_that_are_zero_count(spark):
     from duka.plans.procedures import top_products
     from duka.sources.warehouse import Warehouse
     assert top_products(Warehouse(spark, "/root/testdata/sf0.001"), 0).count() == 0
+
+
+def test_value_runs_are_the_grid(spark):
+    import datetime as dt
+    import random
+    from duka.operators import ranges
+    rng = random.Random(5)
+    lo, hi = dt.date(2000, 1, 30), dt.date(2000, 4, 2)
+    days = [lo + dt.timedelta(k) for k in range((hi - lo).days + 1)]
+    # entities without rows, with rows on both borders, on every day; a row of an unknown entity
+    rows = [(1, lo, 5), (1, hi, 0), (9, lo, 1)] + [(2, d, 1) for d in days] \
+        + [(3, d, rng.randint(0, 4)) for d in rng.sample(days, 20)]
+    daily = spark.createDataFrame(rows, "k int, d date, v int")
+    entities = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k int")
+    runs = ranges.value_runs(entities, "k", daily, "d", "v", lo, hi).collect()
+    assert len([r for r in runs if r.k == 4]) == 1 and len([r for r in runs if r.k == 1]) == 3
+    value = {(k, d): v for k, d, v in rows}
+    want = {(k, d, value.get((k, d))) for k in (1, 2, 3, 4) for d in days}
+    assert sum((r.last_day - r.first_day).days + 1 for r in runs) == len(want)
+    grid = ranges.dense_daily(entities, "k", daily, "d", "v", lo, hi)
+    assert {(r.k, r.full_date, r.v) for r in grid.collect()} == want
+    months = ranges.run_months(spark.createDataFrame(runs)).groupBy("month").agg(F.sum("days").alias("n")).collect()
+    assert {r.month.month: r.n for r in months} == {1: 8, 2: 29 * 4, 3: 31 * 4, 4: 8}
+
+
+def test_stock_sums_by_runs_equal_sums_over_days(spark):
+    w = Warehouse(spark, SF_SMALL)
+    by_day = w.fact_inventory().groupBy("product_key").agg(
+        F.count(F.lit(1)).alias("days"), *[F.sum(c).alias(c) for c in ("opening_stock", "stock_sold", "closing_stock")])
+    assert sorted(map(tuple, by_day.collect())) == sorted(map(tuple, w.stock_totals().collect()))
+    ends = w.fact_inventory().where(F.last_day(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
+                                    == F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
+    assert sorted(map(tuple, ends.select("product_key", "date_key", "closing_stock").collect())) \
+        == sorted(map(tuple, w.month_end_stock().collect()))
+    runs = w.stock_runs().count()
+    lo, hi = w.inventory_span
+    sold_days = w.sales_between(lo, hi).select("product_key", "order_date").distinct().count()
+    assert runs <= 2 * sold_days + w.dim_product.count()     # not products x days
