@@ -46,6 +46,9 @@ T = 128
 ROWS = 4
 CLOSE = 78      # 0.75 T less 3.7 standard deviations
 TILE = 1024
+SLICE = 1 << 20         # bytes of text that a task turns into shingles at once
+TILE_BYTES = 4 << 20    # bytes of text in a tile of a component
+HITS = 1 << 20          # (shingle, class) matches counted at once
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +102,7 @@ def describe(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_key, bands, sketch (one byte a coordinate)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", SLICE):
             offsets, values = shingle_sets(batch.column("text"))
             s = sketches(offsets, values)
             bands = np.full((len(s), T // ROWS), np.uint64(0))
@@ -126,7 +129,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     joined = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(byte_slices(batches, "ta"), "tb"):
+        for batch in byte_slices(byte_slices(batches, "ta", SLICE // 2), "tb", SLICE // 2):
             n = batch.num_rows
             offsets, v = shingle_sets(pa.concat_arrays([batch.column("ta"), batch.column("tb")]))
             size = np.diff(offsets)
@@ -203,12 +206,28 @@ def close_groups(open_: DataFrame) -> DataFrame:
     return tiles.mapInArrow(run, "id bigint, other bigint").distinct()
 
 
+def common_counts(v: np.ndarray, asker: np.ndarray, n: int, value: np.ndarray, owner: np.ndarray, classes: int) -> np.ndarray:
+    """(n, classes): shingles that each asker has in common with each class. v, asker: the
+    askers' shingles in their order; value, owner: the classes' shingles, sorted. At most HITS
+    matches (or those of one shingle) are laid out at a time."""
+    out = np.zeros((n, classes), np.int32)
+    lo, hi = np.searchsorted(value, v), np.searchsorted(value, v, side="right")
+    cut = np.cumsum(hi - lo) // HITS
+    starts = np.r_[0, np.flatnonzero(np.diff(cut)) + 1, len(v)] if len(v) else np.zeros(1, int)
+    for x, y in zip(starts[:-1], starts[1:]):
+        first, last = asker[x], asker[y - 1]
+        at = np.repeat(asker[x:y] - first, hi[x:y] - lo[x:y]) * classes + owner[ragged(lo[x:y], hi[x:y] - lo[x:y])]
+        out[first:last + 1] += np.bincount(at, minlength=(last - first + 1) * classes).reshape(-1, classes).astype(np.int32)
+    return out
+
+
 def confirm_groups(groups: DataFrame, placed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) between class a and a class b of the component it asks
-    for: all its classes are checked on full sets, TILE to a task; one link for a
-    class and tile is enough to join the components. `placed`: id, root, size."""
-    chunk_of = F.ceil(F.col("size") / TILE).cast("int")
-    sizes = placed.groupBy("root").agg(F.max("size").alias("size"))
+    """Links (a, b) between class a and class b of the component it asks
+    for: all its classes are checked on full sets, a tile of at most about TILE classes and
+    TILE_BYTES of text to a task; one link for a class and tile is enough to join the
+    components. `placed`: id, root, size, bytes (of the component)."""
+    chunk_of = F.greatest(F.ceil(F.col("size") / TILE), F.ceil(F.col("bytes") / TILE_BYTES), F.lit(1)).cast("int")
+    sizes = placed.groupBy("root").agg(F.max("size").alias("size"), F.max("bytes").alias("bytes"))
     asked = groups.select(F.col("other").alias("root")).distinct()
     right = placed.join(asked, "root", "left_semi").select(
         "root", F.pmod(F.xxhash64("id"), chunk_of).cast("int").alias("chunk"), F.lit(1).alias("asks"), "id")
@@ -216,6 +235,20 @@ def confirm_groups(groups: DataFrame, placed: DataFrame, texts: DataFrame) -> Da
         "root", F.explode(F.sequence(F.lit(0), chunk_of - 1)).alias("chunk"), F.lit(2).alias("asks"), "id")
     tiles = right.unionByName(left).join(texts, "id").repartition("root", "chunk").sortWithinPartitions("root", "chunk", "asks")
 
+    def index_of(held: list[pa.Table]) -> tuple:
+        """Ids, set sizes and the sorted shingles of a tile's classes."""
+        ids, counts, values, owners = [], [], [], []
+        for members in held:
+            for part in byte_slices(iter(members.combine_chunks().to_batches()), "text", SLICE):
+                offsets, v = shingle_sets(part.column("text"))
+                counts.append(np.diff(offsets))
+                owners.append(np.repeat(np.arange(len(counts[-1]), dtype=np.int32), counts[-1]) + np.int32(sum(map(len, ids))))
+                ids.append(part.column("id").to_numpy())
+                values.append(v)
+        value, owner = np.concatenate(values), np.concatenate(owners)
+        order = np.argsort(value, kind="stable")
+        return np.concatenate(ids), np.concatenate(counts), value[order], owner[order]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held, index = None, [], None
         for key, t in _runs(batches, ("root", "chunk", "asks")):
@@ -224,19 +257,12 @@ def confirm_groups(groups: DataFrame, placed: DataFrame, texts: DataFrame) -> Da
                 last, index = key, None
                 continue
             if index is None:
-                members = pa.concat_tables(held)
-                offsets, v = shingle_sets(members.column("text").combine_chunks())
-                owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-                order = np.argsort(v, kind="stable")
-                index = (members.column("id").to_numpy(), np.diff(offsets), v[order], owner[order])
+                index, held = index_of(held), []
             ids, sizes_, value, owner = index
-            for part in byte_slices(iter(t.combine_chunks().to_batches()), "text", 1 << 20):
+            for part in byte_slices(iter(t.combine_chunks().to_batches()), "text", SLICE // 4):
                 offsets, v = shingle_sets(part.column("text"))
                 n = np.diff(offsets)
-                asker = np.repeat(np.arange(len(n)), n)
-                lo, hi = np.searchsorted(value, v), np.searchsorted(value, v, side="right")
-                hit = owner[ragged(lo, hi - lo)]
-                common = np.bincount(np.repeat(asker, hi - lo) * len(ids) + hit, minlength=len(n) * len(ids)).reshape(len(n), -1)
+                common = common_counts(v, np.repeat(np.arange(len(n)), n), len(n), value, owner, len(ids))
                 good = 100 * common >= 75 * (n[:, None] + sizes_[None] - common)
                 found = np.flatnonzero(good.any(1))
                 a, b = part.column("id").to_numpy()[found], ids[good[found].argmax(1)]
@@ -263,10 +289,10 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     linked = scratch.cut(confirm(tried, texts))
     roots = scratch.cut(components(linked, scratch))
 
-    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-    rooted = roots.join(sizes, "root").select("id", "root", "size")
-    placed = scratch.cut(partners.join(rooted, "id", "left").select(
-        "id", F.coalesce("root", "id").alias("root"), F.coalesce("size", F.lit(1)).alias("size")))
+    rooted = scratch.cut(texts.select("id", F.octet_length("text").cast("bigint").alias("own")).join(roots, "id", "left").select(
+        "id", "own", F.coalesce("root", "id").alias("root")))
+    sizes = rooted.groupBy("root").agg(F.count("*").alias("size"), F.sum("own").alias("bytes"))
+    placed = scratch.cut(rooted.drop("own").join(sizes, "root"))
     in_bucket = members.select("bucket", "id").join(placed, "id")
     # buckets of two were settled by their star
     spread = in_bucket.groupBy("bucket").agg(
@@ -274,8 +300,13 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2")
     open_ = in_bucket.join(spread.select("bucket", "major"), "bucket").join(classes.select("id", "sketch"), "id")
     groups = scratch.cut(close_groups(open_))
-    second = confirm_groups(groups, placed, texts)
-    final = scratch.cut(components(linked.union(second), scratch))
+    second = scratch.cut(confirm_groups(groups, placed, texts))
+    # the second links join whole components, so only roots are contracted again
+    root_of = placed.select("id", "root")
+    between = second.join(root_of.toDF("a", "ra"), "a").join(root_of.toDF("b", "rb"), "b").select(
+        F.col("ra").alias("a"), F.col("rb").alias("b"))
+    joined = components(between, scratch).toDF("root", "top")
+    final = scratch.cut(root_of.join(joined, "root", "left").select("id", F.coalesce("top", "root").alias("root")))
 
     classes = classes.select("set_key", "id").join(final, "id", "left").select(
         "set_key", F.coalesce("root", "id").alias("root"))
