@@ -93,7 +93,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         parts, start = m[0].split("."), m.start()
         for k in range(0, len(parts) - 3, 4):
             end = start + sum(map(len, parts[k:k + 4])) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts[k:k + 4]):
+            if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in parts[k:k + 4]):
                 out.append((start, 1, end))
             start = end + 1
     for m in _CARD.finditer(text):
