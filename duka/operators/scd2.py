@@ -14,7 +14,7 @@ condition (sort-merge join; a hot key is split by AQE's skew-join handling).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN_END = "9999-12-31"
@@ -34,6 +34,12 @@ def build_versions(obs: DataFrame, key: str, date_col: str, attr: str) -> DataFr
             .drop(date_col))
 
 
+def version_key(key: str, valid_from: str) -> Column:
+    """Surrogate key of a version, made of its natural key and first day (days
+    since 1970, below 100,000), so a reload or a later batch never renumbers."""
+    return (F.col(key).cast("long") * 100_000 + F.datediff(F.col(valid_from), F.lit("1970-01-01"))).cast("long")
+
+
 def current_versions(versions: DataFrame) -> DataFrame:
     return versions.where(F.col("is_current"))
 

@@ -83,6 +83,24 @@ SELECT c.campaign_name, c.channel, {B('fm.impressions')} AS total_impressions,
 FROM fact_marketing fm JOIN dim_campaign c ON fm.campaign_key = c.campaign_key
 GROUP BY c.campaign_name, c.channel""", "fact_marketing", "dim_campaign")
 
+# -------------------------------------------------------- customer versions
+_tier = "CASE " + " ".join(f"WHEN count(*) >= {k} THEN '{label}'" for k, label in fixed.TIER_BY_ORDERS) \
+    + f" ELSE '{fixed.TIER_DEFAULT}' END"
+SCD2_CTES = {
+    "obs": f"""
+SELECT o_custkey AS customer_key, make_date(CAST(year(o_orderdate) AS BIGINT), 1, 1) AS obs_date,
+       {_tier} AS customer_segment
+FROM orders GROUP BY o_custkey, year(o_orderdate)""",
+    "chg": """
+SELECT *, lag(customer_segment) OVER (PARTITION BY customer_key ORDER BY obs_date) AS prev FROM obs""",
+    "versions": f"""
+SELECT customer_key, CAST(customer_key + 1 + {fixed.CUSTOMER_ID_BASE} AS BIGINT) AS customer_id,
+       customer_key * 100000 + date_diff('day', DATE '1970-01-01', obs_date) AS customer_version_key,
+       CAST(row_number() OVER w AS INTEGER) AS version, customer_segment, obs_date AS valid_from,
+       CAST(lead(obs_date) OVER w - INTERVAL 1 DAY AS DATE) AS valid_to
+FROM chg WHERE prev IS NULL OR prev <> customer_segment
+WINDOW w AS (PARTITION BY customer_key ORDER BY obs_date)""",
+}
 # ------------------------------------------------------------- procedures
 SQL["monthly_revenue"] = with_ctes(f"""
 SELECT month_name, net AS net_revenue_usd, profit AS total_profit_usd,
@@ -97,6 +115,7 @@ JOIN dim_status s ON fs.status_key = s.status_key
 WHERE d.year = {P['target_year']} AND s.status_name NOT IN ('Cancelled', 'Refunded')
 GROUP BY d.month_number, d.month_name"""})
 
+# lines of the current version: those from its first day on
 SQL["customer_lifetime_value"] = with_ctes(f"""
 SELECT customer_id, customer_name, customer_segment, country AS demography_country,
        len(list_distinct(list(order_id))) AS total_orders_placed, {B('quantity')} AS total_items_purchased,
@@ -104,8 +123,10 @@ SELECT customer_id, customer_name, customer_segment, country AS demography_count
 FROM (SELECT customer_key, customer_id, customer_name, customer_segment, country
       FROM customer_keys NATURAL JOIN (SELECT location_key, country FROM dim_location)
       WHERE customer_id = {P['customer_id']})
-NATURAL JOIN (SELECT customer_key, order_id, quantity, net_revenue_usd, profit_usd FROM sales_lines)
-GROUP BY ALL""", "sales_lines", "customer_keys", "dim_location")
+NATURAL JOIN (SELECT customer_key, order_id, order_date, quantity, net_revenue_usd, profit_usd FROM sales_lines)
+NATURAL JOIN (SELECT customer_key, max(valid_from) AS since FROM versions GROUP BY customer_key)
+WHERE order_date >= since
+GROUP BY ALL""", "sales_lines", "customer_keys", "dim_location", extra=SCD2_CTES)
 
 SQL["top_products"] = with_ctes(f"""
 SELECT * FROM (
@@ -344,10 +365,11 @@ _line_order = ", ".join(LINE_ORDER)
 SQL["fact_sales"] = with_ctes(f"""
 SELECT row_number() OVER (ORDER BY order_id, {_line_order}) AS sales_fact_key, order_id,
        CAST(row_number() OVER (PARTITION BY order_id ORDER BY {_line_order}) AS INTEGER) AS order_line_number,
-       date_key, customer_key, product_key, location_key, campaign_key, status_key, order_source,
+       date_key, sales_lines.customer_key, customer_version_key, product_key, location_key, campaign_key, status_key, order_source,
        quantity, local_currency, exchange_rate_to_usd, unit_price_local, discount_amount_local,
        tax_amount_local, product_cost_local, gross_revenue_usd, net_revenue_usd, tax_usd, profit_usd
-FROM sales_lines""", "sales_lines")
+FROM sales_lines ASOF LEFT JOIN (SELECT customer_key, valid_from, customer_version_key FROM versions) v
+  ON sales_lines.customer_key = v.customer_key AND sales_lines.order_date >= v.valid_from""", "sales_lines", extra=SCD2_CTES)
 SQL["fact_inventory"] = with_ctes("SELECT * FROM fact_inventory", "fact_inventory")
 SQL["campaign_cost_daily"] = with_ctes("SELECT * FROM campaign_days", "campaign_days")
 SQL["fact_marketing"] = with_ctes("SELECT * FROM fact_marketing", "fact_marketing")
@@ -360,24 +382,8 @@ SELECT o.o_orderkey AS order_id, c.campaign_key, c.campaign_name
 FROM orders o JOIN dim_campaign c ON CAST(o.o_orderkey % {len(fixed.CAMPAIGNS)} + 1 AS INTEGER) = c.campaign_key""",
                                    "dim_campaign")
 
-_tier = "CASE " + " ".join(f"WHEN count(*) >= {k} THEN '{label}'" for k, label in fixed.TIER_BY_ORDERS) \
-    + f" ELSE '{fixed.TIER_DEFAULT}' END"
-SCD2_CTES = {
-    "obs": f"""
-SELECT o_custkey AS customer_key, make_date(CAST(year(o_orderdate) AS BIGINT), 1, 1) AS obs_date,
-       {_tier} AS customer_segment
-FROM orders GROUP BY o_custkey, year(o_orderdate)""",
-    "chg": """
-SELECT *, lag(customer_segment) OVER (PARTITION BY customer_key ORDER BY obs_date) AS prev FROM obs""",
-    "versions": f"""
-SELECT customer_key, CAST(customer_key + 1 + {fixed.CUSTOMER_ID_BASE} AS BIGINT) AS customer_id,
-       CAST(row_number() OVER w AS INTEGER) AS version, customer_segment, obs_date AS valid_from,
-       CAST(lead(obs_date) OVER w - INTERVAL 1 DAY AS DATE) AS valid_to
-FROM chg WHERE prev IS NULL OR prev <> customer_segment
-WINDOW w AS (PARTITION BY customer_key ORDER BY obs_date)""",
-}
 SQL["scd2_build"] = with_ctes("""
-SELECT customer_key, customer_id, version, customer_segment, valid_from, valid_to,
+SELECT customer_key, customer_id, customer_version_key, version, customer_segment, valid_from, valid_to,
        valid_to IS NULL AS is_current FROM versions""", extra=SCD2_CTES)
 SQL["scd2_current"] = with_ctes("""
 SELECT customer_key, customer_id, customer_segment, valid_from FROM versions WHERE valid_to IS NULL""",

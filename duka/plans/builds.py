@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from duka.functions import fixed
 from duka.functions.money import money
-from duka.operators import scd2
+from duka.operators import asof, scd2
 from duka.sources.warehouse import LINE_ORDER, Warehouse  # noqa: F401
 
 
@@ -42,7 +42,8 @@ def sales_local_measures(w: Warehouse) -> DataFrame:
 
 
 FACT_SALES_COLUMNS = [
-    "sales_fact_key", "order_id", "order_line_number", "date_key", "customer_key", "product_key",
+    "sales_fact_key", "order_id", "order_line_number", "date_key", "customer_key",
+    "customer_version_key", "product_key",
     "location_key", "campaign_key", "status_key", "order_source", "quantity", "local_currency",
     "exchange_rate_to_usd", "unit_price_local", "discount_amount_local", "tax_amount_local",
     "product_cost_local", "gross_revenue_usd", "net_revenue_usd", "tax_usd", "profit_usd",
@@ -85,31 +86,13 @@ def assign_campaign(w: Warehouse) -> DataFrame:
                       "campaign_key").select("order_id", "campaign_key", "campaign_name")
 
 
-def customer_tier_observations(w: Warehouse) -> DataFrame:
-    """(customer, 1 Jan of year, tier by that year's order count)."""
-    o = w.table("orders")
-    per_year = (o.groupBy(F.col("o_custkey").alias("customer_key"),
-                          F.year("o_orderdate").alias("y"))
-                .agg(F.count(F.lit(1)).alias("orders")))
-    tier = None
-    for k, label in fixed.TIER_BY_ORDERS:
-        cond = F.col("orders") >= k
-        tier = F.when(cond, label) if tier is None else tier.when(cond, label)
-    tier = tier.otherwise(fixed.TIER_DEFAULT)
-    return per_year.select("customer_key", F.make_date("y", F.lit(1), F.lit(1)).alias("obs_date"),
-                           tier.alias("customer_segment"))
-
-
 def scd2_versions(w: Warehouse) -> DataFrame:
-    v = scd2.build_versions(customer_tier_observations(w), "customer_key", "obs_date",
-                            "customer_segment")
-    return v.withColumn("customer_id", (F.col("customer_key") + 1 + fixed.CUSTOMER_ID_BASE)
-                        .cast("long"))
+    return w.customer_versions
 
 
 def scd2_build(w: Warehouse) -> DataFrame:
-    return scd2_versions(w).select("customer_key", "customer_id", "version", "customer_segment",
-                                   "valid_from", "valid_to", "is_current")
+    return scd2_versions(w).select("customer_key", "customer_id", "customer_version_key", "version",
+                                   "customer_segment", "valid_from", "valid_to", "is_current")
 
 
 def scd2_current(w: Warehouse) -> DataFrame:
@@ -119,11 +102,11 @@ def scd2_current(w: Warehouse) -> DataFrame:
 
 def scd2_point_in_time(w: Warehouse) -> DataFrame:
     """Units and lines by order year and the tier valid on the order date."""
-    # lines are summed per (customer, day) before the range join, so a
+    # lines are summed per (customer, day) before the merge, so a
     # customer with a third of all lines brings one row per day to it
     facts = (w.sales_lines.groupBy("customer_key", "order_date")
              .agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("q")))
-    versions = scd2_versions(w).select("customer_key", "customer_segment", "valid_from", "valid_to")
-    j = scd2.point_in_time(facts, "customer_key", "order_date", versions, "customer_key")
+    j = asof.asof_merge(facts, "customer_key", "order_date", scd2_versions(w), "customer_key",
+                        "valid_from", ["version", "customer_segment"]).where("version IS NOT NULL")
     return (j.groupBy(F.year("order_date").alias("year"), "customer_segment")
             .agg(F.sum("n").alias("lines"), F.sum("q").alias("units")))

@@ -41,8 +41,8 @@ def customer_lifetime_value(w: Warehouse, customer_id: int | None = None) -> Dat
     cust = (w.customer_keys.where(F.col("customer_key") == key)
             .where(F.col("customer_id") == cid)
             .join(F.broadcast(w.dim_location.select("location_key", "country")), "location_key"))
-    s = w.sales_lines.where(F.col("customer_key") == key)
-    per = s.groupBy("customer_key").agg(
+    # as the fact points at versions, lines of earlier ones are not counted
+    per = w.current_lines(key).groupBy("customer_key").agg(
         F.countDistinct("order_id").alias("total_orders_placed"),
         F.sum("quantity").alias("total_items_purchased"),
         total("net_revenue_usd").alias("historical_spend_usd"),

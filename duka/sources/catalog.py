@@ -13,13 +13,13 @@ from pyspark.sql import SparkSession
 from duka.sources.warehouse import Warehouse
 
 TABLES = ["dim_date", "dim_location", "dim_customer", "dim_product", "dim_campaign",
-          "dim_status", "sales_lines", "fact_marketing", "campaign_days"]
+          "dim_status", "customer_versions", "sales_lines", "fact_marketing", "campaign_days"]
 
 # reports whose plans run a job when defined (the distributed numbering
 # writes its lineage-cut table; the incremental load runs its stream); they
 # are registered only when asked for by name
 EAGER = {"fact_sales", "rfm_segments", "window_ntile", "surrogate_keys", "order_line_number",
-         "fact_marketing_incremental"}
+         "scd2_point_in_time", "fact_marketing_incremental"}
 
 
 def register_tables(w: Warehouse) -> list[str]:

@@ -21,6 +21,9 @@ TABLES: dict[str, str] = {
                     "gender string, age_group string, location_key int, signup_date date, "
                     "customer_segment string, valid_from date, valid_to date, "
                     "is_current boolean",
+    "customer_versions": "customer_key bigint, customer_id bigint, customer_version_key bigint, "
+                         "version int, customer_segment string, valid_from date, valid_to date, "
+                         "is_current boolean",
     "dim_product": "product_key bigint, product_id bigint, product_name string, brand string, "
                    "category string, sub_category string, standard_cost decimal(18,2), "
                    "selling_price decimal(18,2)",
@@ -28,7 +31,8 @@ TABLES: dict[str, str] = {
                     "campaign_cost decimal(18,2), start_date date, end_date date",
     "dim_status": "status_key int, status_name string",
     "fact_sales": "sales_fact_key bigint, order_id bigint, order_line_number int, date_key int, "
-                  "customer_key bigint, product_key bigint, location_key int, campaign_key int, "
+                  "customer_key bigint, customer_version_key bigint, product_key bigint, "
+                  "location_key int, campaign_key int, "
                   "status_key int, order_source string, quantity int, local_currency string, "
                   "exchange_rate_to_usd decimal(18,4), unit_price_local decimal(18,2), "
                   "discount_amount_local decimal(18,2), tax_amount_local decimal(18,2), "

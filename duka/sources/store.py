@@ -30,7 +30,7 @@ from duka.sources.warehouse import Warehouse
 
 SMALL_TABLES = ["dim_status", "dim_campaign", "dim_location", "location_market", "dim_date",
                 "campaign_days", "fact_marketing"]
-LARGE_TABLES = ["dim_product", "dim_customer"]
+LARGE_TABLES = ["dim_product", "dim_customer", "customer_versions"]
 
 
 def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -108,6 +108,14 @@ class StoredWarehouse(Warehouse):
     dim_product = cached_property(lambda self: self.stored("dim_product"))
     dim_customer = cached_property(lambda self: self.stored("dim_customer"))
 
+    customer_versions = cached_property(lambda self: self.stored("customer_versions"))
+
+    def current_lines(self, customer_key: int) -> DataFrame:
+        current = self.customer_versions.where((F.col("customer_key") == customer_key) & F.col("is_current")) \
+            .select("customer_version_key")
+        lines = self.sales_lines.where(F.col("customer_key") == customer_key)
+        return lines.join(current, "customer_version_key", "left_semi")
+
     @cached_property
     def customer_keys(self) -> DataFrame:
         return self.dim_customer.select("customer_key", "customer_id", "gender", "age_group",

@@ -175,6 +175,38 @@ class Warehouse:
                         F.col("c_name").alias("customer_name"),
                         F.col("c_nationkey").alias("location_key"))
 
+    # ---------------------------------------------------- customer versions
+    @cached_property
+    def customer_observations(self) -> DataFrame:
+        """(customer, 1 Jan of year, tier by that year's order count)."""
+        per_year = (self.table("orders").groupBy(F.col("o_custkey").alias("customer_key"),
+                                                 F.year("o_orderdate").alias("y"))
+                    .agg(F.count(F.lit(1)).alias("orders")))
+        tier = None
+        for k, label in fixed.TIER_BY_ORDERS:
+            cond = F.col("orders") >= k
+            tier = F.when(cond, label) if tier is None else tier.when(cond, label)
+        tier = tier.otherwise(fixed.TIER_DEFAULT)
+        return per_year.select("customer_key", F.make_date("y", F.lit(1), F.lit(1)).alias("obs_date"),
+                               tier.alias("customer_segment"))
+
+    @cached_property
+    def customer_versions(self) -> DataFrame:
+        """The customer dimension's versions (SCD type 2) with their keys."""
+        from duka.operators import scd2
+        v = scd2.build_versions(self.customer_observations, "customer_key", "obs_date", "customer_segment")
+        return v.select("customer_key", (F.col("customer_key") + 1 + fixed.CUSTOMER_ID_BASE).cast("long")
+                        .alias("customer_id"), scd2.version_key("customer_key", "valid_from")
+                        .alias("customer_version_key"), "version", "customer_segment", "valid_from",
+                        "valid_to", "is_current")
+
+    def current_lines(self, customer_key: int) -> DataFrame:
+        """A customer's sales lines that belong to the current version."""
+        current = self.customer_versions.where((F.col("customer_key") == customer_key) & F.col("is_current")) \
+            .select("customer_key", "valid_from")
+        lines = self.sales_lines.where(F.col("customer_key") == customer_key)
+        return lines.join(current, "customer_key").where(F.col("order_date") >= F.col("valid_from"))
+
     # --------------------------------------------------------------- sales
     @cached_property
     def order_lines(self) -> DataFrame:
@@ -186,8 +218,15 @@ class Warehouse:
         part is unknown stays, with NULL in what that row would give; a line
         without an order has no date and is left to `dq_orphans`.
         """
-        o = self.table("orders").select(
+        return self.lines_of(self.raw_orders)
+
+    @property
+    def raw_orders(self) -> DataFrame:
+        return self.table("orders").select(
             "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+
+    def lines_of(self, o: DataFrame) -> DataFrame:
+        """`order_lines` of the given orders; their further columns stay."""
         c = self.table("customer").select("c_custkey", "c_nationkey")
         orders = (o.join(c, o.o_custkey == c.c_custkey, "left")
                   .join(F.broadcast(self.location_market),
@@ -259,17 +298,20 @@ class Warehouse:
         (order, line columns) and order_line_number numbers the lines of an
         order; both come from the distributed numbering operator (no global
         or per-order window), so a huge order still spreads over tasks."""
-        from duka.operators import numbering
+        from duka.operators import asof, numbering
         # number the joined raw lines and derive the money columns afterwards:
         # the range shuffle and the join-back then move ~20 narrow columns
         # instead of the ~45 derived ones (every derived column is a function
         # of the line and its joined order, customer market and part)
         order = [F.col("l_orderkey")] + [F.col(c) for c in LINE_ORDER]
-        keyed = numbering.dense_index(self.order_lines, order, name="sales_fact_key",
+        # the customer version valid on the order's day is found at order grain
+        versioned = asof.asof_merge(self.raw_orders, "o_custkey", "o_orderdate", self.customer_versions,
+                                    "customer_key", "valid_from", ["customer_version_key"])
+        keyed = numbering.dense_index(self.lines_of(versioned), order, name="sales_fact_key",
                                       keep_partition=True)
         numbered = numbering.number_from_index(keyed, ["l_orderkey"], "sales_fact_key",
                                                "order_line_number", partition_col="_pid")
-        return self.derive_sales(numbered, "sales_fact_key", "order_line_number")
+        return self.derive_sales(numbered, "sales_fact_key", "order_line_number", "customer_version_key")
 
     def sales_from(self, start_date: str) -> DataFrame:
         """Sales lines on or after a date; the bound reaches the orders scan."""
