@@ -114,6 +114,8 @@ DEFAULTS = {
     "basket_min_pairs": 5,
     # the stock snapshot covers this many calendar years, up to the last one with orders
     "inventory_last_years": 2,
+    # `scd2_incremental` merges the years from this one on first, the others after
+    "history_split_year": 1998,
     "sample_n": 100,
     "sample_seed": "duka",
 }

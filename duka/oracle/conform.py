@@ -237,9 +237,9 @@ _cte("campaign_events", [], f"""
 SELECT {date_key_sql("(CAST(ts AS DATE) + INTERVAL (" + str(fixed.EVENT_SHIFT_MONTHS) + ") MONTH)")}
          AS date_key,
        CAST(user_id % {len(fixed.CAMPAIGNS)} + 1 AS INTEGER) AS campaign_key,
-       CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS impressions,
-       CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS clicks,
-       CAST(count(*) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS conversions,
+       count(*) FILTER (WHERE event_type = 'view') AS impressions,
+       count(*) FILTER (WHERE event_type = 'click') AS clicks,
+       count(*) FILTER (WHERE event_type = 'purchase') AS conversions,
        sum(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END) AS revenue
 FROM events GROUP BY 1, 2""")
 

@@ -385,6 +385,7 @@ FROM orders o JOIN dim_campaign c ON CAST(o.o_orderkey % {len(fixed.CAMPAIGNS)}
 SQL["scd2_build"] = with_ctes("""
 SELECT customer_key, customer_id, customer_version_key, version, customer_segment, valid_from, valid_to,
        valid_to IS NULL AS is_current FROM versions""", extra=SCD2_CTES)
+SQL["scd2_incremental"] = SQL["scd2_build"]
 SQL["scd2_current"] = with_ctes("""
 SELECT customer_key, customer_id, customer_segment, valid_from FROM versions WHERE valid_to IS NULL""",
                                 extra=SCD2_CTES)

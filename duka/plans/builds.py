@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duka.functions import fixed
 from duka.functions.money import money
 from duka.operators import asof, scd2
+from duka.session import ensure_checkpoint_dir
+from duka.sources.history import History
 from duka.sources.warehouse import LINE_ORDER, Warehouse  # noqa: F401
 
 
@@ -95,6 +99,19 @@ def scd2_build(w: Warehouse) -> DataFrame:
                                    "customer_segment", "valid_from", "valid_to", "is_current")
 
 
+def scd2_incremental(w: Warehouse) -> DataFrame:
+    """The versions as two batches leave them (`sources/history.py`): the
+    later years first, then the earlier ones, which are late by then."""
+    root = f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/customer-history-{uuid.uuid4().hex}"
+    history = History(w.spark, root, "customer_key", "obs_date", "customer_segment", buckets=16)
+    late = F.year("obs_date") < w.params["history_split_year"]
+    history.apply(w.customer_observations.where(~late), "later years")
+    history.apply(w.customer_observations.where(late), "earlier years")
+    return w.with_version_keys(history.versions()).select(
+        "customer_key", "customer_id", "customer_version_key", "version", "customer_segment",
+        "valid_from", "valid_to", "is_current")
+
+
 def scd2_current(w: Warehouse) -> DataFrame:
     return scd2.current_versions(scd2_versions(w)).select(
         "customer_key", "customer_id", "customer_segment", "valid_from")

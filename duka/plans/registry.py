@@ -55,6 +55,7 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "customer_attributes": builds.customer_attributes,
     "assign_campaign": builds.assign_campaign,
     "scd2_build": builds.scd2_build,
+    "scd2_incremental": builds.scd2_incremental,
     "scd2_current": builds.scd2_current,
     "scd2_point_in_time": builds.scd2_point_in_time,
     # data quality

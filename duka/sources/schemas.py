@@ -40,8 +40,8 @@ TABLES: dict[str, str] = {
                   "net_revenue_usd decimal(18,2), tax_usd decimal(18,2), profit_usd decimal(18,2)",
     "fact_inventory": "date_key int, product_key bigint, opening_stock int, stock_received int, "
                       "stock_sold int, stock_returned int, closing_stock int",
-    "fact_marketing": "date_key int, campaign_key int, impressions int, clicks int, "
-                      "conversions int, revenue_generated decimal(18,2), cost decimal(18,2)",
+    "fact_marketing": "date_key int, campaign_key int, impressions bigint, clicks bigint, "
+                      "conversions bigint, revenue_generated decimal(18,2), cost decimal(18,2)",
 }
 
 

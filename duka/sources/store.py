@@ -1,8 +1,9 @@
 """Materialised warehouse: build the star once, let reports read it.
 
 `build_warehouse(w, out_dir)` writes every dimension and fact as Parquet
-(full reload: `mode("overwrite")`, the INSERT ... SELECT after TRUNCATE of
-the load scripts). `StoredWarehouse(spark, out_dir, sf_dir)` then serves the
+(full reload, the INSERT ... SELECT after TRUNCATE of the load scripts) into new
+folders and publishes them all at once (`publish.py`): a build that dies half-way leaves
+readers the tables they had. `StoredWarehouse(spark, out_dir, sf_dir)` then serves the
 same attributes as `Warehouse` from those files, so every report runs
 unchanged but scans one pre-joined fact instead of re-joining order lines,
 orders, customers and parts.
@@ -18,6 +19,7 @@ the next one). Small dimensions are written as single files.
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from duka.plans.builds import fact_sales_full
 from duka.sources import schemas
+from duka.sources.publish import Published
 from duka.sources.warehouse import Warehouse
 
 SMALL_TABLES = ["dim_status", "dim_campaign", "dim_location", "location_market", "dim_date",
@@ -34,20 +37,26 @@ LARGE_TABLES = ["dim_product", "dim_customer", "customer_versions"]
 
 
 def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite").option("compression", "zstd")
+    writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
 def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[str, float]:
-    """Write all warehouse tables under out_dir; returns seconds per table.
+    """Write all warehouse tables under out_dir and publish them together;
+    returns seconds per table.
 
     The tables are independent, so their write jobs are submitted from a
     few driver threads at once and share the cluster; no row passes through
     the driver.
     """
-    out_dir = out_dir.rstrip("/")
+    published = Published(w.spark, out_dir)
+    folders: dict[str, str] = {}
+
+    def place(name: str) -> str:
+        folders[name] = published.new_folder(name)
+        return published.path(folders[name])
 
     def sales() -> None:
         df = schemas.check(fact_sales_full(w), "fact_sales") \
@@ -57,12 +66,12 @@ def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[
         # filter prunes folders and Parquet row-group statistics skip day
         # ranges inside the files (at most tasks x years files)
         laid_out = df.sortWithinPartitions("order_year", "date_key")
-        _write(laid_out, f"{out_dir}/fact_sales", ["order_year"])
+        _write(laid_out, place("fact_sales"), ["order_year"])
 
     def inventory() -> None:
         # kept as runs of days: rows grow with the sales; readers generate days
         schemas.check(w.fact_inventory(), "fact_inventory")
-        _write(w.stock_runs(), f"{out_dir}/inventory_runs")
+        _write(w.stock_runs(), place("inventory_runs"))
 
     def table(name: str) -> DataFrame:
         df = getattr(w, name)
@@ -70,9 +79,9 @@ def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[
 
     jobs = {"fact_sales": sales, "inventory_runs": inventory}
     for name in SMALL_TABLES:
-        jobs[name] = lambda n=name: _write(table(n).coalesce(1), f"{out_dir}/{n}")
+        jobs[name] = lambda n=name: _write(table(n).coalesce(1), place(n))
     for name in LARGE_TABLES:
-        jobs[name] = lambda n=name: _write(table(n), f"{out_dir}/{n}")
+        jobs[name] = lambda n=name: _write(table(n), place(n))
 
     def timed(item):
         name, fn = item
@@ -81,7 +90,9 @@ def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[
         return name, round(time.perf_counter() - t0, 3)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
-        return dict(pool.map(timed, jobs.items()))
+        times = dict(pool.map(timed, jobs.items()))
+    published.publish(folders, f"build-{uuid.uuid4().hex}")
+    return times
 
 
 class StoredWarehouse(Warehouse):
@@ -94,9 +105,11 @@ class StoredWarehouse(Warehouse):
     def __init__(self, spark: SparkSession, store_dir: str, sf_dir: str, **params):
         super().__init__(spark, sf_dir, **params)
         self.store_dir = store_dir.rstrip("/")
+        # resolved once: a load published later does not change this reader
+        self.folders = Published(spark, store_dir).folders()
 
     def stored(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.store_dir}/{name}")
+        return self.spark.read.parquet(self.folders[name])
 
     dim_status = cached_property(lambda self: self.stored("dim_status"))
     dim_campaign = cached_property(lambda self: self.stored("dim_campaign"))

@@ -194,8 +194,13 @@ class Warehouse:
     def customer_versions(self) -> DataFrame:
         """The customer dimension's versions (SCD type 2) with their keys."""
         from duka.operators import scd2
-        v = scd2.build_versions(self.customer_observations, "customer_key", "obs_date", "customer_segment")
-        return v.select("customer_key", (F.col("customer_key") + 1 + fixed.CUSTOMER_ID_BASE).cast("long")
+        return self.with_version_keys(scd2.build_versions(
+            self.customer_observations, "customer_key", "obs_date", "customer_segment"))
+
+    @staticmethod
+    def with_version_keys(versions: DataFrame) -> DataFrame:
+        from duka.operators import scd2
+        return versions.select("customer_key", (F.col("customer_key") + 1 + fixed.CUSTOMER_ID_BASE).cast("long")
                         .alias("customer_id"), scd2.version_key("customer_key", "valid_from")
                         .alias("customer_version_key"), "version", "customer_segment", "valid_from",
                         "valid_to", "is_current")
@@ -409,37 +414,42 @@ class Warehouse:
         cost = F.round(F.col("campaign_cost") / F.nullif(span, F.lit(0)).cast("decimal(10,0)"), 2)
         return days.select("date_key", "campaign_key", cost.cast(MONEY).alias("cost"))
 
-    @cached_property
-    def campaign_events(self) -> DataFrame:
-        """Funnel counts per (day, campaign) from the event log.
+    @staticmethod
+    def funnel_counts(events: DataFrame) -> DataFrame:
+        """Funnel counts per (day, campaign) from events, batch or stream.
 
         Events are shifted onto the order calendar and assigned to a
         campaign by user id; partial aggregation happens before the shuffle,
         so the shuffled size is bounded by days x campaigns.
         """
-        e = self.table("events")
         n_campaigns = len(fixed.CAMPAIGNS)
         day = F.add_months(F.col("ts").cast("date"), fixed.EVENT_SHIFT_MONTHS)
         et = F.col("event_type")
-        return (e.select(cal.date_key(day).alias("date_key"),
-                         (F.pmod(F.col("user_id"), F.lit(n_campaigns)) + 1).cast("int")
-                         .alias("campaign_key"),
-                         et, F.col("value").cast(MONEY).alias("value"))
+        return (events.select(cal.date_key(day).alias("date_key"),
+                              (F.pmod(F.col("user_id"), F.lit(n_campaigns)) + 1).cast("int")
+                              .alias("campaign_key"),
+                              et, F.col("value").cast(MONEY).alias("value"))
                 .groupBy("date_key", "campaign_key")
-                .agg(F.count_if(et == "view").cast("int").alias("impressions"),
-                     F.count_if(et == "click").cast("int").alias("clicks"),
-                     F.count_if(et == "purchase").cast("int").alias("conversions"),
+                .agg(F.count_if(et == "view").alias("impressions"),
+                     F.count_if(et == "click").alias("clicks"),
+                     F.count_if(et == "purchase").alias("conversions"),
                      F.sum(F.when(et == "purchase", F.col("value"))).alias("revenue")))
 
     @cached_property
-    def fact_marketing(self) -> DataFrame:
-        days = self.campaign_days
-        ev = self.campaign_events
-        zero = F.lit(0).cast("int")
-        return (days.join(ev, ["date_key", "campaign_key"], "left")
+    def campaign_events(self) -> DataFrame:
+        return self.funnel_counts(self.table("events"))
+
+    def marketing_from_counts(self, counts: DataFrame) -> DataFrame:
+        """The campaign-day fact: cost rows with the day's funnel counts."""
+        zero = F.lit(0).cast("bigint")
+        return (self.campaign_days.join(counts, ["date_key", "campaign_key"], "left")
                 .select("date_key", "campaign_key",
                         F.coalesce("impressions", zero).alias("impressions"),
                         F.coalesce("clicks", zero).alias("clicks"),
                         F.coalesce("conversions", zero).alias("conversions"),
                         F.coalesce(F.col("revenue"), F.lit(0)).cast(MONEY).alias("revenue_generated"),
                         "cost"))
+
+    @cached_property
+    def fact_marketing(self) -> DataFrame:
+        return self.marketing_from_counts(self.campaign_events)

@@ -3,11 +3,14 @@
 The batch build (`Warehouse.fact_marketing`) aggregates the whole event log.
 Here new event files are picked up incrementally: a streaming aggregation
 keeps the funnel counts per (day, campaign) in the state store, and every
-micro-batch rewrites the fact from that state joined to the campaign-day
-cost rows. The state is bounded by days x campaigns, so `complete` output
+micro-batch writes the fact anew from that state joined to the campaign-day
+cost rows and publishes it under the batch's id. The state is bounded by days x campaigns, so `complete` output
 mode is the right one: a late event (any lateness) still lands in its day,
 and the written fact is always whole.
 
+A batch that dies while it writes leaves readers the fact they had; a replayed
+batch finds its id published and changes nothing.
+
 Progress and state live under a checkpoint folder inside the cluster's
 `spark.checkpoint.dir`, so a restarted or failed run resumes exactly once
 from the last committed micro-batch.
@@ -19,12 +22,9 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from duka.functions import calendar as cal
-from duka.functions import fixed
-from duka.functions.money import MONEY
 from duka.session import ensure_checkpoint_dir
+from duka.sources.publish import Published
 from duka.sources.warehouse import Warehouse
 
 
@@ -39,47 +39,27 @@ def event_stream(spark: SparkSession, events_dir: str, file_glob: str = "events*
     return reader.parquet(events_dir)
 
 
-def funnel_counts(events: DataFrame) -> DataFrame:
-    """(date_key, campaign_key) -> impressions, clicks, conversions, revenue."""
-    day = F.add_months(F.col("ts").cast("date"), fixed.EVENT_SHIFT_MONTHS)
-    et = F.col("event_type")
-    n_campaigns = len(fixed.CAMPAIGNS)
-    return (events.select(cal.date_key(day).alias("date_key"),
-                          (F.pmod(F.col("user_id"), F.lit(n_campaigns)) + 1).cast("int")
-                          .alias("campaign_key"),
-                          et, F.col("value").cast(MONEY).alias("value"))
-            .groupBy("date_key", "campaign_key")
-            .agg(F.count_if(et == "view").cast("int").alias("impressions"),
-                 F.count_if(et == "click").cast("int").alias("clicks"),
-                 F.count_if(et == "purchase").cast("int").alias("conversions"),
-                 F.sum(F.when(et == "purchase", F.col("value"))).alias("revenue")))
-
-
-def _fact_from_counts(w: Warehouse, counts: DataFrame) -> DataFrame:
-    zero = F.lit(0).cast("int")
-    return (w.campaign_days.join(counts, ["date_key", "campaign_key"], "left")
-            .select("date_key", "campaign_key",
-                    F.coalesce("impressions", zero).alias("impressions"),
-                    F.coalesce("clicks", zero).alias("clicks"),
-                    F.coalesce("conversions", zero).alias("conversions"),
-                    F.coalesce(F.col("revenue"), F.lit(0)).cast(MONEY).alias("revenue_generated"),
-                    "cost"))
-
-
 def load_fact_marketing(w: Warehouse, events_dir: str, out_dir: str,
                         checkpoint: str | None = None, file_glob: str = "events*.parquet",
                         max_files_per_trigger: int | None = None) -> str:
     """Run the incremental load until all present event files are processed
-    (`availableNow`), leaving `out_dir` holding the whole marketing fact."""
+    (`availableNow`), leaving the whole marketing fact published under
+    `out_dir` as `fact_marketing`."""
     spark = w.spark
+    published = Published(spark, out_dir)
     if checkpoint is None:
         checkpoint = os.path.join(ensure_checkpoint_dir(spark),
                                   f"fact_marketing_stream-{uuid.uuid4().hex[:8]}")
-    counts = funnel_counts(event_stream(spark, events_dir, file_glob, max_files_per_trigger))
+    counts = w.funnel_counts(event_stream(spark, events_dir, file_glob, max_files_per_trigger))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # `batch` is the complete (day, campaign) state after this trigger
-        _fact_from_counts(w, batch).write.mode("overwrite").parquet(out_dir)
+        name = f"{checkpoint}#{batch_id}"
+        if published.has(name):
+            return
+        folder = published.new_folder("fact_marketing")
+        w.marketing_from_counts(batch).write.parquet(published.path(folder))
+        published.publish({"fact_marketing": folder}, name)
 
     query = (counts.writeStream.outputMode("complete")
              .option("checkpointLocation", checkpoint)
@@ -96,4 +76,4 @@ def fact_marketing_incremental(w: Warehouse) -> DataFrame:
     out_dir = os.path.join(ensure_checkpoint_dir(w.spark),
                            f"fact_marketing-{uuid.uuid4().hex[:8]}")
     load_fact_marketing(w, w.sf_dir, out_dir, file_glob="events.parquet")
-    return w.spark.read.parquet(out_dir)
+    return Published(w.spark, out_dir).table("fact_marketing")
