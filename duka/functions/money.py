@@ -2,13 +2,13 @@
 
 Money is decimal(18,2), FX rates decimal(18,4). Every USD measure is rounded
 to cents once per line (half away from zero), sums are decimal(38,2), and a
-ratio is the exact quotient of its operands rounded once: both operands are
-narrowed to decimal(20,2) so Spark's quotient keeps 14 decimals, which makes
-the final rounding the only one that matters.
+ratio is the exact quotient of its operands rounded once.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,34 +34,30 @@ def total(x) -> Column:
     return F.sum(_c(x)).cast(TOTAL)
 
 
-# operands below this fit decimal(20,2) (and x100) without overflow
-_NARROW_LIMIT = 10 ** 15
-
-
 def ratio(num, den, scale: int = 2, times: int = 1, zero=None) -> Column:
-    """round(num / den * times, scale), exact quotient, one rounding.
-
-    A zero or NULL denominator gives NULL (NULLIF form) unless `zero` is set,
-    which gives that value instead (DIVIDE(a, b, 0) form). Operands beyond
-    10^15 (possible for totals at very large scale) are divided as
-    decimal(38,2), whose quotient keeps 6 decimals before the rounding; the
-    CASE evaluates only the branch it takes, so the narrow casts never
-    overflow.
+    """round(num / den * times, scale), half away from zero: the exact quotient
+    rounded once, by one rule for operands of any size.
+
+    Long division in whole cents: the integer part, then `scale` digits of
+    the remainder, each an exact multiple of the divisor, then half up on what is
+    left. A zero or NULL denominator gives NULL (NULLIF form) unless `zero` is
+    set, which gives that value instead (DIVIDE(a, b, 0) form).
     """
     out_type = f"decimal(38,{scale})"
-    num_c, den_c = _c(num), _c(den)
-
-    def quotient(width: int) -> Column:
-        n = num_c.cast(f"decimal({width},2)")
-        if times != 1:
-            # an int literal would widen the quotient's integer part and cut
-            # its scale; decimal(k,0) keeps the narrow quotient at (38,14)
-            n = n * F.lit(times).cast(f"decimal({len(str(times))},0)")
-        d = den_c.cast(f"decimal({width},2)")
-        return F.round(n / F.nullif(d, F.lit(0)), scale).cast(out_type)
-
-    small = (F.abs(num_c) < _NARROW_LIMIT) & (F.abs(den_c) < _NARROW_LIMIT)
-    q = F.when(small, quotient(20)).otherwise(quotient(38))
+    num_c, den_c = _c(num).cast(TOTAL), _c(den).cast(TOTAL)
+
+    def whole(x: Column) -> Column:
+        return x.cast("decimal(38,0)")
+
+    shift = F.lit(times * 10 ** scale).cast("decimal(9,0)")
+    a, b = whole(F.abs(num_c) * 100), whole(F.nullif(F.abs(den_c), F.lit(0)) * 100)
+    rest = whole(a % b)
+    digits = whole(rest * shift)
+    last = whole(digits % b)
+    up = F.when(last * 2 >= b, 1).otherwise(0).cast("decimal(1,0)")
+    q = whole(whole((a - rest) / b) * shift) + whole((digits - last) / b) + up
+    q = F.when((num_c < 0) != (den_c < 0), -q).otherwise(q)
+    q = (whole(q) * F.lit(Decimal(1).scaleb(-scale))).cast(out_type)
     if zero is not None:
         q = F.coalesce(q, F.lit(zero).cast(out_type))
     return q

@@ -3,7 +3,8 @@
 `x.d BETWEEN r.start AND r.end` with no equi key plans a cartesian product
 or a broadcast nested loop. When the range is a span of days, each range row
 is expanded to its days with `explode(sequence(start, end))` and joined on
-the day: an equi-join that shuffles or broadcasts like any other.
+the day, or cut into power-of-two cells and joined on the cell (`interval_join`):
+equi-joins that shuffle or broadcast like any other.
 A dense (entity x day) grid is kept as runs of days (`value_runs`): sums over
 the grid are sums over runs by their length, and `dense_daily` generates the
 days only for those who ask for them.
@@ -17,11 +18,54 @@ from pyspark.sql import functions as F
 from duka.functions import calendar as cal
 
 
+LEVELS = 22      # 2^22 days hold every date Spark knows
+
+
 def explode_days(df: DataFrame, start: str, end: str, name: str = "full_date") -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.col(start), F.col(end),
                                                     F.expr("INTERVAL 1 DAY"))))
 
 
+def cover(df: DataFrame, start: str, end: str, name: str = "cell") -> DataFrame:
+    """One row per power-of-two cell of days that together make up [start, end]:
+    `name` is (level, number), a cell of level j holding 2^j days. A span of n days takes
+    at most 2 log2 n cells, whatever its length."""
+    a, b = _day_number(F.col(start)), _day_number(F.col(end)) + 1
+
+    def cells(j):
+        one = _cell_days(j)
+        first, stop = F.floor((a + one - 1) / one).cast("bigint"), F.floor(b / one).cast("bigint")
+        inside = first < stop
+        left = F.when(inside & (first % 2 == 1), F.struct(j.alias("level"), first.alias("number")))
+        right = F.when(inside & (stop % 2 == 1), F.struct(j.alias("level"), (stop - 1).alias("number")))
+        return F.array(left, right)
+
+    every = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), cells))
+    return df.withColumn(name, F.explode(F.filter(every, lambda c: c.isNotNull())))
+
+
+def interval_join(points: DataFrame, day: str, spans: DataFrame, start: str, end: str) -> DataFrame:
+    """Every row of `points` with every row of `spans` whose [start, end] holds
+    its day: spans are cut into power-of-two cells, points carry the cell of each level, and
+    the join is on the cell. A long span makes tens of rows, not one per day. Rows
+    without a day or border, and spans that end before they start, join nothing."""
+    number = _day_number(F.col(day))
+    levels = F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda j: F.struct(
+        j.alias("level"), F.floor(number / _cell_days(j)).cast("bigint").alias("number")))
+    p = points.where(F.col(day).isNotNull()).withColumn("_cell", F.explode(levels))
+    s = cover(spans.where(F.col(start).isNotNull() & F.col(end).isNotNull()), start, end, "_cell").withColumnRenamed("_cell", "_own")
+    return p.join(s, F.col("_cell") == F.col("_own")).drop("_cell", "_own")
+
+
+def _cell_days(level: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+
+
+def _day_number(d: Column) -> Column:
+    """Days since year 1, never negative."""
+    return F.datediff(d, F.lit("0001-01-01").cast("date")).cast("bigint")
+
+
 def value_runs(entities: DataFrame, key: str, daily: DataFrame, day_col: str, value_col: str,
                start, end) -> DataFrame:
     """(key, first_day, last_day, value): the dense entity x day grid over

@@ -551,6 +551,12 @@ SELECT product_key, brand, product_name,
        row_number() OVER (ORDER BY brand, product_name, product_key) AS surrogate_key
 FROM dim_product""", "dim_product")
 
+SQL["surrogate_keys_reload"] = with_ctes("""
+SELECT product_key, product_name, row_number() OVER (ORDER BY product_key NOT IN (
+           SELECT product_key FROM sales_lines, date_bounds WHERE product_key IS NOT NULL AND year(order_date) = year(lo)),
+           product_key) AS surrogate_key
+FROM dim_product""", "dim_product", "sales_lines", "date_bounds")
+
 SQL["sample_n"] = with_ctes(f"""
 SELECT order_id, line_number, product_key, l_suppkey, quantity,
        md5(concat_ws('|', '{P['sample_seed']}', order_id, line_number, product_key, l_suppkey)) AS sample_hash

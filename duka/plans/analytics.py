@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duka.functions import calendar as cal
 from duka.functions import fixed
 from duka.functions.money import TOTAL, pct, total
-from duka.operators import antijoin, numbering, pairs
+from duka.operators import antijoin, cutpoints, numbering, pairs
 from duka.sources.warehouse import Warehouse
 
 COMPLETED = fixed.status_key("Completed")
@@ -54,32 +52,28 @@ def qoq_growth(w: Warehouse) -> DataFrame:
 
 def cohort_retention(w: Warehouse) -> DataFrame:
     """Cohort = month of a customer's first purchase (any status); activity
-    = completed purchases. Distinct counts are computed by deduplicating to
-    (customer, activity month) and then (cohort, customer), instead of six
-    COUNT(DISTINCT ...) that would each expand the input."""
-    s = w.sales_lines
-    first = s.groupBy("customer_key").agg(cal.month_start(F.min("order_date")).alias("cohort_month"))
-    active = (_completed(w).select("customer_key", cal.month_start("order_date").alias("m"))
-              .distinct())
-    elapsed = cal.month_boundaries_between(F.col("cohort_month"), F.col("m"))
-    per_customer = (active.join(first, "customer_key")
-                    .withColumn("e", elapsed)
-                    .groupBy("cohort_month", "customer_key")
-                    .agg(*[F.max((F.col("e") == k).cast("int")).alias(f"a{k}") for k in range(4)]))
-    g = per_customer.groupBy("cohort_month").agg(
-        F.count(F.lit(1)).alias("cohort_size"),
-        F.sum("a0").alias("month_0_active"), F.sum("a1").alias("month_1_retained"),
-        F.sum("a2").alias("month_2_retained"), F.sum("a3").alias("month_3_retained"))
-    return g.select(F.date_format("cohort_month", "yyyy-MM").alias("cohort"), "cohort_size",
+    = completed purchases. One pass of the fact: it is aggregated to (customer, month), then to
+    a customer's first month and set of active months (at most one entry per calendar month)."""
+    mi = cal.month_index(F.year("order_date"), F.month("order_date"))
+    per_month = w.sales_lines.groupBy("customer_key", mi.alias("mi")).agg(
+        F.max(F.col("status_key") == COMPLETED).alias("done"))
+    per_customer = per_month.groupBy("customer_key").agg(
+        F.min("mi").alias("first"), F.collect_list(F.when(F.col("done"), F.col("mi"))).alias("months")) \
+        .where(F.size("months") > 0)
+    g = per_customer.groupBy("first").agg(F.count(F.lit(1)).alias("cohort_size"), *[
+        F.count_if(F.array_contains("months", F.col("first") + k)).alias(name) for k, name in enumerate(
+            ("month_0_active", "month_1_retained", "month_2_retained", "month_3_retained"))])
+    cohort = F.format_string("%04d-%02d", F.floor(F.col("first") / 12).cast("int"), F.col("first") % 12 + 1)
+    return g.select(cohort.alias("cohort"), "cohort_size",
                     "month_0_active", "month_1_retained", "month_2_retained", "month_3_retained",
                     pct("month_1_retained", "cohort_size").alias("month_1_retention_rate_pct")) \
         .orderBy("cohort")
 
 
 def rfm_segments(w: Warehouse, as_of: str | None = None) -> DataFrame:
-    """Recency / frequency / monetary quartiles. The three NTILE(4) run on
-    the distributed numbering operator (no single-partition window); ties
-    are broken by customer key."""
+    """Recency / frequency / monetary quartiles by exact cut points
+    (`operators/cutpoints.py`): no sort, no window, no join back; ties are
+    broken by customer key."""
     as_of = as_of if as_of is not None else w.params["rfm_as_of"]
     per_order = (_completed(w).groupBy("customer_key", "order_id")
                  .agg(F.max("order_date").alias("d"), F.sum("net_revenue_usd").alias("n")))
@@ -87,24 +81,10 @@ def rfm_segments(w: Warehouse, as_of: str | None = None) -> DataFrame:
         F.datediff(F.lit(as_of).cast("date"), F.max("d")).alias("recency_days"),
         F.count(F.lit(1)).alias("order_frequency"),
         total("n").alias("total_monetary_value_usd"))
-    # the three numberings each sample and shuffle their input; give them a
-    # written per-customer table (lineage cut in the checkpoint folder)
-    # instead of re-aggregating the fact six times
-    raw = numbering.write_table(raw)
-    key = F.col("customer_key")
-    specs = [("recency_days", F.desc("recency_days"), "r_score"),
-             ("order_frequency", F.asc("order_frequency"), "f_score"),
-             ("total_monetary_value_usd", F.asc("total_monetary_value_usd"), "m_score")]
-
-    def quartile(spec):
-        metric, order, name = spec
-        narrow = raw.select("customer_key", metric)
-        return numbering.ntile(narrow, 4, [order, key], name).select("customer_key", name)
-
-    # the three numberings are independent jobs: submit them together
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        r, f, m = pool.map(quartile, specs)
-    m = raw.join(r, "customer_key").join(f, "customer_key").join(m, "customer_key")
+    # each refinement scans the written per-customer table once
+    raw = numbering.write_table(raw.where(F.col("customer_key").isNotNull()))
+    m = cutpoints.ntiles(raw, 4, {"r_score": -F.col("recency_days"), "f_score": F.col("order_frequency"),
+                                  "m_score": F.col("total_monetary_value_usd") * 100}, "customer_key")
     R, Fs, M = F.col("r_score"), F.col("f_score"), F.col("m_score")
     label = (F.when((R >= 3) & (Fs >= 3) & (M >= 3), fixed.RFM_CHAMPIONS)
              .when((R <= 2) & (Fs >= 3), fixed.RFM_AT_RISK)

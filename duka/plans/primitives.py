@@ -4,6 +4,8 @@ anti joins, aggregates, pivot, windows, numbering, sampling, functions)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from duka.functions import fixed
 from duka.functions.money import money, ratio, round_money, total
 from duka.operators import antijoin, numbering, pairs, ranges, sampling
 from duka.plans.analytics import recently_sold
+from duka.session import ensure_checkpoint_dir
+from duka.sources.keys import KeyMap
 from duka.sources.warehouse import Warehouse
 
 
@@ -97,11 +101,11 @@ def join_self_theta(w: Warehouse) -> DataFrame:
 
 
 def join_range_dates(w: Warehouse) -> DataFrame:
-    """Active campaigns per calendar day: each campaign's range is expanded
-    to its days and equi-joined to the calendar."""
-    days = ranges.explode_days(w.dim_campaign, "start_date", "end_date")
-    return (days.join(F.broadcast(w.dim_date.select("full_date", "date_key")), "full_date")
-            .groupBy("date_key").agg(F.count(F.lit(1)).alias("active_campaigns")))
+    """Active campaigns per calendar day: ranges are cut into power-of-two
+    cells of days and joined on the cell (`ranges.interval_join`)."""
+    days = ranges.interval_join(w.dim_date.select("full_date", "date_key"), "full_date",
+                                w.dim_campaign.select("start_date", "end_date"), "start_date", "end_date")
+    return days.groupBy("date_key").agg(F.count(F.lit(1)).alias("active_campaigns"))
 
 
 def _unsold_products(w: Warehouse, how: str) -> DataFrame:
@@ -207,6 +211,18 @@ def surrogate_keys(w: Warehouse) -> DataFrame:
                                  name="surrogate_key")
 
 
+def surrogate_keys_reload(w: Warehouse) -> DataFrame:
+    """Product keys after two loads (`sources/keys.py`): first the products
+    sold in the first order year, then all. The second load numbers only the new ones."""
+    root = f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/product-keys-{uuid.uuid4().hex}"
+    keys = KeyMap(w.spark, root, ["product_key"], "surrogate_key")
+    products = w.dim_product.select("product_key", "product_name")
+    first_year = F.year(w.date_bounds.select("lo").scalar())
+    sold = w.sales_lines.where(F.year("order_date") == first_year).select("product_key").distinct()
+    keys.assign(products.join(sold, "product_key", "left_semi"), "first load")
+    return keys.assign(products, "second load")
+
+
 def sample_n(w: Warehouse) -> DataFrame:
     s = w.sales_lines.select("order_id", "line_number", "product_key", "l_suppkey", "quantity")
     keys = ["order_id", "line_number", "product_key", "l_suppkey"]

@@ -84,6 +84,7 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "window_ntile": primitives.window_ntile,
     "order_line_number": primitives.order_line_number,
     "surrogate_keys": primitives.surrogate_keys,
+    "surrogate_keys_reload": primitives.surrogate_keys_reload,
     "sample_n": primitives.sample_n,
     "date_functions": primitives.date_functions,
     "math_null_functions": primitives.math_null_functions,

@@ -18,7 +18,7 @@ TABLES = ["dim_date", "dim_location", "dim_customer", "dim_product", "dim_campai
 # reports whose plans run a job when defined (the distributed numbering
 # writes its lineage-cut table; the incremental load runs its stream); they
 # are registered only when asked for by name
-EAGER = {"fact_sales", "rfm_segments", "window_ntile", "surrogate_keys", "order_line_number",
+EAGER = {"fact_sales", "rfm_segments", "window_ntile", "surrogate_keys", "surrogate_keys_reload", "order_line_number",
          "scd2_point_in_time", "scd2_incremental", "fact_marketing_incremental"}
 
 
