@@ -8,9 +8,9 @@ the ids are joined back by position. Bytes of one character lie in one chunk,
 so the decoded chunks concatenate to the decoded text, less the marker that
 the library itself puts in front.
 
-Whole texts are encoded; nothing is cut. A task holds the chunk table (bounded by
-`table_chunks`, then begun anew) and one slice of texts of about 4 MB, or one
-longer text. No shuffle.
+Whole texts are encoded; nothing is cut. A task holds the chunk table (begun anew
+beyond `table_chunks`) and one slice of texts of about SLICE bytes, or one longer
+text, whose new chunks are segmented in portions. No shuffle.
 
 Defined results: null and empty text have no ids (0, the hash of the empty
 string, decoded empty); repeated rows give repeated results; an empty table
@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from duka.llm.words import byte_slices
 
 MARK = "▁"
+SLICE = 1 << 20         # bytes of text that a task encodes at once
+PORTION = 1 << 15       # chunks that are segmented at once
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -88,13 +90,15 @@ class ChunkTable:
         if len(self.rows) > self.limit:
             self.rows.clear()
         rows = self.rows
-        new = [c for c in chunks if c not in rows]
-        ids = self.sp.encode(new, num_threads=1) if new else []
-        if "" in new:   # a marker alone, at the end of a text; the library gives an empty text no marker
-            ids[new.index("")] = self.sp.encode("a ")[len(self.sp.encode("a")):]
-        # a text of one mark less than the chunk: the library adds its own
-        for c, i, back in zip(new, ids, self.sp.decode(ids) if ids else []):
-            rows[c] = (",".join(map(str, i)), " " + back if c else " ", len(i))
+        every = [c for c in chunks if c not in rows]
+        for k in range(0, len(every), PORTION):
+            new = every[k:k + PORTION]
+            ids = self.sp.encode(new, num_threads=1)
+            if "" in new:   # a marker alone, at the end of a text; the library gives an empty text no marker
+                ids[new.index("")] = self.sp.encode("a ")[len(self.sp.encode("a")):]
+            # a text of one mark less than the chunk: the library adds its own
+            for c, i, back in zip(new, ids, self.sp.decode(ids)):
+                rows[c] = (",".join(map(str, i)), " " + back if c else " ", len(i))
         return [rows[c] for c in chunks]
 
 
@@ -118,7 +122,7 @@ def encode_slice(texts: pa.Array, table: ChunkTable) -> tuple[pa.Array, pa.Array
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def encode(docs: DataFrame, model: str | None = None, table_chunks: int = 400_000,
+def encode(docs: DataFrame, model: str | None = None, table_chunks: int = 100_000,
            keep_text: bool = False) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and, with
     `keep_text`, `ids` (comma-joined) and `decoded`."""
@@ -126,7 +130,7 @@ def encode(docs: DataFrame, model: str | None = None, table_chunks: int = 400_00
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(model, table_chunks)
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", SLICE):
             ids, back, n = encode_slice(batch.column("text"), table)
             digest = [[hashlib.sha256(x.encode()).hexdigest() for x in col.to_pylist()] for col in (ids, back)]
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), *map(pa.array, digest)]
