@@ -6,11 +6,13 @@ footers, sidebars, notices, adverts, forms, comments). A line of an <article>
 or <main> weighs as much as the page's heaviest line more, so that its short
 lines count too. Weights are summed over sliding windows of `WINDOW` lines,
 which end where a named element starts or ends. The text surges where the block
-sum rises over half the mean block sum and dives where it falls to zero or a
-named element starts or ends; the lines between are kept, without furniture.
-So text outside the named elements is kept where it is as dense as theirs.
+sum rises over half the mean block sum (of the page; inside a named element, of that
+element) and dives where it falls to zero or a named element starts or ends;
+the lines between are kept, without furniture. So text outside the named
+elements is kept where it is as dense as theirs.
 
-Each page is one row of one pass without a shuffle; whole pages are read.
+Each page is one row of one pass without a shuffle; whole pages are read, in time
+linear in their length.
 
 Defined results: null, empty or textless html gives an empty text; an element
 of furniture that is never closed ends where the article starts or else with
@@ -29,6 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from duka.llm.words import byte_slices
+
 WINDOW = 3
 
 # Element names of the HTML standard, and usual class words.
@@ -55,7 +59,7 @@ WHOLE = re.compile(r"(?:^|\s)(?:banner|footer|related|share|social)(?:$|\s)", re
 SLUG = re.compile(rf"(?:{FURNITURE.pattern}|{LOOSE.pattern})", re.I)
 ASIDE = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|related|repl(?:y|ies)|respond|teasers?)(?:$|[\s_-])", re.I)
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>""", re.S)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+)))?""")
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
@@ -91,11 +95,39 @@ def _is_furniture(name: str, attributes: dict[str, str], in_article: bool) -> bo
                 or "-" not in slug and "_" not in slug and not (in_article and LOOSE.search(slug)) and SLUG.search(slug))
 
 
+class _Open:
+    """The open elements of furniture, with the last place of each name."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def __contains__(self, name: str) -> bool:
+        return bool(self.places.get(name))
+
+    def last(self, name: str) -> int:
+        """Place of the innermost element of that name, -1 if there is none."""
+        found = self.places.get(name)
+        return found[-1] if found else -1
+
+    def push(self, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+
+    def cut(self, size: int) -> None:
+        """Close all but the outer `size` elements."""
+        while len(self.names) > size:
+            self.places[self.names.pop()].pop()
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters outside links, furniture, in the article) per block."""
     out: list[tuple[str, int, bool, bool]] = []
     text: list[str] = []
-    linked, skip, article, in_link = 0, [], 0, 0
+    linked, skip, article, in_link = 0, _Open(), 0, 0
     aside = 0       # furniture open when comments or teasers began, these included
 
     def flush() -> None:
@@ -127,24 +159,22 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 in_link = max(0, in_link - 1)
             if name in BLOCKS or name in DROPPED:
                 flush()
-                if skip and skip[0] in OPTIONAL and name not in skip and name != "p" and name not in HEADINGS:
-                    skip.clear()    # the end of an element around a <p> or <li> ends it too
+                if skip and skip.names[0] in OPTIONAL and name not in skip and name != "p" and name not in HEADINGS:
+                    skip.cut(0)     # the end of an element around a <p> or <li> ends it too
                     aside = 0
             if name in skip:
-                while skip.pop() != name:
-                    pass
+                skip.cut(skip.last(name))
                 aside = aside if aside <= len(skip) else 0
             if name in ("article", "main"):
                 article = max(0, article - 1)
             continue
         if name in BLOCKS or name in DROPPED:
             flush()
-            if skip and skip[-1] == "p":        # a <p> ends where the next block starts
-                skip.pop()
+            if skip and skip.names[-1] == "p":  # a <p> ends where the next block starts
+                skip.cut(len(skip) - 1)
             if name == "li" and "li" in skip:   # a <li> where the next one of its list starts
-                last = len(skip) - 1 - skip[::-1].index("li")
-                if not {"ul", "ol", "menu"} & set(skip[last:]):
-                    del skip[last:]
+                if max(map(skip.last, ("ul", "ol", "menu"))) < skip.last("li"):
+                    skip.cut(skip.last("li"))
             aside = aside if aside <= len(skip) else 0
         if name == "br":
             add(" ")
@@ -153,17 +183,17 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         attributes = _attributes(m[3]) if m[3] else {}
         if name in ("article", "main"):
             if not (aside or "header" in skip or "footer" in skip or name == "article" and _is_aside(attributes)):
-                skip.clear()    # furniture left open ends here
+                skip.cut(0)     # furniture left open ends here
             article += 1
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
-        elif skip and name == skip[-1] or _is_furniture(name, attributes, article > 0):
-            skip.append(name)
+        elif skip and name == skip.names[-1] or _is_furniture(name, attributes, article > 0):
+            skip.push(name)
             if not aside and name not in DROPPED and _is_aside(attributes):
                 aside = len(skip)
         elif skip and (name in BLOCKS or name in skip):
-            skip.append(name)
+            skip.push(name)
         if name == "a":
             in_link += 1
     flush()
@@ -185,13 +215,14 @@ def main_text(page: str | None, window: int = WINDOW) -> str:
     sums = weight.copy()        # block i: lines i .. i + window - 1 of its run
     for k in range(1, min(window, len(lines))):
         sums[:-k] += weight[k:] * (run[k:] == run[:-k])
-    level = sums.mean() / 2
+    # a named element is measured by its own blocks, so a short one beside a long one surges too
+    level = np.where(named, (np.bincount(run, sums) / np.bincount(run))[run], sums.mean()) / 2
     keep, inside, last = [], False, 0
     for k, (line, _, _, _) in enumerate(lines):
         # surge: the block sum rises over the level and the line has weight; dive: the sum is zero, or another run
-        inside = bool(sums[k]) if inside and run[k] == last else bool(weight[k] and sums[k] > level)
+        inside = bool(sums[k]) if inside and run[k] == last else bool(weight[k] and sums[k] > level[k])
         last = run[k]
-        if inside and weight[k]:
+        if inside and plain[k]:     # a line of links alone between lines of text is text
             keep.append(line)
     return "\n".join(keep)
 
@@ -200,7 +231,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in byte_slices(batches, "html"):
             texts = [main_text(h) for h in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
