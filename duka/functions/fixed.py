@@ -116,6 +116,8 @@ DEFAULTS = {
     "inventory_last_years": 2,
     # `scd2_incremental` merges the years from this one on first, the others after
     "history_split_year": 1998,
+    # an order of more lines than this is numbered by several tasks
+    "hot_order_lines": 1_000_000,
     "sample_n": 100,
     "sample_seed": "duka",
 }

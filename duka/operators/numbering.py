@@ -132,3 +132,20 @@ def number_from_index(idx: DataFrame, group_cols: list[str], index_col: str,
     return (idx.join(block_starts, [partition_col, *group_cols])
             .withColumn(name, (F.col(index_col) - F.col("_gs") + 1).cast("int"))
             .drop("_gs"))
+
+
+def running_totals(df: DataFrame, order_cols: list, value: str, name: str) -> DataFrame:
+    """Append `name`: the sum of `value` over all rows before this one in the
+    order of `order_cols`. Like `dense_index`: range partitions, a running sum
+    inside each, and the sum of the partitions before as an offset (one row
+    per partition)."""
+    ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    tagged = write_table(ranged.withColumn("_mid", F.monotonically_increasing_id())) \
+        .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
+    sums = tagged.groupBy("_pid").agg(F.sum(value).alias("_sum"))
+    offsets = sums.select("_pid", F.coalesce(F.sum("_sum").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    local = F.coalesce(F.sum(value).over(Window.partitionBy("_pid").orderBy("_mid")
+                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (tagged.withColumn("_local", local).join(F.broadcast(offsets), "_pid")
+            .withColumn(name, F.col("_offset") + F.col("_local")).drop("_mid", "_pid", "_offset", "_local"))

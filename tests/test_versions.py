@@ -110,3 +110,38 @@ def test_current_version_predicate_reaches_the_store(spark, tmp_path):
     df = registry.run("customer_lifetime_value", spark, SF_SMALL, store_dir=str(tmp_path))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "customer_version_key" in plan and "EqualTo(customer_key,4)" in plan
+
+
+def test_fact_keys_of_hot_orders(spark):
+    """Orders above the limit take the distributed path; the keys are the same."""
+    plain = Warehouse(spark, SF_SMALL).fact_sales_keyed
+    hot = Warehouse(spark, SF_SMALL, hot_order_lines=3).fact_sales_keyed
+    keys = ["sales_fact_key", "order_id", "order_line_number", "line_number", "product_key", "customer_version_key"]
+    rows = sorted(map(tuple, plain.select(keys).collect()))
+    assert rows == sorted(map(tuple, hot.select(keys).collect()))
+    assert [r[0] for r in rows] == list(range(1, len(rows) + 1))
+    assert max(r[2] for r in rows) > 3
+
+
+def test_running_totals(spark):
+    rng = random.Random(11)
+    rows = [(k, rng.randint(0, 9)) for k in rng.sample(range(1000), 300)]
+    got = numbering.running_totals(spark.createDataFrame(rows, "k int, v int").repartition(5), [F.col("k")], "v", "t").collect()
+    total, want = 0, {}
+    for k, v in sorted(rows):
+        want[k] = total
+        total += v
+    assert {r.k: r.t for r in got} == want
+
+
+def test_lines_are_not_shuffled_for_their_keys(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = Warehouse(spark, SF_SMALL).fact_sales_keyed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # numbered where the join to the orders has dealt them
+    assert plan.count("Window [row_number()") == 1
+    after = plan[plan.index("Window [row_number()"):]
+    assert "Exchange" not in after[:after.index("SortMergeJoin")]
+    assert "rangepartitioning(l_orderkey" not in plan
