@@ -54,9 +54,7 @@ def _resolve(w: Warehouse, name: str) -> DataFrame:
 
 
 def dq_orphans(w: Warehouse) -> DataFrame:
-    return quality.union_all([
-        quality.orphan_count(check, _resolve(w, child), ck, _resolve(w, parent), pk)
-        for check, child, ck, parent, pk in ORPHAN_CHECKS])
+    return quality.orphan_counts(ORPHAN_CHECKS, lambda name: _resolve(w, name))
 
 
 def dq_duplicate_keys(w: Warehouse) -> DataFrame:

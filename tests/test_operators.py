@@ -253,3 +253,24 @@ def test_stock_sums_by_runs_equal_sums_over_days(spark):
     lo, hi = w.inventory_span
     sold_days = w.sales_between(lo, hi).select("product_key", "order_date").distinct().count()
     assert runs <= 2 * sold_days + w.dim_product.count()     # not products x days
+
+
+def test_orphan_counts_scan_each_table_once(spark, tmp_path):
+    from duka.plans import quality as plans
+    raw = [c for c in plans.ORPHAN_CHECKS if not c[1].startswith("w:") and not c[3].startswith("w:")]
+    w = Warehouse(spark, SF_SMALL)
+    df = quality.orphan_counts(raw, w.table)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    for name in {c[1] for c in raw} | {c[3] for c in raw}:
+        assert plan.count(f"{name}.parquet]") == 1, name
+
+
+def test_orphan_counts_of_odd_keys(spark):
+    tables = {"child": spark.createDataFrame([(1, "a"), (1, None), (None, "b"), (7, "z"), (7, "a")], "k int, s string"),
+              "parent": spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "b")], "k bigint, s string"),
+              "none": spark.createDataFrame([], "k int, s string")}
+    checks = [("by number", "child", "k", "parent", "k"), ("by text", "child", "s", "parent", "s"),
+              ("no parents", "child", "k", "none", "k"), ("nothing", "none", "s", "none", "s")]
+    got = {r.check_name: (r.child_rows, r.orphan_rows) for r in quality.orphan_counts(checks, tables.get).collect()}
+    assert got == {"by number": (5, 3), "by text": (5, 2), "no parents": (5, 5), "nothing": (0, 0)}

@@ -28,8 +28,8 @@ def test_a_build_that_dies_leaves_the_old_star(spark, tmp_path, monkeypatch):
     lines = before.sales_lines.count()
     write, written = store._write, []
 
-    def dying(df, path, partition_by=None):
-        write(df, path, partition_by)
+    def dying(df, path, *args, **kw):
+        write(df, path, *args, **kw)
         written.append(path)
         if "dim_product" in path:
             raise OSError("killed")
@@ -117,3 +117,19 @@ def test_a_later_batch_corrects_a_day(spark, tmp_path):
     history.apply(spark.createDataFrame([(1, day, "x"), (1, day + dt.timedelta(1), "y")], KEYS), "first")
     history.apply(spark.createDataFrame([(1, day + dt.timedelta(1), "x")], KEYS), "second")
     assert [(r.a, r.is_current) for r in history.versions().collect()] == [("x", True)]
+
+
+def test_one_customer_reads_few_row_groups(spark, tmp_path):
+    from pyspark.sql import functions as F
+    lines = spark.range(200_000).select((F.col("id") * 7919 % 100_003).alias("customer_key"), F.col("id").alias("v"))
+    store._write(lines.repartition(16), str(tmp_path / "fact"), look_up="customer_key")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.read.parquet(str(tmp_path / "fact")).where("customer_key = 4711")
+        found = df.count(), df.collect()
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        rows = scan.metrics().apply("numOutputRows").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert found[0] == 2 and len(found[1]) == 2
+    assert 2 <= rows <= 200_000 // 4
