@@ -64,9 +64,27 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     end = n - 1
     while end > 0:
         start = group[sa[end]]
+        if start == end:        # a group of one prolongs one suffix at most
+            i = sa[end]
+            p = i - 1
+            while p >= 0 and group[p] >= start:
+                p = prev[p]
+            prev[i] = p
+            if p >= 0:
+                g = group[p]
+                to = last[g]
+                if to > g:      # it leaves its group upwards
+                    at = place[p]
+                    if at != to:
+                        q = sa[to]
+                        sa[at], sa[to] = q, p
+                        place[q], place[p] = at, to
+                    last[g], last[to] = to - 1, to
+                    group[p] = to
+            end -= 1
+            continue
         members = sa[start:end + 1]
-        if end > start:
-            members.sort()
+        members.sort()
         times: dict[int, int] = {}
         for i in members:
             p = i - 1
