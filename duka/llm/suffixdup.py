@@ -9,12 +9,15 @@ earlier (smaller doc_id, or the same document and an earlier start).
    share an anchor; their bytes are the anchor's context. One narrow row per
    anchor (about one in 40 bytes) is shuffled by the anchor's hash.
 2. Sorted by (anchor, context hash, document, place), equal contexts follow
-   each other: all but the first are repeats of it. The first ones are kept
-   for step 3 if their anchor has several contexts; nothing is held in memory.
+   each other: all but the first are repeats of it. This is done in each slice of texts
+   before the shuffle, so a hot anchor is a few rows a slice, and once more behind it.
+   The first ones are kept for step 3 if their anchor has several contexts;
+   nothing is held in memory.
 3. Two windows at offset o agree in the SIDE bytes left of the anchor (o >= SIDE)
    or in the SIDE bytes right of it. So a context goes to the groups (anchor,
    left bytes) and (anchor, right bytes); groups of one are done. The
-   contexts of a group are fetched from the texts, and blocks of whole
+   contexts of a group are fetched from the texts, cut to the windows whose hash
+   occurs twice in the group (candidates only), and blocks of whole
    groups get a suffix array by linear grouping (`lyndon.py`). Windows that
    are neighbours in it and agree in LENGTH bytes form a run; all but the
    earliest of a run are repeats. A group of more than HOT contexts, which may
@@ -135,32 +138,49 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """hash, context, sides (left and right, 32 bits each), doc_id, place
-    (lo * 2^16 + (hi - lo) * 2^8 + (at - lo))."""
+    """kind, hash, context, sides (left and right, 32 bits each), doc_id, place
+    (lo * 2^16 + (hi - lo) * 2^8 + (at - lo)). Of equal contexts in one slice of texts only
+    the first goes on to meet those of other slices (kind 1); the others are repeats already (kind 0, with a
+    hash of their own place), so a very common context is a row per slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
             a = anchors(*_bytes(batch.column("text")))
-            ids = batch.column("doc_id").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (
-                a["hash"], a["context"], (a["left"] << 32) | a["right"], ids[a["doc"]],
-                (a["lo"] << 16) | (a["hi"] - a["lo"] << 8) | (a["at"] - a["lo"]))],
-                ["hash", "context", "sides", "doc_id", "place"])
+            doc = batch.column("doc_id").to_numpy()[a["doc"]]
+            place = (a["lo"] << 16) | (a["hi"] - a["lo"] << 8) | (a["at"] - a["lo"])
+            order = np.lexsort((place, doc, a["context"], a["hash"]))
+            hash_, context, sides, doc, place = (c[order] for c in (
+                a["hash"], a["context"], (a["left"] << 32) | a["right"], doc, place))
+            first = np.r_[True, (hash_[1:] != hash_[:-1]) | (context[1:] != context[:-1])][:len(doc)]
+            owner = np.maximum.accumulate(np.where(first, np.arange(len(doc)), 0))
+            kept = first | (doc != doc[owner]) | (place != place[owner])
+            own = mix64(doc.view(np.uint64) ^ mix64(place.view(np.uint64))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (
+                first.astype(np.int8), np.where(first, hash_, own), context, sides, doc, place)],
+                ["kind", "hash", "context", "sides", "doc_id", "place"])
 
     return docs.where("doc_id is not null").mapInArrow(
-        run, "hash bigint, context bigint, sides bigint, doc_id bigint, place bigint")
+        run, "kind tinyint, hash bigint, context bigint, sides bigint, doc_id bigint, place bigint")
 
 
 def repeats(rows: DataFrame) -> DataFrame:
     """Sorted anchor rows -> kind 0: a repeated stretch (doc_id, place = start,
     extra = end); kind 1: a first context of an anchor with several."""
-    ordered = rows.repartition("hash").sortWithinPartitions("hash", "context", "doc_id", "place")
+    ordered = rows.repartition("hash").sortWithinPartitions("kind", "hash", "context", "doc_id", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # of the last row so far: its hash, context; the first of its context; the first of its anchor, if unsent
         names = ("hash", "context", "sides", "doc_id", "place")
+        sent_on = ["kind", "hash", "sides", "doc_id", "place", "extra"]
         held = None
         for batch in batches:
+            known = batch.column("kind").to_numpy() == 0
+            if known.any():
+                doc, place = (batch.column(n).to_numpy()[known] for n in ("doc_id", "place"))
+                none, lo = np.zeros(len(doc), np.int64), place >> 16
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                    none, none, none, doc, lo, lo + (place >> 8 & 255) + LENGTH)], sent_on)
+                batch = batch.filter(pa.array(~known))
             if not batch.num_rows:
                 continue
             c = [batch.column(n).to_numpy() for n in names]
@@ -183,8 +203,7 @@ def repeats(rows: DataFrame) -> DataFrame:
                    *[np.r_[np.zeros(copy.sum(), np.int64), x[first]] for x in (hash_, sides)],
                    np.r_[doc[copy], doc[first]], np.r_[lo, place[first]],
                    np.r_[lo + (place[copy] >> 8 & 255) + LENGTH, np.zeros(first.sum(), np.int64)]]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out],
-                                             ["kind", "hash", "sides", "doc_id", "place", "extra"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], sent_on)
             # carry the open anchor: its first context (sent or not) and the open context's first row
             a, b = np.flatnonzero(anchor)[-1], owner[-1]
             keep = [a, b] if a != b else [a]
@@ -276,6 +295,25 @@ def repeated_windows(parts: list[bytes], doc: np.ndarray, start: np.ndarray) ->
     return list(zip(d[at].tolist(), s[at].tolist(), (s[end] + LENGTH).tolist())) if len(s) else []
 
 
+def trimmed(parts: list[bytes], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lo, hi): the first and last window of each part (of LENGTH bytes or more) that by its
+    hash may occur elsewhere in the part's group; hi is -1 where there is none."""
+    size = np.array([len(p) for p in parts])
+    first, count = np.cumsum(np.r_[0, size[:-1]]), size - LENGTH + 1
+    at, own = ragged(first, count), np.repeat(np.arange(len(parts)), count)
+    with np.errstate(over="ignore"):
+        h = Hashes(np.frombuffer(b"".join(parts), np.uint8)).of(at, at + LENGTH) + mix64(group[own].astype(np.uint64), 5)
+    _, same, times = np.unique(h, return_inverse=True, return_counts=True)
+    shared = times[same] > 1
+    own, place = own[shared], (at - first[own])[shared]
+    lo, hi = np.zeros(len(parts), np.int64), np.full(len(parts), -1)
+    if len(own):
+        ends = np.r_[np.flatnonzero(own[1:] != own[:-1]), len(own) - 1]
+        starts = np.r_[0, ends[:-1] + 1]
+        lo[own[starts]], hi[own[ends]] = place[starts], place[ends]
+    return lo, hi
+
+
 def compared(rows: DataFrame) -> DataFrame:
     """doc_id, place, extra: repeated stretches of the contexts of every group."""
     ordered = rows.where("bytes is not null").repartition("hash", "side", "key").sortWithinPartitions("hash", "side", "key")
@@ -286,7 +324,12 @@ def compared(rows: DataFrame) -> DataFrame:
 
         def emit() -> pa.RecordBatch:
             t = pa.Table.from_batches(block)
-            found = repeated_windows(t.column("bytes").to_pylist(), t.column("doc_id").to_numpy(), t.column("start").to_numpy())
+            parts, doc, start = t.column("bytes").to_pylist(), t.column("doc_id").to_numpy(), t.column("start").to_numpy()
+            key = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("hash", "side", "key")])
+            lo, hi = trimmed(parts, np.cumsum(np.r_[True, (key[:, 1:] != key[:, :-1]).any(0)]))
+            some = np.flatnonzero(hi >= 0)
+            parts = [parts[k][a:b + LENGTH] for k, a, b in zip(some.tolist(), lo[some].tolist(), hi[some].tolist())]
+            found = repeated_windows(parts, doc[some], (start + lo)[some]) if parts else []
             return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(3)],
                                               ["doc_id", "place", "extra"])
 
