@@ -1,7 +1,7 @@
 """Exact top-k inner products by block-at-a-time pruning.
 
 Vectors are integers floor(256 x). Documents are dealt to shards and, within a
-shard, to blocks of consecutive vec_ids. Each block keeps the maximum and the
+shard, ordered by the nearest of a few centres, so that a block is a range of like documents. Each block keeps the maximum and the
 minimum of every term (dimension), so a query's score with any document of
 the block is at most sum(max(q*max, q*min)). A query visits the blocks by
 falling bound, scores a block through its forward index (the block's rows),
@@ -26,6 +26,7 @@ K = 5
 SHARD_ROWS = 8192
 GROUP_ROWS = 16384
 BLOCK = 128
+ROUNDS = 4          # of moving the centres
 
 
 def _matrix(vectors: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -49,12 +50,35 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
+def ranges(did: np.ndarray, d: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """(order, starts): documents by nearest centre, then id, and where blocks of at most
+    `block` documents of one centre start. The centres begin at evenly spaced documents and
+    move to the means of theirs, so the blocks depend on the documents alone."""
+    n = max(1, len(did) // block)
+    x = d.astype(np.float64)
+    centres = x[np.linspace(0, len(did) - 1, n).astype(int)]
+    for step in range(ROUNDS + 1):
+        near = np.concatenate([np.argmax(x[k:k + 4096] @ centres.T - (centres**2).sum(1) / 2, axis=1)
+                               for k in range(0, len(x), 4096)])
+        if step < ROUNDS:
+            count = np.bincount(near, minlength=n)
+            by = np.argsort(near, kind="stable")
+            used = np.flatnonzero(count)
+            centres[used] = np.add.reduceat(x[by], (np.cumsum(count) - count)[used]) / count[used][:, None]
+    order = np.lexsort((did, near))
+    first = np.flatnonzero(np.r_[True, np.diff(near[order]) != 0])
+    stops = np.r_[first[1:], len(did)]
+    return order, np.concatenate([np.arange(a, b, block) for a, b in zip(first, stops)])
+
+
 def search(qid: np.ndarray, q: np.ndarray, did: np.ndarray, d: np.ndarray, k: int = K, block: int = BLOCK):
     """Best k of the documents (sorted by id) for each query: (ids, scores),
-    -1 where there is none, and the number of scored (query, block) pairs."""
-    starts = np.arange(0, len(did), block)
-    high = np.array([d[s:s + block].max(0) for s in starts])
-    low = np.array([d[s:s + block].min(0) for s in starts])
+    -1 where there is none, and the share of (query, document) pairs that were scored."""
+    order, starts = ranges(did, d, block)
+    did, d = did[order], d[order]
+    stops = np.r_[starts[1:], len(did)]
+    high, low = np.maximum.reduceat(d, starts), np.minimum.reduceat(d, starts)
+    least = np.minimum.reduceat(did, starts)
     bound = _product(np.maximum(q, 0), high) + _product(np.minimum(q, 0), low)
     order = np.argsort(-bound, axis=1, kind="stable")
     none = np.iinfo(np.int64).min
@@ -67,13 +91,13 @@ def search(qid: np.ndarray, q: np.ndarray, did: np.ndarray, d: np.ndarray, k: in
         # below the k-th score nothing of this or a later block can enter; a tie enters by a smaller id only,
         # and a later block of the same bound may hold one, so ties stay in play but skip this block
         stay = (kth == none) | (top >= kth)
-        live, b, tied = live[stay], b[stay], (top == kth)[stay] & (did[starts[b]] > kid)[stay]
+        live, b, tied = live[stay], b[stay], (top == kth)[stay] & (least[b] > kid)[stay]
         if not len(live):
             break
         for one in np.unique(b[~tied]):
             rows = live[~tied & (b == one)]
-            scored += len(rows)
-            s = slice(starts[one], starts[one] + block)
+            s = slice(starts[one], stops[one])
+            scored += len(rows) * (s.stop - s.start)
             got = _product(q[rows], d[s])
             got[did[s][None] == qid[rows][:, None]] = none
             every = np.hstack([best[rows], got])
@@ -81,7 +105,7 @@ def search(qid: np.ndarray, q: np.ndarray, did: np.ndarray, d: np.ndarray, k: in
             pick = np.lexsort((name, -np.maximum(every, none + 1)), axis=1)[:, :k]
             best[rows], ids[rows] = np.take_along_axis(every, pick, 1), np.take_along_axis(name, pick, 1)
     ids[best == none] = -1
-    return ids, best, scored
+    return ids, best, scored / max(1, len(qid) * len(did))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, shard_rows: int = SHARD_ROWS,
