@@ -150,7 +150,18 @@ def test_block_pruning_is_exact_and_prunes():
     s = d[:20] @ d.T
     s[np.arange(20), np.arange(20)] = np.iinfo(np.int64).min
     want = np.array([np.lexsort((np.arange(3000), -r.astype(float)))[:5] for r in s])
-    assert (ids == want).all() and scored < 20 * 47 / 2
+    assert (ids == want).all() and scored < 0.5
+    # unsorted rows around centres: blocks are ranges of like rows, so most are never scored
+    centres = rng.integers(-2000, 2000, (40, 16))
+    d = centres[rng.integers(0, 40, 4000)] + rng.integers(-40, 40, (4000, 16))
+    name = np.arange(4000) * 3 + 1
+    ids, best, scored = topk.search(name[:50], d[:50], name, d)
+    s = d[:50] @ d.T
+    s[np.arange(50), np.arange(50)] = np.iinfo(np.int64).min
+    want = np.array([name[np.lexsort((name, -r.astype(float)))[:5]] for r in s])
+    assert (ids == want).all() and scored < 0.2
+    order, starts = topk.ranges(name, d)
+    assert sorted(order) == list(range(4000)) and np.diff(np.r_[starts, 4000]).max() <= topk.BLOCK
 
 
 def components(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
