@@ -65,6 +65,9 @@ RFM_AT_RISK = "At Churn Risk (High Value)"
 RFM_PROMISING = "New Promising Leads"
 RFM_HIBERNATING = "Hibernating / Price Sensitive"
 
+# Prefix of a generated customer name.
+GENERATED_NAME = "Customer_Name_"
+
 # Fiscal year starts in July (month 7).
 FISCAL_START_MONTH = 7
 # ------------------------------------------------------------ END FIXED VALUES

@@ -317,7 +317,7 @@ SELECT country, {T('g')} AS gross_revenue_usd,
        CAST(sum({ratio_sql('g', '1 + vat_rate')}) AS DECIMAL(38,2)) AS net_revenue_ex_tax_usd
 FROM by_rate GROUP BY country""", "sales_lines", "location_market", extra={"by_rate": """
 SELECT lm.country, lm.vat_rate, sum(fs.gross_revenue_usd) AS g
-FROM sales_lines fs JOIN location_market lm ON fs.location_key = lm.location_key
+FROM sales_lines fs LEFT JOIN location_market lm ON fs.location_key = lm.location_key
 GROUP BY lm.country, lm.vat_rate"""})
 
 SQL["returns_liability"] = with_ctes(f"""
@@ -589,8 +589,8 @@ SELECT product_key,
        {ratio_sql(_margin, 'product_key % 5')} AS divide_or_null
 FROM dim_product""", "dim_product")
 
-SQL["string_functions"] = with_ctes("""
-SELECT customer_key, 'Customer_Name_' || CAST(customer_key + 1 AS VARCHAR) AS generated_name,
+SQL["string_functions"] = with_ctes(f"""
+SELECT customer_key, '{fixed.GENERATED_NAME}' || CAST(customer_key + 1 AS VARCHAR) AS generated_name,
        strftime(signup_date, '%Y-%m') AS signup_month,
        'Q' || CAST(quarter(signup_date) AS VARCHAR) AS signup_quarter,
        upper(customer_segment) AS segment_upper

@@ -59,9 +59,9 @@ def inventory_turnover_ratio(w: Warehouse) -> DataFrame:
 def net_revenue_ex_tax(w: Warehouse) -> DataFrame:
     """Per country: sum(gross / (1 + VAT of the country)). Lines are summed
     per VAT rate and divided once, so each output rounds once."""
-    rates = F.broadcast(w.location_market.select("location_key", "vat_rate"))
+    rates = w.location_market.select("location_key", "vat_rate")
     by_rate = (w.sales_lines.select("location_key", "country", "gross_revenue_usd")
-               .join(rates, "location_key")
+               .join(rates, "location_key", "left")    # unknown locations keep their group
                .groupBy("country", "vat_rate")
                .agg(total("gross_revenue_usd").alias("g")))
     ex = ratio("g", F.lit(1) + F.col("vat_rate"))

@@ -267,7 +267,7 @@ def string_functions(w: Warehouse) -> DataFrame:
     n = F.col("customer_key") + 1
     return c.select(
         "customer_key",
-        F.concat(F.lit("Customer_Name_"), n.cast("string")).alias("generated_name"),
+        F.concat(F.lit(fixed.GENERATED_NAME), n.cast("string")).alias("generated_name"),
         F.date_format("signup_date", "yyyy-MM").alias("signup_month"),
         F.concat(F.lit("Q"), F.quarter("signup_date").cast("string")).alias("signup_quarter"),
         F.upper(F.col("customer_segment")).alias("segment_upper"))
