@@ -17,22 +17,28 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        self.paths: list[str] = []
+        self.paths: list[tuple[DataFrame, str]] = []
 
     def cut(self, df: DataFrame) -> DataFrame:
         """`df` written once and read back."""
         path = f"{self.root}/{len(self.paths)}"
-        self.paths.append(path)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((out, path))
+        return out
 
     def drop(self, df: DataFrame) -> None:
         """Remove a table made by `cut`."""
-        jvm = self.spark._jvm
-        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if name.split("://")[-1].split(":")[-1].startswith(self.root.split("://")[-1].split(":")[-1]):
-                path = jvm.org.apache.hadoop.fs.Path(name)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        for path in [p for table, p in self.paths if table is df]:
+            self._delete(path)
+
+    def clear(self) -> None:
+        """Remove all tables made here; for callers that have written their result."""
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
     def settle(self) -> None:
         """Let Spark remove the shuffle files of plans that are done with."""
