@@ -36,17 +36,23 @@ from duka.llm.words import byte_slices
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
 
-# --- labelled table: {kind: values}, lines with a slot {kind}, lines without personal data
+# --- labelled table: {kind: values}, lines with a slot {kind}, lines without personal data; in
+# a value every 0 stands for a digit
 VALUES = {
-    "email": ["ann.lee@mail.example.com", "bo_77@corp.example.org", "x+list@example.net,", "<kim@uni.example.edu>",
-              "was.12@mail3.example.com", "mailto:ray@example.com"],
-    "ip": ["10.0.12.254", "192.168.1.7", "203.0.113.45,", "(198.51.100.9)", "172.16.4.30:8080"],
-    "card": ["4539578763621486", "4111 1111 1111 1111", "5500-0055-5555-5559", "6011000990139424,", "378282246310005"],
-    "phone": ["+1 (415) 555-0134", "+44 20 7946 0958", "(212) 555-0187", "415-555-0199", "+1 (766) 555-2373,",
-              "212.555.0143"],
+    "email": ["ann.lee@mail.example.com", "bo_00@corp.example.org", "x+list@example.net,", "<kim@uni.example.edu>",
+              "was.00@mail0.example.com", "mailto:ray@example.com", "(jo-ann@example.co.uk)", "T.Roe@EXAMPLE.COM;",
+              "j.doe%lab@example.info", "email=sam@example.io"],
+    "ip": ["10.0.12.254", "192.168.1.7", "203.0.113.45,", "(198.51.100.9)", "172.16.4.30:8080", "[10.20.30.40]",
+           "ip=192.0.2.61", "127.0.0.1;", "198.18.7.7/24", "http://10.1.2.3/"],
+    "card": ["4539578763621486", "4111 1111 1111 1111", "5500-0055-5555-5559", "6011000990139424,", "378282246310005",
+             "3782 822463 10005", "5105.1051.0510.5100", "(4222222222222220)", "4012-8888-8888-1881;", "card:4000056655665556"],
+    "phone": ["+0 (000) 000-0000", "+00 00 0000 0000", "(000) 000-0000", "000-000-0000", "+0 (000) 000-0000,",
+              "000.000.0000", "+0-000-000-0000", "+000000000000", "0-000-000-0000", "(000)000-0000", "(000) 000 0000;",
+              "+00 000 000 000", "tel:+0-000-000-0000", "(00) 0000-0000", "+00 (0)00 0000 0000", "000-000-0000."],
 }
 SLOTS = ["please write to {} about it", "{} is of the", "the of and {} in to that", "Contact: {}", "ti {}",
-         "son {} del en", "WITH {} AND", "a.%%% {} re$$$ on*** de###", "one | {} | two"]
+         "son {} del en", "WITH {} AND", "a.%%% {} re$$$ on*** de###", "one | {} | two", "call {} or come",
+         "- {}", "from 9 to 5: {} (office)"]
 OUTSIDE = [
     "the of and in to that with 7 of them", "Licensed under CC BY-NC 4.0.", "Apache License, Version 2.0.",
     "General Public License, version 3.", 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "in 1999 and 2004",
@@ -56,6 +62,11 @@ OUTSIDE = [
     "code 999.888.777.666 fails", "1. first 2. second 3) third", "10 20 30 40 50", "a1 b22 c333 x-15 covid-19",
     "@home @all at 5 @ 7", "The and attion to thanedble the, anea.", "### --- *** || . !", "WORD WORDS AND MORE",
     "Éreç chpa aiémentou le de", "for (x) and 3-4 or 5-6-7", "12/31/1999 31.12.2024 2024-12-31T00:00:00",
+    "ISBN 978-0-306-40615-7 of the", "lat 51.5074 lon -0.1278", "invoice 2024-000123 of 2024-05-06",
+    "scores 21-19, 21-17 and 3:0", "room (415) and floor (2)", "rows 100-200 of 1000-2000", "1.2.3.4.5.6 of the list",
+    "case no. 12-345-678", "IBAN DE89 3704 0044 0532 0130 00", "width 1920x1080, ratio 16:9", "id 550e8400-e29b-41d4-a716-446655440000",
+    "temperature -12.5 to +3.4", "5 (five) + 3 (three) = 8", "years 1914-1918 and 1939-1945", "0.001 0.01 0.1 1 10",
+    "at 08:15 and 23:59:59", "tracking 1Z999AA10123456784", "sum of +1 +2 +3", "phone 415 is a model", "@ann @bob_7 said 10",
 ]
 
 _WORD = re.compile(r"[^\s|]+")
@@ -130,19 +141,39 @@ def features(word: str) -> list[str]:
 
 
 def _labelled() -> list[tuple[list[str], list[int]]]:
-    rows = []
+    """Each value in some of the slots, its zeros replaced by digits of a fixed sequence
+    (those of the cards and addresses are digits already)."""
+    rows, digit = [], 0
     for kind, values in VALUES.items():
         for i, value in enumerate(values):
-            for slot in SLOTS[i % 2::2]:
+            for slot in SLOTS[i % 3::3]:
                 before, after = slot.split("{}")
+                own = []
+                for c in value:
+                    digit += 1
+                    own.append(str(1 + digit * digit % 9) if c == "0" and kind == "phone" else c)
                 words, tags = [], []
-                for part, tag in ((before, 0), (value, LABELS.index(kind)), (after, 0)):
+                for part, tag in ((before, 0), ("".join(own), LABELS.index(kind)), (after, 0)):
                     found = _WORD.findall(part)
                     words, tags = words + found, tags + [tag] * len(found)
                 rows.append((words, tags))
     return rows + [(w := _WORD.findall(line), [0] * len(w)) for line in OUTSIDE]
 
 
+def fits(kind: int, text: str) -> bool:
+    """Whether a labelled run can be of its kind: an address with a domain, four parts of at most
+    255, 14 to 19 digits that pass Luhn, 7 to 15 digits."""
+    digits = "".join(_DIGITS.findall(text))
+    if kind == 0:
+        return bool(_DOMAIN.search(text.rpartition("@")[2])) and "@" in text.strip("@")
+    if kind == 1:
+        return any(m[0].count(".") == 3 and all(len(p) < 4 and int(p) <= 255 for p in m[0].split("."))
+                   for m in _IP.finditer(text))
+    if kind == 2:
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return 7 <= len(digits) <= 15
+
+
 def _observed(words: list[str]) -> list[list[str]]:
     """Features of each position: the word's and its neighbours'."""
     own = [features(w) for w in words]
@@ -267,21 +298,35 @@ class Field:
                 where.append((i, [s for s, _ in found]))
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
         for (i, starts), words, tags in zip(where, lines, self.decode(lines)):
-            k = 0
             for k in np.flatnonzero(tags):
                 if k and tags[k - 1] == tags[k]:
                     continue
                 last = k
                 while last + 1 < len(tags) and tags[last + 1] == tags[k]:
                     last += 1
-                start, end = starts[k], starts[last] + len(words[last])
-                run = texts[i][start:end]
-                left, right = _EDGE.match(run).end(), _TAIL.search(run).start()
-                if left < right:
-                    out[i].append((start + left, int(tags[k]) - 1, start + right))
+                for x, y in self._pieces(texts[i], int(tags[k]) - 1, starts, words, k, last):
+                    out[i].append((x, int(tags[k]) - 1, y))
         return out
 
 
+    @staticmethod
+    def _pieces(text: str, kind: int, starts: list[int], words: list[str], k: int, last: int) -> list[tuple[int, int]]:
+        """The stretches of the run of words k .. last that fit the kind: the whole run, or else, from the left,
+        the longest that do."""
+        found = []
+        while k <= last:
+            for end in range(min(last, k + 7), k - 1, -1):
+                run = text[starts[k]:starts[end] + len(words[end])]
+                left, right = _EDGE.match(run).end(), _TAIL.search(run).start()
+                if left < right and fits(kind, run[left:right]):
+                    found.append((starts[k] + left, starts[k] + right))
+                    break
+            else:
+                end = k
+            k = end + 1
+        return found
+
+
 _HELD = re.compile(r"[0-9@]")
 _EDGE = re.compile(r"(?:[^\w+(]*(?:mailto:)?)")
 _TAIL = re.compile(r"[^\w)]*\Z")
