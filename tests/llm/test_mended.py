@@ -158,3 +158,40 @@ def test_pieces_in_small_portions(monkeypatch):
         want = [sp.encode(t) for t in texts]
         assert ids.to_pylist() == [",".join(map(str, i)) for i in want] and back.to_pylist() == [sp.decode(i) for i in want]
         assert n.tolist() == [len(i) for i in want]
+
+
+HELD = {    # spellings that the labelled table does not hold
+    "phone": ["+0 000 000 0000", "000 000 0000", "+00-00-0000-0000", "00 00 00 00 00", "+0.000.000.0000", "(0000) 000000",
+              "000-0000", "+000 00 000 0000", "1-(000)-000-0000", "00000 000000"],
+    "email": ["a.b.c@sub.dom.example.org", "USER_0@example.net", "'kim@example.com'", "x@y.example", "first-last+tag@example.museum"],
+    "ip": ["8.8.4.4", "[198.51.100.77]:443", "192.0.2.1/32", "ip:203.0.113.9", "10.255.255.1,"],
+    "card": ["6011 1111 1111 1117", "371449635398431", "4000.0000.0000.0002"],
+}
+LINES = ["reach me on {} tomorrow", "the number {} was given", "{}", "Ile de {} et la", "name | {} | 12", "(see {})"]
+NONE = ["sizes 10-20 and 30-40 of 55", "born 12.04.1987 in Rome", "price 12 500.00 EUR", "ref 2023/11/000045", "time 10:22:33.456",
+        "ratio 3:2 or 16-9", "2 + 2 = 4", "build 10.15.7 (19H2)", "seq 1234 5678", "year 2020-2021", "room 12-3456", "42% of 1,000"]
+
+
+def test_pii_held_out_spellings():
+    field, rng = pii.Field(pii.train()), random.Random(5)
+    hits = misses = wrong = 0
+    for kind, values in HELD.items():
+        for value in values:
+            for line in LINES:
+                own = "".join(str(rng.randint(1, 9)) if c == "0" and kind == "phone" else c for c in value)
+                text = line.replace("{}", own)
+                a = text.index(own)
+                got = pii.find_slice(pa.array([text]), field)[0][1]
+                found = [s for s in got if pii.KINDS[s[1]] == kind and s[0] < a + len(own) and s[2] > a]
+                hits, misses, wrong = hits + bool(found), misses + (not found), wrong + len(got) - len(found)
+    wrong += sum(len(pii.find_slice(pa.array([t]), field)[0][1]) for t in NONE)
+    assert hits / (hits + wrong) > 0.95 and hits / (hits + misses) > 0.8
+
+
+def test_pii_added_cards_have_the_digits_of_cards():
+    field = pii.Field(pii.train())
+    two = "pay 4539578763621486 4111111111111111 now"       # the base pattern sees one number of 32 digits
+    (base, every), = pii.find_slice(pa.array([two]), field)
+    assert base == [] and [(pii.KINDS[k], two[a:b]) for a, k, b in every] == [("card", "4539578763621486"), ("card", "4111111111111111")]
+    for text in ("card 14155550134 x", "visa 4539578763621487 of", "1-415-555-0134"):
+        assert not [s for s in pii.find_slice(pa.array([text]), field)[0][1] if s[1] == 2]
