@@ -62,7 +62,7 @@ OUTSIDE = [
     "code 999.888.777.666 fails", "1. first 2. second 3) third", "10 20 30 40 50", "a1 b22 c333 x-15 covid-19",
     "@home @all at 5 @ 7", "The and attion to thanedble the, anea.", "### --- *** || . !", "WORD WORDS AND MORE",
     "Éreç chpa aiémentou le de", "for (x) and 3-4 or 5-6-7", "12/31/1999 31.12.2024 2024-12-31T00:00:00",
-    "ISBN 978-0-306-40615-7 of the", "lat 51.5074 lon -0.1278", "invoice 2024-000123 of 2024-05-06",
+    "ISBN 978-0-306-40615-7 of the", "lat 51.5074 lon -0.1278", "invoice 2024-000123 of 2024-05-06", "receipt 2023-004512 and 2022-118", "2021-000077 paid",
     "scores 21-19, 21-17 and 3:0", "room (415) and floor (2)", "rows 100-200 of 1000-2000", "1.2.3.4.5.6 of the list",
     "case no. 12-345-678", "IBAN DE89 3704 0044 0532 0130 00", "width 1920x1080, ratio 16:9", "id 550e8400-e29b-41d4-a716-446655440000",
     "temperature -12.5 to +3.4", "5 (five) + 3 (three) = 8", "years 1914-1918 and 1939-1945", "0.001 0.01 0.1 1 10",
@@ -182,7 +182,7 @@ def _observed(words: list[str]) -> list[list[str]]:
             for b, c, a in zip(edge + own[:-1], own, own[1:] + edge)]
 
 
-def train(steps: int = 120, rate: float = 0.4, decay: float = 2e-3) -> tuple[dict[str, list[float]], list[list[float]]]:
+def train(steps: int = 150, rate: float = 0.4, decay: float = 2e-3) -> tuple[dict[str, list[float]], list[list[float]]]:
     """Weights (feature -> label scores, transitions) that maximise the
     penalised log-likelihood of the labelled table."""
     rows, index = _labelled(), {}
