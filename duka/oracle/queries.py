@@ -396,6 +396,14 @@ FROM sales_lines fs JOIN versions v ON fs.customer_key = v.customer_key
  AND fs.order_date BETWEEN v.valid_from AND coalesce(v.valid_to, DATE '9999-12-31')
 GROUP BY 1, 2""", "sales_lines", extra=SCD2_CTES)
 
+_counted = ["dim_date", "dim_location", "dim_customer", "dim_product", "dim_campaign", "dim_status", "versions",
+            "sales_lines", "fact_marketing", "campaign_days", "fact_inventory"]
+SQL["star_row_counts"] = with_ctes(" UNION ALL ".join(
+    [f"SELECT '{'customer_versions' if t == 'versions' else t}' AS table_name, count(*) AS row_count FROM {t}" for t in _counted]
+    + [f"""SELECT 'revenue_kpis', count(DISTINCT date_trunc('month', order_date)) FROM sales_lines
+           WHERE status_key <> ALL ({fixed.status_keys('Cancelled', 'Refunded')})"""]),
+    *[t for t in _counted if t != "versions"], extra=SCD2_CTES)
+
 # ---------------------------------------------------------------- quality
 _TABLE_SQL = {"w:sales_lines": "sales_lines", "w:dim_date": "dim_date",
               "w:dim_status": "dim_status", "w:dim_campaign": "dim_campaign",

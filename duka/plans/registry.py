@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duka.plans import analytics, builds, measures, primitives, procedures, quality, views
+from duka.plans import analytics, builds, measures, primitives, procedures, quality, stored, views
 from duka.session import apply_defaults
 from duka.sources.warehouse import Warehouse
 from duka.streaming.marketing import fact_marketing_incremental
@@ -58,6 +58,7 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "scd2_incremental": builds.scd2_incremental,
     "scd2_current": builds.scd2_current,
     "scd2_point_in_time": builds.scd2_point_in_time,
+    "star_row_counts": stored.star_row_counts,
     # data quality
     "dq_orphans": quality.dq_orphans,
     "dq_duplicate_keys": quality.dq_duplicate_keys,

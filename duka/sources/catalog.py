@@ -19,21 +19,22 @@ TABLES = ["dim_date", "dim_location", "dim_customer", "dim_product", "dim_campai
 # writes its lineage-cut table; the incremental load runs its stream); they
 # are registered only when asked for by name
 EAGER = {"fact_sales", "rfm_segments", "window_ntile", "surrogate_keys", "surrogate_keys_reload", "order_line_number",
-         "scd2_point_in_time", "scd2_incremental", "fact_marketing_incremental"}
+         "scd2_point_in_time", "scd2_incremental", "star_row_counts",
+         "fact_marketing_incremental"}
 
 
-def register_tables(w: Warehouse) -> list[str]:
+def register_tables(w: Warehouse, prefix: str = "") -> list[str]:
     for name in TABLES:
-        getattr(w, name).createOrReplaceTempView(name)
-    w.fact_inventory().createOrReplaceTempView("fact_inventory")
+        getattr(w, name).createOrReplaceTempView(prefix + name)
+    w.fact_inventory().createOrReplaceTempView(f"{prefix}fact_inventory")
     return TABLES + ["fact_inventory"]
 
 
-def register_reports(w: Warehouse, names: list[str] | None = None) -> list[str]:
+def register_reports(w: Warehouse, names: list[str] | None = None, prefix: str = "") -> list[str]:
     from duka.plans.registry import PLANS
     chosen = names if names is not None else [n for n in PLANS if n not in EAGER]
     for name in chosen:
-        PLANS[name](w).createOrReplaceTempView(name)
+        PLANS[name](w).createOrReplaceTempView(prefix + name)
     return list(chosen)
 
 
