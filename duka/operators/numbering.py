@@ -93,11 +93,35 @@ def ntile(df: DataFrame, buckets: int, order_cols: list, name: str,
     return idx.withColumn(name, tile.cast("int")).drop("_rn", "_total")
 
 
+HOT_GROUP = 1_000_000    # rows of a group that one task numbers at most
+
+
 def number_within_groups(df: DataFrame, group_cols: list[str], order_cols: list,
-                         name: str, num_partitions: int | None = None) -> DataFrame:
+                         name: str, num_partitions: int | None = None,
+                         sizes: DataFrame | None = None, limit: int = HOT_GROUP) -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY group_cols ORDER BY order_cols).
 
-    A hot group is never sent to one task: rows are numbered globally by
+    Groups of at most `limit` rows are numbered by that window: one shuffle
+    by group. Larger ones, if there are any, never go to one task: they are
+    numbered by `number_over_ranges`. `sizes` (group columns and `n`) spares
+    the count of `df` where the groups' sizes are known more cheaply.
+    """
+    if sizes is None:
+        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.where(F.col("n") > limit).select(*[F.col(c).alias(f"_large_{c}") for c in group_cols])
+    window = F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order_cols)).cast("int")
+    if large.isEmpty():
+        return df.withColumn(name, window)
+    # the list is small (rows / limit at most); its groups may hold NULLs
+    same = [F.col(c).eqNullSafe(F.col(f"_large_{c}")) for c in group_cols]
+    rest = df.join(large, same, "left_anti").withColumn(name, window)
+    hot = number_over_ranges(df.join(large, same, "left_semi"), group_cols, order_cols, name, num_partitions)
+    return rest.unionByName(hot)
+
+
+def number_over_ranges(df: DataFrame, group_cols: list[str], order_cols: list,
+                       name: str, num_partitions: int | None = None) -> DataFrame:
+    """The same numbers for groups of any size: rows are numbered globally by
     (group, order) with `dense_index`, so a large group spreads over several
     range partitions, and `number_from_index` joins on (range partition,
     group), a key no group can dominate.
@@ -121,17 +145,19 @@ def number_from_index(idx: DataFrame, group_cols: list[str], index_col: str,
     back on (partition, group). A group holding a third of all rows spans
     many partitions, so no join key and no task carries it whole.
     """
+    # a struct compares NULLs as equal, so rows without a group are one
+    idx = idx.withColumn("_g", F.struct(*group_cols))
     if partition_col is None:
-        starts = idx.groupBy(*group_cols).agg(F.min(index_col).alias("_gs"))
-        return (idx.join(starts, group_cols)
+        starts = idx.groupBy("_g").agg(F.min(index_col).alias("_gs"))
+        return (idx.join(starts, "_g")
                 .withColumn(name, (F.col(index_col) - F.col("_gs") + 1).cast("int"))
-                .drop("_gs"))
-    blocks = idx.groupBy(partition_col, *group_cols).agg(F.min(index_col).alias("_bs"))
-    starts = blocks.groupBy(*group_cols).agg(F.min("_bs").alias("_gs"))
-    block_starts = blocks.join(starts, group_cols).select(partition_col, *group_cols, "_gs")
-    return (idx.join(block_starts, [partition_col, *group_cols])
+                .drop("_gs", "_g"))
+    blocks = idx.groupBy(partition_col, "_g").agg(F.min(index_col).alias("_bs"))
+    starts = blocks.groupBy("_g").agg(F.min("_bs").alias("_gs"))
+    block_starts = blocks.join(starts, "_g").select(partition_col, "_g", "_gs")
+    return (idx.join(block_starts, [partition_col, "_g"])
             .withColumn(name, (F.col(index_col) - F.col("_gs") + 1).cast("int"))
-            .drop("_gs"))
+            .drop("_gs", "_g"))
 
 
 def running_totals(df: DataFrame, order_cols: list, value: str, name: str) -> DataFrame:

@@ -199,9 +199,9 @@ def window_ntile(w: Warehouse) -> DataFrame:
 
 def order_line_number(w: Warehouse) -> DataFrame:
     from duka.plans.builds import LINE_ORDER
-    s = w.sales_lines
-    n = numbering.number_within_groups(s, ["order_id"], [F.col(c) for c in LINE_ORDER],
-                                       "order_line_number")
+    sizes = w.table("lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(F.count(F.lit(1)).alias("n"))
+    n = numbering.number_within_groups(w.sales_lines, ["order_id"], [F.col(c) for c in LINE_ORDER],
+                                       "order_line_number", sizes=sizes, limit=w.params["hot_order_lines"])
     return n.select("order_id", "line_number", "product_key", "quantity", "order_line_number")
 
 

@@ -330,9 +330,8 @@ class Warehouse:
             small = lines.where(F.col("_lines") <= limit).withColumn("order_line_number", number)
             if not hot:
                 return small
-            large = numbering.number_within_groups(lines.where(F.col("_lines") > limit), ["l_orderkey"], by_line,
-                                                   "order_line_number")
-            return small.unionByName(large)
+            return small.unionByName(numbering.number_over_ranges(
+                lines.where(F.col("_lines") > limit), ["l_orderkey"], by_line, "order_line_number"))
 
         lines = self.lines_of(orders, numbered).withColumn(
             "sales_fact_key", (F.col("_first") + F.col("order_line_number")).cast("bigint"))

@@ -25,10 +25,12 @@ def test_dense_index_matches_row_number(spark):
 
 
 def test_number_within_groups_on_hot_key(spark):
-    df = _skewed(spark)
-    got = numbering.number_within_groups(df, ["g"], [F.col("v"), F.col("u")], "rn")
+    # group NULL is large as well; a limit of 100 sends both over ranges, the default none
+    df = _skewed(spark).withColumn("g", F.when(F.col("u") % 7 == 0, None).otherwise(F.col("g")))
     ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("g").orderBy("v", "u")))
-    assert got.join(ref, "u").where("rn != ref").count() == 0
+    for limit in (100, numbering.HOT_GROUP):
+        got = numbering.number_within_groups(df, ["g"], [F.col("v"), F.col("u")], "rn", limit=limit)
+        assert got.count() == 3000 and got.join(ref, "u").where("rn != ref").count() == 0
 
 
 def test_ntile_matches_builtin(spark):
@@ -118,7 +120,7 @@ def test_hot_order_line_numbers_split(spark):
     lines = _hot_basket_lines(spark)
 
     def run():
-        got = numbering.number_within_groups(lines, ["o"], [F.col("p"), F.col("u")], "rn")
+        got = numbering.number_within_groups(lines, ["o"], [F.col("p"), F.col("u")], "rn", limit=100)
         sel = got.select("u", "rn")
         rows = sel.collect()
         return rows, sel._jdf.queryExecution().executedPlan().toString()
