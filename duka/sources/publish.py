@@ -61,5 +61,20 @@ class Published:
         rows = [((last or 0) + 1, batch, name, folder) for name, folder in sorted(folders.items())]
         self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/published")
 
+    def remove_replaced(self) -> list[str]:
+        """Delete folders that were published once and that nothing shows now;
+        for a time when no reader holds on to an earlier load. A part of a folder
+        (`folder/bucket=3`) goes alone, its neighbours stay."""
+        log = self._log()
+        if log is None:
+            return []
+        shown = {p.removeprefix(f"{self.root}/data/") for p in self.folders().values()}
+        gone = sorted({r.folder for r in log.select("folder").distinct().collect()} - shown)
+        conf = self.spark._jsc.hadoopConfiguration()
+        for folder in gone:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(folder))
+            path.getFileSystem(conf).delete(path, True)
+        return gone
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.folders()[name])

@@ -105,6 +105,11 @@ def test_untouched_buckets_keep_their_files(spark, tmp_path):
     assert {n for n in now if now[n] != folders[n]} == {f"observations/{touched[0]}", f"versions/{touched[0]}"}
     assert all(os.stat(f).st_mtime_ns == s for f, s in stamps.items())
     assert history.versions().count() == 101
+    # what the second batch replaced can go
+    assert history.published.remove_replaced() == sorted(
+        folders[n].removeprefix(f"{tmp_path}/data/") for n in now if now[n] != folders[n])
+    assert history.versions().count() == 101 and history.published.folders() == now
+    assert history.published.remove_replaced() != []      # named in the log for good
     # the same batch again, and an empty one
     assert history.apply(spark.createDataFrame([(7, day, "z")], KEYS), "second") == []
     assert history.apply(spark.createDataFrame([], KEYS), "third") == []

@@ -9,7 +9,8 @@ from duka.sources.store import build_warehouse
 from duka.sources.warehouse import Warehouse
 from tests.conftest import SF_SMALL
 
-NAMES = sorted(registry.PLANS)
+# the query that builds a star of its own is tested over the raw tables
+NAMES = sorted(set(registry.PLANS) - {"star_row_counts"})
 
 
 @pytest.fixture(scope="module")
