@@ -76,12 +76,12 @@ FROM (SELECT category, product_name, {B('opened')} AS o, {B('sold')} AS u, {B('c
       FROM stock GROUP BY category, product_name)""", "inventory_days", "dim_product", "sales_lines", extra=STOCK)
 
 SQL["marketing_roi_summary"] = with_ctes(f"""
-SELECT c.campaign_name, c.channel, {B('fm.impressions')} AS total_impressions,
-       {B('fm.clicks')} AS total_clicks, {B('fm.conversions')} AS total_conversions,
-       {T('fm.cost')} AS total_campaign_cost_usd,
-       {ratio_sql('sum(fm.cost)', 'sum(fm.conversions)')} AS cac_usd
-FROM fact_marketing fm JOIN dim_campaign c ON fm.campaign_key = c.campaign_key
-GROUP BY c.campaign_name, c.channel""", "fact_marketing", "dim_campaign")
+SELECT campaign_name, channel, CAST(total.i AS BIGINT) AS total_impressions, CAST(total.c AS BIGINT) AS total_clicks,
+       CAST(total.v AS BIGINT) AS total_conversions, CAST(total.k AS DECIMAL(38,2)) AS total_campaign_cost_usd,
+       {ratio_sql('total.k', 'total.v')} AS cac_usd
+FROM (SELECT campaign_key, {{'i': sum(impressions), 'c': sum(clicks), 'v': sum(conversions), 'k': sum(cost)}} AS total
+      FROM fact_marketing GROUP BY campaign_key)
+NATURAL JOIN (SELECT campaign_key, campaign_name, channel FROM dim_campaign)""", "fact_marketing", "dim_campaign")
 
 # -------------------------------------------------------- customer versions
 _tier = "CASE " + " ".join(f"WHEN count(*) >= {k} THEN '{label}'" for k, label in fixed.TIER_BY_ORDERS) \
@@ -102,18 +102,18 @@ FROM chg WHERE prev IS NULL OR prev <> customer_segment
 WINDOW w AS (PARTITION BY customer_key ORDER BY obs_date)""",
 }
 # ------------------------------------------------------------- procedures
+# the months of a year as one list in order; each is compared with the entry before it
 SQL["monthly_revenue"] = with_ctes(f"""
-SELECT month_name, net AS net_revenue_usd, profit AS total_profit_usd,
-       CAST(round(net - prev, 2) AS DECIMAL(38,2)) AS absolute_growth_usd,
-       {pct_sql('net - prev', 'prev')} AS growth_rate_pct
-FROM (SELECT *, lag(net) OVER (ORDER BY month_number) AS prev FROM mm)""",
-                                   "sales_lines", "dim_date", "dim_status", extra={"mm": f"""
-SELECT d.month_number, d.month_name, {T('fs.net_revenue_usd')} AS net, {T('fs.profit_usd')} AS profit
-FROM sales_lines fs
-JOIN dim_date d ON fs.date_key = d.date_key
-JOIN dim_status s ON fs.status_key = s.status_key
-WHERE d.year = {P['target_year']} AND s.status_name NOT IN ('Cancelled', 'Refunded')
-GROUP BY d.month_number, d.month_name"""})
+SELECT monthname(make_date({P['target_year']}, cur.m, 1)) AS month_name, cur.n AS net_revenue_usd, cur.p AS total_profit_usd,
+       CAST(cur.n - prev.n AS DECIMAL(38,2)) AS absolute_growth_usd, {pct_sql('cur.n - prev.n', 'prev.n')} AS growth_rate_pct
+FROM (SELECT months[i] AS cur, CASE WHEN i > 1 THEN months[i - 1] END AS prev
+      FROM (SELECT months, unnest(range(1, len(months) + 1)) AS i
+            FROM (SELECT list({{'m': m, 'n': n, 'p': p}} ORDER BY m) AS months FROM by_month)))""",
+                                 "sales_lines", extra={"by_month": f"""
+SELECT month(order_date) AS m, {T('net_revenue_usd')} AS n, {T('profit_usd')} AS p
+FROM sales_lines
+WHERE date_key // 10000 = {P['target_year']} AND status_key <> ALL ({fixed.status_keys('Cancelled', 'Refunded')})
+GROUP BY 1"""})
 
 # lines of the current version: those from its first day on
 SQL["customer_lifetime_value"] = with_ctes(f"""
@@ -162,47 +162,36 @@ WHERE channel = '{P['channel']}' GROUP BY campaign_name, channel""",
 SELECT campaign_key, impressions AS i, clicks AS c, conversions AS v, cost AS k, unnest(coalesce(nets, [NULL])) AS net
 FROM fact_marketing LEFT JOIN day_sales USING (campaign_key, date_key)"""})
 
-_rev2 = "coalesce(sum(sd.net), 0)"
 SQL["campaign_roi_deduplicated"] = with_ctes(f"""
-SELECT c.campaign_name, c.channel, {B('fm.i')} AS impressions, {B('fm.c')} AS clicks,
-       {pct_sql('sum(fm.c)', 'sum(fm.i)', scale=3)} AS ctr_pct,
-       {B('fm.v')} AS conversions, {T('fm.k')} AS total_campaign_cost_usd,
-       CAST({_rev2} AS DECIMAL(38,2)) AS attribution_revenue_usd,
-       {ratio_sql(_rev2 + ' - sum(fm.k)', 'sum(fm.k)')} AS return_on_investment_ratio
-FROM fmd fm
-JOIN dim_campaign c ON fm.campaign_key = c.campaign_key
-LEFT JOIN sd ON sd.campaign_key = fm.campaign_key AND sd.date_key = fm.date_key
-WHERE c.channel = '{P['channel']}'
-GROUP BY c.campaign_name, c.channel""", "fact_marketing", "dim_campaign", "sales_lines", extra={
-    "fmd": """SELECT campaign_key, date_key, sum(impressions) AS i, sum(clicks) AS c,
-                     sum(conversions) AS v, sum(cost) AS k FROM fact_marketing GROUP BY 1, 2""",
-    "sd": """SELECT campaign_key, date_key, sum(net_revenue_usd) AS net FROM sales_lines GROUP BY 1, 2"""})
+SELECT campaign_name, channel, {B('i')} AS impressions, {B('c')} AS clicks, {pct_sql('sum(c)', 'sum(i)', scale=3)} AS ctr_pct,
+       {B('v')} AS conversions, {T('k')} AS total_campaign_cost_usd,
+       CAST(coalesce(sum(net), 0) AS DECIMAL(38,2)) AS attribution_revenue_usd,
+       {ratio_sql('coalesce(sum(net), 0) - sum(k)', 'sum(k)')} AS return_on_investment_ratio
+FROM both_sides NATURAL JOIN (SELECT campaign_key, campaign_name, channel FROM dim_campaign)
+WHERE channel = '{P['channel']}' GROUP BY campaign_name, channel""", "fact_marketing", "dim_campaign", "sales_lines", extra={
+    "both_sides": """
+SELECT campaign_key, impressions AS i, clicks AS c, conversions AS v, cost AS k, NULL AS net FROM fact_marketing
+UNION ALL
+SELECT campaign_key, NULL, NULL, NULL, NULL, net_revenue_usd
+FROM sales_lines SEMI JOIN fact_marketing USING (campaign_key, date_key)"""})
 
 # -------------------------------------------------------------- analytics
-SQL["mom_growth"] = with_ctes(f"""
-SELECT year, month_name, cur AS current_month_revenue_usd,
-       CAST(coalesce(prev, 0) AS DECIMAL(38,2)) AS previous_month_revenue_usd,
-       CAST(round(cur - prev, 2) AS DECIMAL(38,2)) AS revenue_variance_usd,
-       {pct_sql('cur - prev', 'prev')} AS mom_growth_rate_pct
-FROM (SELECT *, lag(cur) OVER (ORDER BY year, month_number) AS prev FROM mr)""",
-                              "sales_lines", "dim_date", "dim_status", extra={"mr": f"""
-SELECT d.year, d.month_number, d.month_name, {T('fs.net_revenue_usd')} AS cur
-FROM sales_lines fs JOIN dim_date d ON fs.date_key = d.date_key
-JOIN dim_status s ON fs.status_key = s.status_key
-WHERE s.status_name = 'Completed'
-GROUP BY d.year, d.month_number, d.month_name"""})
-
-SQL["qoq_growth"] = with_ctes(f"""
-SELECT year, 'Q' || CAST(quarter AS VARCHAR) AS financial_quarter, cur AS current_quarter_revenue_usd,
-       CAST(coalesce(prev, 0) AS DECIMAL(38,2)) AS previous_quarter_revenue_usd,
-       {pct_sql('cur - prev', 'prev')} AS qoq_growth_rate_pct
-FROM (SELECT *, lag(cur) OVER (ORDER BY year, quarter) AS prev FROM qr)""",
-                              "sales_lines", "dim_date", "dim_status", extra={"qr": f"""
-SELECT d.year, d.quarter, {T('fs.net_revenue_usd')} AS cur
-FROM sales_lines fs JOIN dim_date d ON fs.date_key = d.date_key
-JOIN dim_status s ON fs.status_key = s.status_key
-WHERE s.status_name = 'Completed'
-GROUP BY d.year, d.quarter"""})
+# periods of completed revenue, numbered; a period is compared with the one numbered before it
+def _growth(period: str, label: str, name: str, extra_columns: str, rate: str) -> str:
+    return with_ctes(f"""
+SELECT CAST(year(a.period) AS INTEGER) AS year, {label}, a.revenue AS current_{name}_revenue_usd,
+       CAST(coalesce(b.revenue, 0) AS DECIMAL(38,2)) AS previous_{name}_revenue_usd,{extra_columns}
+       {pct_sql('a.revenue - b.revenue', 'b.revenue')} AS {rate}
+FROM numbered a LEFT JOIN numbered b ON b.n = a.n - 1""", "sales_lines", extra={"numbered": f"""
+SELECT date_trunc('{period}', order_date) AS period, {T('net_revenue_usd')} AS revenue,
+       row_number() OVER (ORDER BY date_trunc('{period}', order_date)) AS n
+FROM sales_lines WHERE status_key = {fixed.status_key('Completed')} GROUP BY 1"""})
+
+
+SQL["mom_growth"] = _growth("month", "monthname(a.period) AS month_name", "month",
+                            " CAST(a.revenue - b.revenue AS DECIMAL(38,2)) AS revenue_variance_usd,", "mom_growth_rate_pct")
+SQL["qoq_growth"] = _growth("quarter", "concat('Q', quarter(a.period)) AS financial_quarter", "quarter", "",
+                            "qoq_growth_rate_pct")
 
 # a customer as one row: the first month and the list of months with a completed purchase
 _after = "count(*) FILTER (WHERE list_contains(months, cohort_month + {k}))"
