@@ -17,12 +17,13 @@ from duka.sources.literals import literal_table
 from tests.conftest import SF_SMALL
 
 
-@pytest.mark.parametrize("n,tiles,bins", [(0, 4, 16), (1, 4, 16), (3, 4, 4), (10, 4, 3), (1000, 4, 16), (1003, 7, 4096)])
-def test_ntiles_equal_the_window(spark, n, tiles, bins):
+@pytest.mark.parametrize("n,tiles,bins,few", [(0, 4, 16, 0), (1, 4, 16, 0), (3, 4, 4, 0), (10, 4, 3, 2), (1000, 4, 16, 0),
+                                              (1000, 4, 64, 30), (1003, 7, 4096, 1024)])
+def test_ntiles_equal_the_window(spark, n, tiles, bins, few):
     rng = random.Random(n)
     rows = [(k * 3 - 50, rng.choice([0, 1, 1, 5]), rng.choice([None, *range(-4, 4)]), rng.randint(-10**15, 10**15)) for k in range(n)]
     df = spark.createDataFrame(rows, "k bigint, few bigint, signed bigint, wide bigint").repartition(3)
-    got = cutpoints.ntiles(df, tiles, {c: F.col(f"`{c}`") for c in ("few", "signed", "wide")} | {"down": -F.col("few")}, "k", bins)
+    got = cutpoints.ntiles(df, tiles, {c: F.col(f"`{c}`") for c in ("few", "signed", "wide")} | {"down": -F.col("few")}, "k", bins, few)
     want = df
     for c, order in {"few": "few", "signed": "signed", "wide": "wide", "down": "-few"}.items():
         want = want.withColumn(f"_{c}", F.ntile(tiles).over(Window.orderBy(F.expr(order).asc_nulls_first(), "k")))
