@@ -276,8 +276,10 @@ WITH RECURSIVE step(i, v, k) AS (
   UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END, k + 1 FROM step WHERE k < 8),
 tab AS (SELECT list(v ORDER BY i) AS t FROM step WHERE k = 8),
 t AS (
-  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own
-  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST,
+                       sha256(concat(octet_length(encode(role)), ':', role, ':', text))) AS own
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+  WHERE conv_id IS NOT NULL GROUP BY conv_id),
 h AS (
   SELECT conv_id, own, conv_id - conv_id % 20 AS base,
          xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(conv_id::VARCHAR)),
