@@ -55,7 +55,7 @@ def words(text: str | None) -> list[str]:
 
 def oracle(name: str) -> pd.DataFrame:
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     return con.sql(registry.oracle_sql()[name]).df()
 
