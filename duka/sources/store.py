@@ -84,7 +84,7 @@ def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[
 
     jobs = {"fact_sales": sales, "inventory_runs": inventory}
     for name in SMALL_TABLES:
-        jobs[name] = lambda n=name: _write(table(n).coalesce(1), place(n))
+        jobs[name] = lambda n=name: _write(table(n).repartition(1), place(n))
     for name in LARGE_TABLES:
         jobs[name] = lambda n=name: _write(table(n), place(n))
 
