@@ -212,13 +212,22 @@ def test_trie(spark, turns):
 def test_trie_edges(spark):
     nothing = spark.createDataFrame([], CONV)
     assert prefixtrie.trie(nothing, Scratch(spark, "test")).count() == 0
-    # one conversation of its own base; one whose base is absent and whose turns all go; a very long one
-    for rows in ([(0, 1, "u", "a"), (0, None, "u", "b")], [(23, 0, "u", "x")], [(4, k, "u", f"{k % 3}") for k in range(3000)]):
+    # one conversation of its own base; one whose base is absent and whose turns all go; a long one
+    for rows in ([(0, 1, "u", "a"), (0, None, "u", "b")], [(23, 0, "u", "x")], [(4, k, "u", f"{k % 3}") for k in range(200)]):
         conv = spark.createDataFrame([(*r, 1, "k", "p") for r in rows], CONV)
         got = prefixtrie.trie(conv, Scratch(spark, "test"), turns=50)
         assert Counter(tuple(r) for r in got.collect()) == _brute_trie(rows)
 
 
+def test_a_very_long_conversation(spark):
+    n = 20_000
+    conv = spark.range(n).selectExpr("20L AS conv_id", "id AS turn", "'u' AS role", "concat('turn ', id % 7) AS text")
+    got = prefixtrie.trie(conv, Scratch(spark, "test"), turns=1000).toPandas().sort_values("depth")
+    assert got.depth.tolist() == list(range(n + 1)) and (got.n_convs == 1).all() and (got.n_leaves == 1).all()
+    assert got.n_children.tolist() == [1] * n + [0] and (got.saved_tokens == 0).all()
+    assert got.ends_sha256.tolist()[-1] == hashlib.sha256(b"20").hexdigest()
+
+
 def test_repeated_turns_are_turns(spark):
     conv = spark.createDataFrame([(0, 1, "u", "same text", 1, "k", "p")] * 5, CONV)
     got = prefixtrie.trie(conv, Scratch(spark, "test")).orderBy("depth").collect()
