@@ -56,6 +56,7 @@ def initial(prior: tuple[np.ndarray, np.ndarray], seed: int = 7) -> dict[str, np
 _OFFSET = (np.arange(STRIDE) + CONTEXT)[:, None] - np.arange(SPAN)[None]
 _CAUSAL = _OFFSET >= 0
 _REACH = np.maximum(_OFFSET, 0)
+_ONES = np.ones(max(SPAN, CLASSES, MEMBERS), np.float32)
 
 
 def windows(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,34 +72,59 @@ def windows(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.clip(at, 0, max(0, (ends[-1] if len(ends) else 1) - 1)), inside, inside[:, CONTEXT:]
 
 
+def _tables(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Of each input row: itself and its query; its key and its value."""
+    e = p["E"]
+    return (np.concatenate([e, e @ (p["Q"] * np.float32(WIDTH ** -0.5))], 1),
+            np.concatenate([e @ p["K"], e @ p["V"]], 1))
+
+
 def forward(p: dict, x: np.ndarray, inside: np.ndarray, keep: bool = False):
     """States (windows * STRIDE, WIDTH) for input rows x (windows, SPAN); every query attends to the positions of its text at or before it."""
     d = WIDTH
-    e = p["E"][x if keep else x[:, CONTEXT:]]
-    flat = e.reshape(-1, d)
-    if not keep:        # inputs are table rows, so their keys and values are too
-        k, v = (p["E"] @ p["K"])[x], (p["E"] @ p["V"])[x]
-    else:
-        k, v = (flat @ p["K"]).reshape(e.shape), (flat @ p["V"]).reshape(e.shape)
-    own = np.ascontiguousarray(e[:, CONTEXT:]) if keep else e
-    q = (own.reshape(-1, d) @ (p["Q"] * np.float32(d ** -0.5))).reshape(own.shape)
+    # inputs are table rows, so their queries, keys and values are too
+    asking, asked = _tables(p)
+    eq, kv = asking.take(x[:, CONTEXT:], 0), asked.take(x, 0)
+    own, q, k, v = eq[..., :d], eq[..., d:], kv[..., :d], kv[..., d:]
     a = q @ k.transpose(0, 2, 1)
     a += np.where(_CAUSAL, p["R"][_REACH], np.float32(-60))
     np.exp(a, out=a)
     a *= inside[:, None]
-    a /= a.sum(2, keepdims=True) + np.float32(1e-30)
+    a /= (a @ _ONES[:SPAN])[..., None] + np.float32(1e-30)
     mixed = (a @ v).reshape(-1, d)
-    h = own.reshape(-1, d) + mixed @ p["O"]
-    z = np.maximum(h @ p["W1"] + p["b1"], 0)
-    g = h + z @ p["W2"]
-    return (g, (e, k, v, q, own, a, mixed, h, z)) if keep else g
+    h = mixed @ p["O"]
+    h += own.reshape(-1, d)
+    z = h @ p["W1"]
+    z += p["b1"]
+    np.maximum(z, 0, out=z)
+    g = z @ p["W2"]
+    g += h
+    return (g, (k, v, q, a, mixed, h, z)) if keep else g
 
 
 def _log_share(y: np.ndarray, t: np.ndarray) -> np.ndarray:
     """log softmax of each row at column t; y is overwritten."""
     hit = y[np.arange(len(t)), t]
     np.exp(y, out=y)
-    return hit - np.log(y.sum(1))
+    return hit - np.log(y @ _ONES[:y.shape[1]])
+
+
+def _slope(y: np.ndarray, t: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """weight * (softmax of each row, less 1 at column t), written over y."""
+    y -= y.max(1, keepdims=True)
+    np.exp(y, out=y)
+    y *= (weight / (y @ _ONES[:y.shape[1]]))[:, None]
+    y[np.arange(len(t)), t] -= weight
+    return y
+
+
+def _row_sums(x: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
+    """Sums of the values of each input row x."""
+    order = np.argsort(x, kind="stable")
+    x, out = x[order], np.zeros((rows, values.shape[1]), np.float32)
+    first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+    out[x[first]] = np.add.reduceat(values.take(order, 0), first, axis=0)
+    return out
 
 
 def log_scores(p: dict, x: np.ndarray, inside: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -130,46 +156,51 @@ class Learner:
         """One step along the slope at the input rows x (windows, SPAN) and targets t of the live places `on`."""
         p, d = self.p, WIDTH
         on, t = on.reshape(-1), t.reshape(-1)
-        g, (e, k, v, q, own, a, mixed, h, z) = forward(p, x, ok, keep=True)
+        g, (k, v, q, a, mixed, h, z) = forward(p, x, ok, keep=True)
         of, member = t % CLASSES, t // CLASSES
-        weight = (on / max(1, on.sum())).astype(np.float32)[:, None]
-
-        def slope(y, hit, weight):
-            y -= y.max(1, keepdims=True)
-            np.exp(y, out=y)
-            y /= y.sum(1, keepdims=True)
-            y[np.arange(len(hit)), hit] -= 1
-            y *= weight
-            return y
-
-        y = slope(g @ p["U"] + p["c"], of, weight)
+        weight = (on / max(1, on.sum())).astype(np.float32)
+        y = g @ p["U"]
+        y += p["c"]
+        y = _slope(y, of, weight)
         grad = {"U": g.T @ y, "c": y.sum(0), "M": np.zeros_like(p["M"]), "m": np.zeros_like(p["m"])}
         dg = y @ p["U"].T
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(CLASSES + 1))
-        for c in np.unique(of):
-            some = order[cuts[c]:cuts[c + 1]]
-            w = slope(g[some] @ p["M"][c] + p["m"][c], member[some], weight[some])
-            grad["M"][c], grad["m"][c] = g[some].T @ w, w.sum(0)
-            dg[some] += w @ p["M"][c].T
-        dz = (dg @ p["W2"].T) * (z > 0)
+        order = np.argsort(of.astype(np.int16), kind="stable")     # one product per class
+        of = of[order]
+        cuts = np.searchsorted(of, np.arange(CLASSES + 1)).tolist()
+        gs, w, ds = g.take(order, 0), np.empty((len(t), MEMBERS), np.float32), np.empty_like(g)
+        some = [(c, i, j) for c, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if i < j]
+        for c, i, j in some:
+            np.matmul(gs[i:j], p["M"][c], out=w[i:j])
+        w += p["m"].take(of, 0)
+        w = _slope(w, member[order], weight[order])
+        for c, i, j in some:
+            np.matmul(gs[i:j].T, w[i:j], out=grad["M"][c])
+            np.matmul(w[i:j], p["M"][c].T, out=ds[i:j])
+        live = np.array([c for c, _, _ in some])
+        grad["m"][live] = np.add.reduceat(w, [i for _, i, _ in some], axis=0)
+        dg[order] += ds
+        dz = dg @ p["W2"].T
+        dz *= z > 0
         grad |= {"W2": z.T @ dg, "W1": h.T @ dz, "b1": dz.sum(0)}
         dh = dg + dz @ p["W1"].T
         grad["O"] = mixed.T @ dh
-        dm = (dh @ p["O"].T).reshape(own.shape)
+        dm = (dh @ p["O"].T).reshape(q.shape)
         da = dm @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dm
-        da = a * (da - (da * a).sum(2, keepdims=True))
+        da -= ((da * a) @ _ONES[:SPAN])[..., None]
+        da *= a
         grad["R"] = np.bincount(_REACH.reshape(-1), (da.sum(0) * _CAUSAL).reshape(-1), SPAN).astype(np.float32)
-        dq, dk = da @ k, da.transpose(0, 2, 1) @ q
-        scale = np.float32(d ** -0.5)
-        flat = e.reshape(-1, d)
-        grad |= {"Q": own.reshape(-1, d).T @ dq.reshape(-1, d) * scale, "K": flat.T @ dk.reshape(-1, d),
-                 "V": flat.T @ dv.reshape(-1, d)}
-        de = (dk.reshape(-1, d) @ p["K"].T + dv.reshape(-1, d) @ p["V"].T).reshape(e.shape)
-        de[:, CONTEXT:] += (dq.reshape(-1, d) @ p["Q"].T * scale + dh).reshape(own.shape)
-        grad["E"] = np.zeros_like(p["E"])
-        np.add.at(grad["E"], x.reshape(-1), de.reshape(-1, d))
+        dkv, dhq = np.empty((*x.shape, 2 * d), np.float32), np.empty((*q.shape[:2], 2 * d), np.float32)
+        np.matmul(da.transpose(0, 2, 1), q, out=dkv[..., :d])
+        np.matmul(a.transpose(0, 2, 1), dm, out=dkv[..., d:])
+        np.matmul(da, k, out=dhq[..., d:])
+        dhq[..., :d] = dh.reshape(q.shape)
+        # the slopes of an input row's query, key and value are sums over its places
+        x = x.astype(np.int16)
+        asked = _row_sums(x.reshape(-1), dkv.reshape(-1, 2 * d), BEGIN + 1)
+        asking = _row_sums(x[:, CONTEXT:].reshape(-1), dhq.reshape(-1, 2 * d), BEGIN + 1)
+        scale, e = np.float32(d ** -0.5), p["E"]
+        grad |= {"Q": e.T @ asking[:, d:] * scale, "K": e.T @ asked[:, :d], "V": e.T @ asked[:, d:]}
+        grad["E"] = asking[:, :d] + asking[:, d:] @ p["Q"].T * scale + asked[:, :d] @ p["K"].T + asked[:, d:] @ p["V"].T
         self.steps += 1
         m, s, n = self.m, self.s, self.steps
         for k in p:

@@ -2,7 +2,7 @@
 
 Words are lower-cased and cut into subword ids of a public tokenizer; a causal
 self-attention model (`attention.py`) gives their log10 probability. Windows
-of 24 positions overlap by 8 and score each token once.
+of 32 positions overlap by 16 and score each token once.
 
 Gathered from the whole corpus: the counts of all training words (they give the
 base score, and the subword frequencies that are the model's prior), and the
@@ -14,7 +14,8 @@ than STEPS batches is repeated. The averages, and so the scores, depend on how
 the rows are dealt to tasks.
 
 1. A task turns the documents of a chunk (about CHUNK bytes of text) into word
-   codes, with the chunk's distinct words; the table is written once.
+   codes, with the chunk's distinct words and their subword ids; the table is
+   written once.
 2. The distinct words of all chunks (not every word of every document) are
    counted and joined back: per chunk the corpus count of each of its words.
 3. The rounds of the training read the chunks' codes.
@@ -29,6 +30,7 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,28 +48,42 @@ STEPS = 1_000       # batches that a small corpus is repeated to
 LEARNER = 2 << 20   # training words of a task, at least
 BLOCK = 1 << 18     # words or tokens that are cut into windows at once
 CHUNK = 32 << 20
-BATCH = 1 << 10     # windows scored at once
+BATCH = 1 << 8      # windows scored at once
+PORTION = 1 << 15   # words segmented at once
 
 
-def chunks(docs: DataFrame) -> DataFrame:
+def squeezed(x: np.ndarray) -> bytes:
+    """Compressed int32."""
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(x.astype(np.int32).tobytes())
+
+
+def restored(x: pa.Scalar) -> np.ndarray:
+    import zstandard
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x.as_py()), np.int32)
+
+
+def chunks(docs: DataFrame, model: str | None = None) -> DataFrame:
     """One row per chunk: chunk, doc_ids, held, ends (of each document in
-    codes), codes (compressed int32), words, counts (in training documents)."""
+    codes), codes, words, lengths and ids (subwords of the words), counts (in
+    training documents). Codes, lengths and ids are compressed."""
+    model = model or default_model()
 
     def packed(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        import zstandard
         t = pa.Table.from_batches(held).combine_chunks()
         offsets, codes, words = word_codes(pc.cast(t.column("text"), pa.large_string()).combine_chunks())
         out = t.column("held").to_numpy(zero_copy_only=False)
         training = ~np.repeat(out, np.diff(offsets))
         counts = np.bincount(codes[training], minlength=len(words))
-        data = zstandard.ZstdCompressor(level=1).compress(codes.astype(np.int32).tobytes())
+        starts, ids = subwords(words, model)
         return pa.RecordBatch.from_arrays([
             pa.array([number], pa.int64()), pa.array([t.column("doc_id").to_pylist()], pa.list_(pa.int64())),
             pa.array([out.tolist()], pa.list_(pa.bool_())), pa.array([offsets[1:]], pa.list_(pa.int64())),
-            pa.array([data], pa.binary()),
+            pa.array([squeezed(codes)], pa.binary()),
             pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string())),
+            pa.array([squeezed(np.diff(starts))], pa.binary()), pa.array([squeezed(ids)], pa.binary()),
             pa.array([counts], pa.list_(pa.int64()))],
-            ["chunk", "doc_ids", "held", "ends", "codes", "words", "counts"])
+            ["chunk", "doc_ids", "held", "ends", "codes", "words", "lengths", "ids", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, k, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
@@ -81,28 +97,34 @@ def chunks(docs: DataFrame) -> DataFrame:
             yield packed(part + k, held)
 
     return docs.mapInArrow(run, "chunk bigint, doc_ids array<bigint>, held array<boolean>, ends array<bigint>, "
-                                "codes binary, words array<string>, counts array<bigint>")
+                                "codes binary, words array<string>, lengths binary, ids binary, counts array<bigint>")
 
 
-def subwords(words: list[str], model: str) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, ids): the subword ids of each word."""
-    ids = load(model).encode(words, num_threads=1)
-    n = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.r_[0, np.cumsum(n)], np.fromiter((i for x in ids for i in x), np.int32, int(n.sum()))
+def subwords(words: pa.Array | list[str], model: str) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, ids): the subword ids of each word, PORTION words at a time."""
+    n, ids = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
+    for k in range(0, len(words), PORTION):
+        part = words[k:k + PORTION]
+        got = load(model).encode(part if isinstance(part, list) else part.to_pylist(), num_threads=1)
+        n.append(np.fromiter(map(len, got), np.int64, len(got)))
+        ids.append(np.fromiter(chain.from_iterable(got), np.int32, int(n[-1].sum())))
+    return np.cumsum(np.concatenate(n)), np.concatenate(ids)
 
 
-def subword_counts(counts: DataFrame, model: str) -> DataFrame:
-    """(id, n) of all subword ids of the counted words (word, c)."""
+def subword_counts(coded: DataFrame, size: int) -> DataFrame:
+    """(id, n) of all subword ids (below `size`) of the chunks' training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(load(model).get_piece_size(), np.int64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            ends, ids = subwords(batch.column("word").to_pylist(), model)
-            total += np.bincount(ids, np.repeat(batch.column("c").to_numpy(), np.diff(ends)), len(total)).astype(np.int64)
+            for k in range(batch.num_rows):
+                n, ids = (restored(batch.column(c)[k]) for c in ("lengths", "ids"))
+                np.add.at(total, ids, np.repeat(batch.column("counts")[k].values.to_numpy(), n))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["id", "n"])
 
-    return counts.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return coded.select("lengths", "ids", "counts").mapInArrow(run, "id bigint, n bigint") \
+        .groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def streams(offsets: np.ndarray, codes: np.ndarray, starts: np.ndarray, ids: np.ndarray, end_id: int):
@@ -140,9 +162,12 @@ def score_texts(weights: dict, vocabulary: attention.Vocabulary, flat: np.ndarra
 
 def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, codes) of a chunk's documents."""
-    import zstandard
-    offsets = np.r_[0, row["ends"].values.to_numpy()].astype(np.int64)
-    return offsets, np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"].as_py()), np.int32)
+    return np.r_[0, row["ends"].values.to_numpy()].astype(np.int64), restored(row["codes"])
+
+
+def tabled(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, ids): the subword ids of a chunk's words."""
+    return np.r_[0, np.cumsum(restored(row["lengths"]), dtype=np.int64)], restored(row["ids"])
 
 
 def doc_slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -162,14 +187,13 @@ def training_streams(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[
 
     for batch in batches:
         for k in range(batch.num_rows):
-            row = {c: batch.column(c)[k] for c in ("held", "ends", "codes", "words")}
+            row = {c: batch.column(c)[k] for c in ("held", "ends", "codes", "lengths", "ids")}
             offsets, codes = unpacked(row)
+            table = tabled(row)
             taught = ~row["held"].values.to_numpy(zero_copy_only=False)
             n = np.diff(offsets)
             for a, b in doc_slices(offsets):
                 own = codes[offsets[a]:offsets[b]][np.repeat(taught[a:b], n[a:b])]
-                used, own = np.unique(own, return_inverse=True)
-                table = subwords(row["words"].values.take(pa.array(used)).to_pylist(), model)
                 flat, ends = streams(np.r_[0, np.cumsum(n[a:b][taught[a:b]])], own, *table, end_id=end_id)
                 held, size = [*held, (flat, ends)], size + len(flat)
                 if size >= BLOCK:
@@ -197,7 +221,7 @@ def lesson(coded: DataFrame, weights: dict, vocabulary: attention.Vocabulary, k:
                 [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()),
                  pa.array([data.tobytes()], pa.binary())], ["task", "n", "weights"])
 
-    return coded.select("held", "ends", "codes", "words").coalesce(tasks).mapInArrow(
+    return coded.select("held", "ends", "codes", "lengths", "ids").coalesce(tasks).mapInArrow(
         run, "task bigint, n bigint, weights binary")
 
 
@@ -240,7 +264,7 @@ def score(docs: DataFrame, held_out: Column, scratch: Scratch, model: str | None
     model = model or default_model()
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                     F.coalesce(held_out, F.lit(False)).alias("held"))
-    coded = scratch.cut(chunks(d))
+    coded = scratch.cut(chunks(d, model))
     words = coded.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "w")).select(
         "chunk", "pos", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     counts = scratch.cut(words.groupBy("word").agg(F.sum("n").alias("c")))
@@ -250,7 +274,7 @@ def score(docs: DataFrame, held_out: Column, scratch: Scratch, model: str | None
     sums = known.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums.n + documents, sums.v + (documents > 0)
     vector = np.zeros(load(model).get_piece_size(), np.int64)
-    for r in subword_counts(known, model).collect():    # one row for each subword of the vocabulary at most
+    for r in subword_counts(coded, len(vector)).collect():    # one row for each subword of the vocabulary at most
         vector[r.id] = r.n
     vector[load(model).eos_id()] += documents
     weights, vocabulary = fit(coded, vector, total, model)
@@ -263,15 +287,15 @@ def score(docs: DataFrame, held_out: Column, scratch: Scratch, model: str | None
         if not left.num_rows:
             return schema.empty_table()
         row = {c: left.column(c)[0] for c in left.column_names}
-        listed = {c: row[c].values for c in ("doc_ids", "held", "words")}
+        listed = {c: row[c].values for c in ("doc_ids", "held")}
         offsets, codes = unpacked(row)
-        c = np.zeros(len(listed["words"]), np.int64)
+        starts, ids = tabled(row)
+        c = np.zeros(len(starts) - 1, np.int64)
         c[right.column("pos").to_numpy()] = right.column("c").to_numpy()
         n, docs_ = np.diff(offsets), len(offsets) - 1
         owner = np.repeat(np.arange(docs_), n)
         base = np.bincount(owner, (np.log10(c + 0.5) - floor)[codes], docs_) + (np.log10(documents + 0.5) - floor)
         known_ = np.bincount(owner, (c > 0)[codes], docs_).astype(np.int64) + (documents > 0)
-        starts, ids = subwords(listed["words"].to_pylist(), model)
         got = np.zeros(docs_)
         for a, b in doc_slices(offsets):
             flat, ends = streams(offsets[a:b + 1] - offsets[a], codes[offsets[a]:offsets[b]], starts, ids, end_id)
@@ -281,7 +305,7 @@ def score(docs: DataFrame, held_out: Column, scratch: Scratch, model: str | None
 
     back = words.select("chunk", "pos", "word").join(counts, "word").select(
         F.col("chunk").alias("part"), "pos", "c")
-    return coded.select("chunk", "doc_ids", "held", "ends", "codes", "words").groupBy("chunk").cogroup(
+    return coded.select("chunk", "doc_ids", "held", "ends", "codes", "lengths", "ids").groupBy("chunk").cogroup(
         back.groupBy("part")).applyInArrow(chunk, SCHEMA).select(*names)
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from duka.llm import htmltext, merkle, neardup, pieces, pii
+from duka.llm import attention, htmltext, lm, merkle, neardup, pieces, pii
 from duka.llm.scratch import Scratch
 from tests.llm.test_llm import _workers  # noqa: F401  fixture
 
@@ -195,3 +195,36 @@ def test_pii_added_cards_have_the_digits_of_cards():
     assert base == [] and [(pii.KINDS[k], two[a:b]) for a, k, b in every] == [("card", "4539578763621486"), ("card", "4111111111111111")]
     for text in ("card 14155550134 x", "visa 4539578763621487 of", "1-415-555-0134"):
         assert not [s for s in pii.find_slice(pa.array([text]), field)[0][1] if s[1] == 2]
+
+
+def test_lm_segments_each_chunk_word_once(spark, monkeypatch):
+    texts = ["one two two three", "", None, "Zwei Wörter und\tmehr two"]
+    df = spark.createDataFrame([(k, t, k == 0) for k, t in enumerate(texts)], "doc_id int, text string, held boolean")
+    coded, model = lm.chunks(df.coalesce(1)).toArrow(), lm.default_model()
+    codes = lm.word_codes(pa.array(texts[1:]))
+    flat, ends = lm.streams(*codes[:2], *lm.subwords(codes[2], model), end_id=2)
+    monkeypatch.setattr(lm, "subwords", None)       # the rounds of the training read the ids
+    (got, got_ends), = lm.training_streams(iter(coded.to_batches()), model)
+    assert got.tolist() == flat.tolist() and got_ends.tolist() == ends.tolist()
+    counts = {r.id: r.n for r in lm.subword_counts(spark.createDataFrame(coded), 32000).collect()}
+    assert counts == {i: n for i, n in enumerate(np.bincount(flat[flat != 2])) if n}
+
+
+def test_attention_step_follows_the_slope():
+    r = np.random.default_rng(3)
+    weights = {n: (w + 0.2 * r.standard_normal(w.shape)).astype(np.float32)
+               for n, w in attention.initial(attention.Vocabulary(r.integers(0, 50, 3000)).prior).items()}
+    x, ok = r.integers(0, attention.BEGIN, (3, attention.SPAN)), np.ones((3, attention.SPAN), bool)
+    ok[1, :5] = ok[2, -4:] = False
+    t = r.integers(0, attention.CLASSES * attention.MEMBERS, (3, attention.STRIDE))
+    on = ok[:, attention.CONTEXT:]
+    learner = attention.Learner(weights)
+    learner.step(x, ok, on, t, 0.0)
+
+    def loss(p):
+        return -attention.log_scores(p, x, ok, t)[on].mean(dtype=np.float64)
+
+    for name, m in learner.m.items():       # the slope's tenth after one step
+        way = np.sign(m)
+        up, down = (loss(weights | {name: weights[name] + s * np.float32(1e-3) * way}) for s in (1, -1))
+        assert np.isclose((up - down) / 2e-3, 10 * np.abs(m).sum(dtype=np.float64), rtol=0.05, atol=2e-3), name
