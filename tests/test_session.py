@@ -2,7 +2,7 @@
 
 import pytest
 
-from duka.session import ensure_checkpoint_dir
+from duka.session import apply_defaults, ensure_checkpoint_dir
 
 
 class _Conf(dict):
@@ -47,3 +47,18 @@ def test_refuses_a_local_folder_on_a_cluster():
 def test_local_mode_gets_a_scratch_folder():
     s = _Session(_Context("local[4]"))
     assert ensure_checkpoint_dir(s).endswith("/run")
+
+
+class _Settings(dict):
+    set = dict.__setitem__
+
+
+@pytest.mark.parametrize("launched, size", [({}, "16m"), ({"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m"}, None)])
+def test_shuffle_partitions_are_merged_to_small_ones_unless_launched_otherwise(launched, size):
+    class Conf(_Conf):
+        contains = dict.__contains__
+
+    session = _Session(_Context("local[4]"))
+    session.sparkContext._conf, session.conf = Conf(launched), _Settings()
+    apply_defaults(session)
+    assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == size
