@@ -13,7 +13,9 @@ job (no extra shuffle of the whole fact for layout), partitioned by order
 year and sorted by day inside each file, so a year filter prunes folders
 and a day range skips row groups by their statistics; the inventory
 snapshot is stored as runs of days (a day with sales, or the idle days up to
-the next one). Small dimensions are written as single files.
+the next one). Columns of a sales line that repeat or follow from others of it
+(`sales_columns`) are not stored, readers derive them. Small dimensions are
+written as single files.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duka.functions.localize import cost_usd, line_amounts
 from duka.plans.builds import fact_sales_full
 from duka.sources import schemas
 from duka.sources.publish import Published
@@ -34,6 +38,13 @@ from duka.sources.warehouse import Warehouse
 SMALL_TABLES = ["dim_status", "dim_campaign", "dim_location", "location_market", "dim_date",
                 "campaign_days", "fact_marketing"]
 LARGE_TABLES = ["dim_product", "dim_customer", "customer_versions"]
+REPEATED = {"l_partkey": "product_key", "l_linenumber": "line_number"}
+
+
+def sales_columns(stored: DataFrame) -> DataFrame:
+    """The stored sales fact with the columns that are derived when it is read."""
+    repeated = {name: F.col(of) for name, of in REPEATED.items()}
+    return stored.withColumns(repeated | line_amounts()).withColumn("cost_usd", cost_usd())
 
 
 def _write(df: DataFrame, path: str, partition_by: list[str] | None = None, look_up: str | None = None) -> None:
@@ -52,9 +63,9 @@ def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[
     """Write all warehouse tables under out_dir and publish them together;
     returns seconds per table.
 
-    The tables are independent, so their write jobs are submitted from a
-    few driver threads at once and share the cluster; no row passes through
-    the driver.
+    The write jobs are submitted from a few driver threads at once and share
+    the cluster; no row passes through the driver. Only the inventory waits,
+    for the sales that it sums.
     """
     published = Published(w.spark, out_dir)
     folders: dict[str, str] = {}
@@ -63,20 +74,31 @@ def build_warehouse(w: Warehouse, out_dir: str, parallel_jobs: int = 4) -> dict[
         folders[name] = published.new_folder(name)
         return published.path(folders[name])
 
+    lines_written = Event()
+
     def sales() -> None:
+        try:
+            write_sales()
+        finally:
+            lines_written.set()
+
+    def write_sales() -> None:
         df = schemas.check(fact_sales_full(w), "fact_sales") \
             .withColumn("order_year", F.year("order_date"))
         # no extra shuffle for the layout: each task of the keying job writes
         # its rows into the order-year folders, sorted by day, so a year
         # filter prunes folders and Parquet row-group statistics skip day
         # ranges inside the files (at most tasks x years files)
-        laid_out = df.sortWithinPartitions("order_year", "date_key")
+        laid_out = df.drop(*REPEATED, *line_amounts(), "cost_usd").sortWithinPartitions("order_year", "date_key")
         _write(laid_out, place("fact_sales"), ["order_year"], look_up="customer_key")
 
     def inventory() -> None:
         # kept as runs of days: rows grow with the sales; readers generate days
         schemas.check(w.fact_inventory(), "fact_inventory")
-        _write(w.stock_runs(), place("inventory_runs"))
+        # from the fact just written, so order lines are not joined to their orders again
+        lines_written.wait()
+        lines = w.spark.read.parquet(published.path(folders["fact_sales"]))
+        _write(w.stock_runs(sales=lines), place("inventory_runs"))
 
     def table(name: str) -> DataFrame:
         df = getattr(w, name)
@@ -141,11 +163,11 @@ class StoredWarehouse(Warehouse):
 
     @cached_property
     def sales_lines(self) -> DataFrame:
-        return self.stored("fact_sales")
+        return sales_columns(self.stored("fact_sales"))
 
     @cached_property
     def fact_sales_keyed(self) -> DataFrame:
-        return self.stored("fact_sales")
+        return self.sales_lines
 
     def sales_from(self, start_date: str) -> DataFrame:
         year = int(start_date[:4])
