@@ -48,7 +48,8 @@ STEPS = 1_000       # batches that a small corpus is repeated to
 LEARNER = 2 << 20   # training words of a task, at least
 BLOCK = 1 << 18     # words or tokens that are cut into windows at once
 CHUNK = 32 << 20
-BATCH = 1 << 8      # windows scored at once
+BATCH = 1 << 10     # windows scored at once
+SLAB = 1 << 14      # windows laid out at once
 PORTION = 1 << 15   # words segmented at once
 
 
@@ -129,14 +130,17 @@ def subword_counts(coded: DataFrame, size: int) -> DataFrame:
 
 def streams(offsets: np.ndarray, codes: np.ndarray, starts: np.ndarray, ids: np.ndarray, end_id: int):
     """Flat subword ids of the documents, each closed by `end_id`, and their ends."""
-    n = np.diff(starts)[codes] if len(codes) else np.zeros(0, np.int64)
-    sizes = np.bincount(np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)), n, len(offsets) - 1).astype(np.int64) + 1
-    ends = np.cumsum(sizes)
-    flat = np.full(ends[-1] if len(ends) else 0, end_id, np.int32)
-    body = np.ones(len(flat), bool)
-    body[ends - 1] = False
-    flat[body] = ids[ragged(starts[:-1][codes], n)] if len(codes) else 0
-    return flat, ends
+    # the end is one more word
+    docs, words = len(offsets) - 1, len(starts) - 1
+    closed = np.full(len(codes) + docs, words, np.int64)
+    body = np.ones(len(closed), bool)
+    body[offsets[1:] + np.arange(docs)] = False
+    closed[body] = codes
+    n = np.r_[np.diff(starts), 1][closed]
+    after = np.cumsum(n)
+    flat = np.repeat(np.r_[starts[:-1], len(ids)][closed] - (after - n), n)
+    flat += np.arange(len(flat))
+    return np.r_[ids, end_id].astype(np.int32)[flat], after[offsets[1:] + np.arange(docs)]
 
 
 def inputs(flat: np.ndarray, ends: np.ndarray, vocabulary: attention.Vocabulary) -> np.ndarray:
@@ -150,12 +154,15 @@ def score_texts(weights: dict, vocabulary: attention.Vocabulary, flat: np.ndarra
     """log10 probability of each text."""
     before, out = inputs(flat, ends, vocabulary), np.zeros(len(ends))
     owner = np.repeat(np.arange(len(ends)), np.diff(np.r_[0, ends]))
-    classes = vocabulary.output[flat]
-    at, inside, live = attention.windows(ends)
-    for k in range(0, len(at), BATCH):
-        a, on = at[k:k + BATCH], live[k:k + BATCH]
-        got = attention.log_scores(weights, before[a], inside[k:k + BATCH], classes[a[:, attention.CONTEXT:]])
-        out += np.bincount(owner[a[:, attention.CONTEXT:]][on], got[on], len(ends))
+    classes, scores = vocabulary.output[flat], attention.Scorer(weights)
+    total = int(attention.count(ends).sum())
+    for j in range(0, total, SLAB):
+        at, inside, live = attention.windows(ends, np.arange(j, min(total, j + SLAB)))
+        for k in range(0, len(at), BATCH):
+            a, on = at[k:k + BATCH], live[k:k + BATCH]
+            own = a[:, attention.CONTEXT:]
+            got = scores(before[a], inside[k:k + BATCH], classes[own])
+            out += np.bincount(owner[own][on], got[on], len(ends))
     out += np.bincount(owner, vocabulary.inside[flat], len(ends))
     return out / np.log(10)
 

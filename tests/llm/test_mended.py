@@ -228,3 +228,41 @@ def test_attention_step_follows_the_slope():
         way = np.sign(m)
         up, down = (loss(weights | {name: weights[name] + s * np.float32(1e-3) * way}) for s in (1, -1))
         assert np.isclose((up - down) / 2e-3, 10 * np.abs(m).sum(dtype=np.float64), rtol=0.05, atol=2e-3), name
+
+
+def test_attention_scores_by_hand():
+    r = np.random.default_rng(5)
+    p = {n: (w + 0.2 * r.standard_normal(w.shape)).astype(np.float32)
+         for n, w in attention.initial(attention.Vocabulary(r.integers(0, 50, 3000)).prior).items()}
+    n, span = 150, attention.SPAN               # more windows than are computed at once
+    x, inside = r.integers(0, attention.BEGIN + 1, (n, span)), r.random((n, 1)) * 20 <= np.arange(span)
+    inside[::3, 25:] = False
+    t = r.integers(0, attention.CLASSES * attention.MEMBERS, (n, attention.STRIDE))
+    got = attention.log_scores(p, x, inside, t)
+    w = {name: a.astype(np.float64) for name, a in p.items()}
+    for i in (0, 1, 63, 64, 128, 149):
+        for j in np.flatnonzero(inside[i, attention.CONTEXT:]):
+            at = attention.CONTEXT + j
+            seen = [k for k in range(at + 1) if inside[i, k]]
+            e = w["E"][x[i, seen]]
+            logits = e @ w["K"] @ (w["E"][x[i, at]] @ w["Q"]) / attention.WIDTH ** 0.5 + w["R"][[at - k for k in seen]]
+            a = np.exp(logits - logits.max())
+            h = w["E"][x[i, at]] + a / a.sum() @ e @ w["V"] @ w["O"]
+            g = h + np.maximum(h @ w["W1"] + w["b1"], 0) @ w["W2"]
+            c, m = t[i, j] % attention.CLASSES, t[i, j] // attention.CLASSES
+            of, member = g @ w["U"] + w["c"], g @ w["M"][c] + w["m"][c]
+            want = of[c] - np.log(np.exp(of).sum()) + member[m] - np.log(np.exp(member).sum())
+            assert np.isclose(got[i, j], want, rtol=1e-4, atol=1e-4)
+
+
+def test_a_round_lays_out_its_own_windows_only(monkeypatch):
+    r, laid, whole = np.random.default_rng(6), [], attention.windows
+    ends = np.cumsum(r.integers(1, 90, 50))
+    vocabulary = attention.Vocabulary(r.integers(0, 50, 3000))
+    flat = r.integers(0, 3000, ends[-1])
+    monkeypatch.setattr(attention, "windows", lambda *a: laid.append(out := whole(*a)) or out)
+    learner = attention.Learner(attention.initial(vocabulary.prior))
+    n = sum(learner.learn(lm.inputs(flat, ends, vocabulary), vocabulary.output[flat], ends, (k, 4)) for k in range(4))
+    assert n == sum(len(at) for at, _, _ in laid) == len(whole(ends)[0])
+    scored = np.concatenate([at[:, attention.CONTEXT:][live] for at, _, live in laid])
+    assert sorted(scored.tolist()) == list(range(ends[-1]))
